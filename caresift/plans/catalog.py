@@ -4,6 +4,7 @@ from caresift.plans import (  # noqa: F401
     evolve_queries,
     metric_queries,
     selection_queries,
+    table_queries,
 )
 from caresift.plans.registry import ORACLES, QUERIES
 
