@@ -3,8 +3,10 @@
 from caresift.plans import (  # noqa: F401
     evolve_queries,
     metric_queries,
+    scoring_queries,
     selection_queries,
     table_queries,
+    text_queries,
 )
 from caresift.plans.registry import ORACLES, QUERIES
 
