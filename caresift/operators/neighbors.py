@@ -22,15 +22,19 @@ from caresift.functions.draws import hashed
 BLOCK_ROWS = 2048
 
 
-def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    diff = a[:, None, :] - b[None, :, :]
-    return np.abs(diff).sum(axis=2) if p == 1 else np.sqrt((diff * diff).sum(axis=2))
+def _kernels():
+    """Distance helpers as local functions, so that they travel to the workers with the task."""
 
+    def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
+        diff = a[:, None, :] - b[None, :, :]
+        return np.abs(diff).sum(axis=2) if p == 1 else np.sqrt((diff * diff).sum(axis=2))
 
-def _matrix(series: pd.Series, width: int) -> np.ndarray:
-    if not len(series):
-        return np.empty((0, width))
-    return np.stack(series.to_numpy()).astype(np.float64)
+    def matrix(series: pd.Series, width: int) -> np.ndarray:
+        if not len(series):
+            return np.empty((0, width))
+        return np.stack(series.to_numpy()).astype(np.float64)
+
+    return distances, matrix
 
 
 def nearest(
@@ -45,6 +49,7 @@ def nearest(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, neighbor, label, distance, rank) for the k nearest training rows of each query."""
+    distances, matrix = _kernels()
     key_type = train.schema[key].dataType.simpleString()
     base = train.select(
         F.col(key).alias("n_key"), F.col(vector).cast("array<double>").alias("vec"), F.col(label).cast("int").alias("n_label")
@@ -59,7 +64,7 @@ def nearest(
     def assign(vec: pd.Series) -> pd.DataFrame:
         cells, away = [], []
         for start in range(0, len(vec), 1024):
-            d = _distances(_matrix(vec[start : start + 1024], points.shape[1]), points, p)
+            d = distances(matrix(vec[start : start + 1024], points.shape[1]), points, p)
             best = d.argmin(axis=1)
             cells.append(best)
             away.append(d[np.arange(len(best)), best])
@@ -86,7 +91,7 @@ def nearest(
     def reachable(vec: pd.Series) -> pd.Series:
         out = []
         for start in range(0, len(vec), 1024):
-            d = _distances(_matrix(vec[start : start + 1024], points.shape[1]), points, p)
+            d = distances(matrix(vec[start : start + 1024], points.shape[1]), points, p)
             worst = np.sort(d[:, near_cell] + near_away, axis=1)
             limit = worst[:, k - 1] if worst.shape[1] >= k else np.full(len(d), np.inf)
             keep = (d - far <= (limit * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
@@ -112,12 +117,12 @@ def nearest(
         if not len(mine) or not len(theirs):
             return pd.DataFrame({"q_key": [], "neighbor": [], "n_label": [], "distance": []})
         mine = mine.sort_values("n_key", kind="stable").reset_index(drop=True)
-        b = _matrix(mine["vec"], 0)
+        b = matrix(mine["vec"], 0)
         keys, labels = mine["n_key"].to_numpy(), mine["n_label"].to_numpy()
         parts = []
         for start in range(0, len(theirs), 32):
             part = theirs.iloc[start : start + 32]
-            d = _distances(_matrix(part["vec"], 0), b, p)
+            d = distances(matrix(part["vec"], 0), b, p)
             top = np.argsort(d, axis=1, kind="stable")[:, :k]
             parts.append(
                 pd.DataFrame(

@@ -3,6 +3,7 @@
 from caresift.plans import (  # noqa: F401
     evolve_queries,
     metric_queries,
+    model_queries,
     scoring_queries,
     selection_queries,
     table_queries,
