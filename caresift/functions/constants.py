@@ -161,6 +161,7 @@ SKIPPED_IMAGE_NOTICE = (
 SKIPPED_PREFIX = "Interpretação por LLM não gerada"
 FALLBACK_TAIL = "Nao foi possivel gerar a interpretacao pela LLM neste momento. Detalhes tecnicos: "
 FALLBACK_MARKER = "nao foi possivel gerar a interpretacao pela llm"
+FALLBACK_ENDING = "o pela llm"
 RETRY_MARKERS = ["429", "quota", "resource_exhausted", "rate limit", "too many requests"]
 SECTION_STEMS = {
     "tem_secao_resumo": "resumo",

@@ -66,8 +66,13 @@ def folded(text) -> Column:
 
 
 def is_fallback(text) -> Column:
-    """Finds the fallback sentence in either spelling."""
-    return F.coalesce(folded(text).contains(K.FALLBACK_MARKER), F.lit(False))
+    """Finds the fallback sentence with or without its accents.
+
+    The plain ending of the sentence is looked for first, so that accents are
+    only folded in texts that have it.
+    """
+    ending = F.lower(R.col(text)).contains(K.FALLBACK_ENDING)
+    return F.coalesce(ending & folded(text).contains(K.FALLBACK_MARKER), F.lit(False))
 
 
 def has_section(text, stem: str) -> Column:

@@ -45,8 +45,9 @@ def drawn_gene(u: Column) -> tuple[Column, Column]:
 def sampled_genes(slots: DataFrame, genes: DataFrame, *parts: str) -> DataFrame:
     """Every gene of its model drawn for every slot; ``parts`` are the columns that seed the draw."""
     rows = slots.join(F.broadcast(genes), "model")
-    num, cat = drawn_gene(uniform(*[F.col(p) for p in parts], F.col("gene"), "init"))
-    return rows.withColumns({"num": num, "cat": cat}).drop("kind", "low", "high", "choices")
+    rows = rows.withColumn("u", uniform(*[F.col(p) for p in parts], F.col("gene"), "init"))
+    num, cat = drawn_gene(F.col("u"))
+    return rows.withColumns({"num": num, "cat": cat}).drop("u", "kind", "low", "high", "choices")
 
 
 def initial_population(slots: DataFrame, genes: DataFrame) -> DataFrame:
@@ -112,13 +113,14 @@ def mutation(children: DataFrame, genes: DataFrame, config: DataFrame, gen: int)
     )
     at = [F.col("seed"), F.lit(str(gen)), F.col("slot"), F.col("gene")]
     hit = uniform(*at, "mut") < F.col("mut_prob")
-    num, cat = drawn_gene(uniform(*at, "new"))
+    rows = rows.withColumns({"hit": hit, "u": uniform(*at, "new")})
+    num, cat = drawn_gene(F.col("u"))
     return rows.select(
         *BY,
         "slot",
         "gene",
-        F.when(hit, num).otherwise(F.col("old_num")).alias("num"),
-        F.when(hit, cat).otherwise(F.col("old_cat")).alias("cat"),
+        F.when(F.col("hit"), num).otherwise(F.col("old_num")).alias("num"),
+        F.when(F.col("hit"), cat).otherwise(F.col("old_cat")).alias("cat"),
     )
 
 

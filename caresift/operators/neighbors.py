@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caresift.functions.draws import hashed
+from caresift.session import materialize
 
 BLOCK_ROWS = 2048
 
@@ -98,7 +99,7 @@ def nearest(
             out += [np.flatnonzero(row).astype(np.int32) for row in keep]
         return pd.Series(out)
 
-    routed = asked.withColumn("cell", F.explode(reachable("vec")))
+    routed = materialize(asked.withColumn("cell", F.explode(reachable("vec"))), "routed-queries")
     loads = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     n_blocks = [max(1, -(-int(s) // block_rows)) for s in sizes]
     q_blocks = [max(1, -(-loads.get(c, 0) // block_rows)) for c in range(len(points))]

@@ -64,6 +64,8 @@ def prefix_aggregates(
     Keys in ``by`` must not be null.
     """
     by = list(by)
+    # One exchange serves the rows and the cell totals, so ``df`` is computed once.
+    df = df.repartition(*by, cell)
     arrow = F.desc if descending else F.asc
     inside = W.partitionBy(*by, cell).orderBy(arrow(order))
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -168,48 +170,61 @@ def rank_cuts(
     stratum: str,
     digest: str,
     targets: dict[str, Column],
-    digits: int = 4,
+    step: int = 3,
+    sortable: int = 1_000_000,
 ) -> DataFrame:
     """For each stratum, the digest found at some ranks of the digest order.
 
     ``targets`` maps a name to a rank expression over ``n``, the stratum size
-    (rank 0 gives an empty digest, below all others). Cells of the digest are
-    counted first; only the cell that holds a target rank is ever sorted, so the
-    work per task is n / 16**digits rows.
+    (rank 0 gives an empty digest, below all others). Rows are counted per
+    leading digits of the digest; the cells that hold a target rank are counted
+    again with more digits until they are small enough to be sorted. No other
+    row is ever moved.
     """
-    cells = (
-        df.select(stratum, hash_cell(F.col(digest), digits).alias("cell"))
-        .groupBy(stratum, "cell")
-        .agg(F.count("*").alias("rows"))
-    )
-    along = W.partitionBy(stratum).orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = cells.select(
-        stratum,
-        "cell",
-        F.sum("rows").over(along).alias("upto"),
-        (F.sum("rows").over(along) - F.col("rows")).alias("before"),
-        F.sum("rows").over(W.partitionBy(stratum)).alias("n"),
-    )
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("cut"), v.cast("long").alias("rank")) for k, v in targets.items()])
-    )
-    hits = (
-        running.select("*", wanted.alias("w"))
-        .select(stratum, "cell", "before", "upto", "n", "w.cut", "w.rank")
-        .filter(
-            ((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto")))
-            | ((F.col("rank") == 0) & (F.col("before") == 0))
+
+    def located(counted: DataFrame, parent: list[str], wanted: DataFrame | None) -> DataFrame:
+        along = W.partitionBy(*parent).orderBy("sub").rowsBetween(W.unboundedPreceding, W.currentRow)
+        running = counted.select(
+            *parent,
+            "sub",
+            "rows",
+            F.sum("rows").over(along).alias("upto"),
+            F.sum("rows").over(W.partitionBy(*parent)).alias("n"),
+        ).withColumn("before", F.col("upto") - F.col("rows"))
+        if wanted is None:
+            ranks = F.array(
+                *[F.struct(F.lit(k).alias("cut"), v.cast("long").alias("place")) for k, v in targets.items()]
+            )
+            placed = running.select("*", F.explode(ranks).alias("w")).select("*", "w.cut", "w.place")
+        else:
+            placed = running.join(wanted.drop("rows"), parent)
+        inside = (F.col("place") > F.col("before")) & (F.col("place") <= F.col("upto"))
+        lowest = (F.col("place") == 0) & (F.col("before") == 0)
+        return checked_broadcast(
+            placed.filter(inside | lowest).select(
+                stratum, F.col("sub").alias("cell"), "cut", (F.col("place") - F.col("before")).alias("place"), "rows"
+            )
         )
-    )
-    hits = checked_broadcast(hits.select(stratum, "cell", "cut", "rank", (F.col("rank") - F.col("before")).alias("place")))
+
+    depth = step
+    first = df.select(stratum, hash_cell(F.col(digest), depth).alias("sub"))
+    hits = located(first.groupBy(stratum, "sub").agg(F.count("*").alias("rows")), [stratum], None)
+    while depth + step <= 30 and (hits.agg(F.max("rows")).first()[0] or 0) > sortable:
+        cells = hits.select(stratum, "cell").distinct()
+        rows = df.select(
+            stratum, hash_cell(F.col(digest), depth).alias("cell"), hash_cell(F.col(digest), depth + step).alias("sub")
+        ).join(cells, [stratum, "cell"], "left_semi")
+        counted = rows.groupBy(stratum, "cell", "sub").agg(F.count("*").alias("rows"))
+        hits = located(counted, [stratum, "cell"], hits)
+        depth += step
     inside = (
-        df.select(stratum, digest, hash_cell(F.col(digest), digits).alias("cell"))
+        df.select(stratum, digest, hash_cell(F.col(digest), depth).alias("cell"))
         .join(hits.select(stratum, "cell").distinct(), [stratum, "cell"], "left_semi")
-        .withColumn("place_in", F.row_number().over(W.partitionBy(stratum, "cell").orderBy(digest)))
+        .withColumn("place", F.row_number().over(W.partitionBy(stratum, "cell").orderBy(digest)).cast("bigint"))
+    )
+    found = hits.join(inside, [stratum, "cell", "place"], "left").select(
+        stratum, "cut", F.coalesce(F.col(digest), F.lit("")).alias("edge")
     )
-    found = hits.join(
-        inside.withColumnRenamed("place_in", "place"), [stratum, "cell", "place"], "left"
-    ).select(stratum, "cut", F.coalesce(F.col(digest), F.lit("")).alias("edge"))
     return found.groupBy(stratum).pivot("cut", list(targets)).agg(F.first("edge"))
 
 
@@ -246,7 +261,7 @@ def positions_by_score(
         .filter((F.col("skip") >= F.col("upto") - F.col("n")) & (F.col("skip") < F.col("upto")))
         .select(score, "cell", "position", (F.col("skip") - F.col("upto") + F.col("n") + 1).alias("place"))
     ).collect()
-    targets = spark.createDataFrame(located, f"`{score}` double, cell int, position int, place bigint")
+    targets = spark.createDataFrame(located, f"`{score}` double, cell string, position int, place bigint")
     rows = tied.join(F.broadcast(targets.select(score, "cell").distinct()), [score, "cell"], "left_semi")
     placed = rows.withColumn(
         "place",

@@ -9,6 +9,7 @@ from caresift.functions.constants import IMAGE_SPACE, TABULAR_EXPERIMENTS, TABUL
 from caresift.functions.draws import uniform
 from caresift.plans.views import draw_sql
 from caresift.sources.documents import epoch_rows
+from caresift.session import spread
 from caresift.sources.tables import table
 
 PHASES = [(0, 5), (1, 3)]
@@ -38,7 +39,7 @@ def history_documents(spark: SparkSession, sf: str) -> DataFrame:
         )
         for phase, n in PHASES
     ]
-    orders = table(spark, sf, "orders")
+    orders = spread(table(spark, sf, "orders").select("o_orderkey"))
     return orders.select(F.col("o_orderkey").alias("run"), F.explode(F.array(*docs)).alias("d")).select("run", "d.*")
 
 
@@ -74,7 +75,7 @@ def result_documents(spark: SparkSession, sf: str) -> DataFrame:
         for exp in RESULT_RUNS:
             runs += [F.lit(exp), run(model, exp)]
         models += [F.lit(model), F.create_map(*runs)]
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer").select("c_custkey")).select(
         key.alias("doc_id"), F.to_json(F.create_map(*models)).alias("doc")
     )
 
@@ -147,7 +148,7 @@ def logs(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Baseline RandomForest\n  Accuracy: "), number("acc"), F.lit("\n  Recall: "), number("rec"), F.lit("\n")
     )
     text = F.concat(F.when(key % 3 == 0, head).otherwise("Accuracy solta\n"), F.lit("Gen 1/3 - melhor fitness: 0.5\n"), tail)
-    return table(spark, sf, "orders").select(key.alias("log_id"), text.alias("log"))
+    return spread(table(spark, sf, "orders").select("o_orderkey")).select(key.alias("log_id"), text.alias("log"))
 
 
 def _ln(name: str) -> str:
@@ -182,7 +183,7 @@ def search_slots(spark: SparkSession, sf: str) -> DataFrame:
             *[F.struct(F.lit(e["name"]).alias("experiment"), F.lit(str(e["seed"])).alias("seed")) for e in TABULAR_EXPERIMENTS]
         )
     ).alias("run")
-    base = table(spark, sf, "customer").select(F.col("c_custkey").alias("cand"), models)
+    base = spread(table(spark, sf, "customer").select("c_custkey")).select(F.col("c_custkey").alias("cand"), models)
     return base.select("cand", "model", runs).select("model", "run.experiment", "run.seed", "cand")
 
 

@@ -17,7 +17,7 @@ from caresift.operators import prep as P
 from caresift.operators import schema as B
 from caresift.operators import split as D
 from caresift.operators import thresholds as T
-from caresift.session import materialize
+from caresift.session import materialize, spread
 
 
 @dataclass
@@ -40,7 +40,8 @@ def prepare_dataset(
 ) -> Dataset:
     """Rename, code the target, split 60/20/20, add the group and fit the preparation."""
     coded = B.with_group(B.coded_target(B.spaced_names(df), target), group)
-    rows = materialize(D.split_60_20_20(coded.drop(target), key, "y_true", seed), "dataset")
+    stored = materialize(spread(coded.drop(target)), "dataset")
+    rows = D.split_60_20_20(stored, key, "y_true", seed)
     features = [c for c in rows.columns if c not in (key, "y_true", "grp", "split")]
     categorical, numeric = P.column_roles(rows, features)
     prep = P.fit_preparation(rows.filter("split = 'train'"), categorical, numeric)

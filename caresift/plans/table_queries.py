@@ -21,6 +21,7 @@ from caresift.plans.views import (
     scored,
     survey,
 )
+from caresift.session import materialize, spread
 from caresift.sources.tables import table
 
 # --- schema -----------------------------------------------------------------------
@@ -482,7 +483,8 @@ _MODE = """(SELECT "GENDER" FROM tr WHERE "GENDER" IS NOT NULL GROUP BY 1 ORDER
 
 
 def _split(spark, sf):
-    return D.split_60_20_20(survey(spark, sf), "case_key", "LUNG_CANCER")
+    rows = materialize(spread(survey(spark, sf)), "survey")
+    return D.split_60_20_20(rows, "case_key", "LUNG_CANCER")
 
 
 def _fitted(spark, sf):

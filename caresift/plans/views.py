@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caresift.functions import texts as T
 from caresift.operators.scoring import risk_band
+from caresift.session import spread
 from caresift.sources.tables import table
 
 CASE_KEY_SQL = (
@@ -19,7 +20,7 @@ def case_key():
     return F.concat_ws(
         "-",
         *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+        F.rint(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
     )
 
 
@@ -110,7 +111,8 @@ TEXTS = f"""texts AS (
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """One explanation per scored row, with a defect planted by order number."""
-    base = scored(spark, sf).withColumn("risk_level", risk_band()).withColumn("pct", T.percent_text("y_prob"))
+    rows = scored(spark, sf).select("case_key", "model", "y_prob", "order_no")
+    base = spread(rows).withColumn("risk_level", risk_band()).withColumn("pct", T.percent_text("y_prob"))
     band, model, pct = F.col("risk_level"), F.col("model"), F.col("pct")
     opening = F.concat(F.lit(_OPENING[0]), model, F.lit(_OPENING[1]), pct, F.lit(_OPENING[2]))
     wrong = F.when(band == "alto", "baixo").otherwise("alto")

@@ -55,6 +55,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when their files give fewer splits than there are cores.
+
+    A small file with one row group is read by one task however many cores are
+    idle. Large inputs have more splits than cores and stay as they are.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to shared storage and read it back, cutting its lineage."""
     path = scratch_path(df.sparkSession, label)

@@ -45,13 +45,12 @@ def epoch_rows(df: DataFrame, run: str, phase: str, text: str) -> DataFrame:
     The epoch offset of a phase is the running length of the phases before it.
     """
     docs = df.select(run, phase, F.explode(F.from_json(text, HISTORY_SCHEMA)).alias("metric", "values"))
-    lengths = docs.select(run, "metric", phase, F.size("values").cast("bigint").alias("epochs")).withColumn(
-        "cell", F.floor(F.col(phase) / 4096)
+    sized = docs.withColumns(
+        {"epochs": F.size("values").cast("bigint"), "cell": F.floor(F.col(phase) / 4096)}
     )
-    offsets = prefix_aggregates(lengths, [run, "metric"], phase, {"upto": ("sum", "epochs")})
-    placed = docs.join(offsets.select(run, "metric", phase, F.col("upto_before").alias("first")), [run, "metric", phase])
-    return placed.select(run, "metric", "first", F.posexplode("values").alias("at", "value")).select(
-        run, "metric", (F.col("first") + F.col("at")).alias("epoch"), "value"
+    placed = prefix_aggregates(sized, [run, "metric"], phase, {"upto": ("sum", "epochs")})
+    return placed.select(run, "metric", "upto_before", F.posexplode("values").alias("at", "value")).select(
+        run, "metric", (F.col("upto_before") + F.col("at")).alias("epoch"), "value"
     )
 
 
