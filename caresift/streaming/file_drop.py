@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from caresift.functions.constants import CSV_EXTENSIONS
+from caresift.operators.ordering import with_row_index
+from caresift.operators.schema import aligned, alignment_status
+from caresift.operators.scoring import with_file_status
+
 
 def arriving_csv(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
     """Rows of CSV files as they arrive, each with the name of its file."""
@@ -40,3 +45,104 @@ def score_arrivals(
         .start()
     )
     query.awaitTermination()
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by their header line; one short string per file reaches the driver."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+    first = lines.groupBy("file_path").agg(F.min_by("value", F.struct("block", "at")).alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.collect():
+        found.setdefault(r["header"], []).append(r["file_path"])
+    return found
+
+
+def score_csv_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    expected: Mapping[str, str],
+    score: Callable[[DataFrame], DataFrame],
+) -> tuple[DataFrame, DataFrame]:
+    """Score survey files whose column spellings differ from file to file.
+
+    ``expected`` maps column names to types. Returns the scored rows with
+    ``file_path`` and a 0-based ``row_index`` in each file, and one status row per
+    file. A file with a wrong suffix or missing columns gets an error status and
+    no rows; the others are not affected. Files with one header are read together.
+    """
+    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    by_suffix = with_file_status(listed, "file_path", CSV_EXTENSIONS).collect()
+    status = [(r["file_path"], r["status"], r["message"]) for r in by_suffix if r["status"] == "error"]
+    good = [r["file_path"] for r in by_suffix if r["status"] == "success"]
+    scored = None
+    for files in (_headers(spark, good) if good else {}).values():
+        rows = spark.read.option("header", True).csv(files)
+        state, message = alignment_status(rows, list(expected))
+        status += [(p, state, message) for p in files]
+        if state == "error":
+            continue
+        placed = aligned(
+            rows.select(
+                "*",
+                F.col("_metadata.file_path").alias("file_path"),
+                F.col("_metadata.file_block_start").alias("file_block"),
+                F.monotonically_increasing_id().alias("file_place"),
+            ),
+            [*expected, "file_path", "file_block", "file_place"],
+        )
+        typed = placed.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in expected.items()})
+        part = score(typed)
+        scored = part if scored is None else scored.unionByName(part)
+    report = spark.createDataFrame(status, "file_path string, status string, message string")
+    if scored is None:
+        return spark.createDataFrame([], "file_path string, row_index bigint"), report
+    whole = with_row_index(scored, ["file_path", "file_block", "file_place"], "row_index")
+    first = whole.groupBy("file_path").agg(F.min("row_index").alias("file_first"))
+    numbered = whole.join(F.broadcast(first), "file_path").withColumn(
+        "row_index", F.col("row_index") - F.col("file_first")
+    )
+    return numbered.drop("file_block", "file_place", "file_first"), report
+
+
+def score_csv_arrivals(
+    spark: SparkSession,
+    folder: str,
+    expected: Mapping[str, str],
+    score: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+) -> None:
+    """Score every file dropped into ``folder`` since the last run, each on its own.
+
+    At most ``files_per_batch`` file names reach the driver per batch. A replayed
+    batch replaces its own earlier output.
+    """
+
+    def one_batch(batch: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
+            return
+        rows, report = score_csv_files(spark, paths, expected, score)
+        rows.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+        report.write.mode("overwrite").parquet(f"{out}/status/batch={number}")
+
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(folder)
+        .select("path")
+    )
+    query = (
+        arrivals.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
