@@ -14,7 +14,19 @@ from caresift.operators import split as D
 from caresift.operators import thresholds as T
 from caresift.plans import search
 from caresift.plans.registry import query, rounded
-from caresift.plans.views import SURVEY, SURVEY_NUMBERS, survey
+from caresift.functions.constants import COARSE_GRID
+from caresift.plans.table_queries import CUT60, TVT, split_sql
+from caresift.plans.views import (
+    ACCURACY,
+    CONFUSION,
+    F1,
+    PRECISION,
+    RECALL,
+    SPECIFICITY,
+    SURVEY,
+    SURVEY_NUMBERS,
+    survey,
+)
 from caresift.session import scratch_path
 from caresift.sources.tables import table
 
@@ -167,3 +179,67 @@ def model_artifact(spark, sf):
     )
 
 
+
+
+# --- models with a closed form --------------------------------------------------------
+# A logistic model that can tell all values of its only input apart gives each value its
+# class frequency, so these fits have SQL to compare with.
+
+_CODED = f"""{SURVEY}, base AS (SELECT case_key, CASE "LUNG_CANCER" WHEN 'YES' THEN 1 ELSE 0 END AS y_true, "GENDER", "SMOKING" FROM survey),
+  {split_sql('base', 'case_key', 'y_true', *CUT60, TVT)},
+  mode AS (SELECT "GENDER" AS g FROM parts WHERE split = 'train' AND "GENDER" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+  mode2 AS (SELECT "GENDER" AS g FROM parts WHERE split <> 'test' AND "GENDER" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""
+_PLAIN_LOGISTIC = {"C": 1e9, "max_iter": 200}
+
+
+def _by_gender(spark, sf):
+    return search.prepare_dataset(survey(spark, sf).select("case_key", "GENDER", "LUNG_CANCER"), "case_key")
+
+
+@query(
+    "g06_saturated_logistic",
+    f"""WITH {_CODED}, f AS (SELECT coalesce("GENDER", (SELECT g FROM mode)) AS g, avg(y_true) AS p FROM parts WHERE split = 'train' GROUP BY 1)
+    SELECT case_key, round(p, 4) AS y_prob FROM parts JOIN f ON f.g = coalesce("GENDER", (SELECT g FROM mode)) WHERE split <> 'train'""",
+)
+def saturated_logistic(spark, sf):
+    data = _by_gender(spark, sf)
+    fitted = MOD.fit(MOD.LOGISTIC, _PLAIN_LOGISTIC, data.part("train"), data.prep)
+    return fitted.score(data.part("val", "test")).select("case_key", F.round("y_prob", 4).alias("y_prob"))
+
+
+_GRID = ", ".join(f"({t!r}::DOUBLE)" for t in COARSE_GRID)
+_REFIT = f"""WITH {_CODED}, f AS (SELECT coalesce("GENDER", (SELECT g FROM mode)) AS g, avg(y_true) AS p FROM parts WHERE split = 'train' GROUP BY 1),
+  val AS (SELECT y_true, p AS y_prob FROM parts JOIN f ON f.g = coalesce("GENDER", (SELECT g FROM mode)) WHERE split = 'val'),
+  grid(t) AS (VALUES {_GRID}),
+  c AS (SELECT t, {CONFUSION.format(p='y_prob >= t')} FROM val CROSS JOIN grid GROUP BY t),
+  best AS (SELECT t FROM c ORDER BY {RECALL} DESC, {F1} DESC, {SPECIFICITY} DESC, t LIMIT 1),
+  f2 AS (SELECT coalesce("GENDER", (SELECT g FROM mode2)) AS g, avg(y_true) AS p FROM parts WHERE split <> 'test' GROUP BY 1),
+  test AS (SELECT case_key, y_true, p AS y_prob FROM parts JOIN f2 ON f2.g = coalesce("GENDER", (SELECT g FROM mode2)) WHERE split = 'test')"""
+
+
+@query(
+    "i17_saturated_refit",
+    f"""{_REFIT}, k AS (SELECT (SELECT t FROM best) AS threshold, {CONFUSION.format(p='y_prob >= (SELECT t FROM best)')} FROM test)
+    SELECT tp, fp, fn, tn, round({ACCURACY}, 6) AS accuracy, round({PRECISION}, 6) AS precision, round({RECALL}, 6) AS recall,
+      round({SPECIFICITY}, 6) AS specificity, round({F1}, 6) AS f1, threshold FROM k""",
+)
+def saturated_refit(spark, sf):
+    _, _, test = search.final_model(_by_gender(spark, sf), MOD.LOGISTIC, _PLAIN_LOGISTIC)
+    return rounded(test, *_RATES)
+
+
+@query(
+    "a09_saturated_artifact",
+    f"{_REFIT} SELECT case_key, round(y_prob, 4) AS y_prob, y_prob >= (SELECT t FROM best) AS disease_detected FROM test",
+)
+def saturated_artifact(spark, sf):
+    data = _by_gender(spark, sf)
+    fitted, chosen, test = search.final_model(data, MOD.LOGISTIC, _PLAIN_LOGISTIC)
+    path = scratch_path(spark, "artifact")
+    MOD.save_artifact(fitted, path, chosen.first()["threshold"], data.features, test.first().asDict())
+    loaded, meta = MOD.load_artifact(path)
+    return loaded.score(data.part("test")).select(
+        "case_key",
+        F.round("y_prob", 4).alias("y_prob"),
+        (F.col("y_prob") >= meta["threshold"]).alias("disease_detected"),
+    )

@@ -369,18 +369,18 @@ def split_sql(source: str, key: str, label: str, first: str, second: str, names:
       parts AS (SELECT *, CASE WHEN rk <= {first} THEN '{names[0]}' WHEN rk <= {second} THEN '{names[1]}' ELSE '{names[2]}' END AS split FROM ranked)"""
 
 
-_CUT60 = ("floor(n * 0.6::DOUBLE + 0.5)", "floor(n * 0.8::DOUBLE + 0.5)")
+CUT60 = ("floor(n * 0.6::DOUBLE + 0.5)", "floor(n * 0.8::DOUBLE + 0.5)")
 _CUT70 = ("floor(n * 0.7::DOUBLE + 0.5)", "floor(n * 0.85::DOUBLE + 0.5)")
 _CUT20 = (
     "floor(n * 0.2::DOUBLE + 0.5)",
     "floor(n * 0.2::DOUBLE + 0.5) + floor((n - floor(n * 0.2::DOUBLE + 0.5)) * 0.25::DOUBLE + 0.5)",
 )
-_TVT = ("train", "val", "test")
+TVT = ("train", "val", "test")
 
 
 @query(
     "d01_split_60_20_20",
-    f"WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *_CUT60, _TVT)} SELECT case_key, y_true, split FROM parts",
+    f"WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *CUT60, TVT)} SELECT case_key, y_true, split FROM parts",
 )
 def split_60_20_20(spark, sf):
     return D.split_60_20_20(scored(spark, sf), "case_key", "y_true").select("case_key", "y_true", "split")
@@ -396,7 +396,7 @@ def split_test_first(spark, sf):
 
 @query(
     "d03_split_70_15_15",
-    f"WITH {split_sql('embeddings', 'vec_id', 'label', *_CUT70, _TVT)} SELECT vec_id, label, split FROM parts",
+    f"WITH {split_sql('embeddings', 'vec_id', 'label', *_CUT70, TVT)} SELECT vec_id, label, split FROM parts",
 )
 def split_70_15_15(spark, sf):
     vectors = table(spark, sf, "embeddings").withColumn("key", F.col("vec_id").cast("string"))
@@ -405,7 +405,7 @@ def split_70_15_15(spark, sf):
 
 @query(
     "d04_split_report",
-    f"""WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *_CUT60, _TVT)},
+    f"""WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *CUT60, TVT)},
     c AS (SELECT split, y_true, count(*) AS n FROM parts GROUP BY ALL)
     SELECT split, y_true, n, round(n::DOUBLE / sum(n) OVER (PARTITION BY split), 6) AS share FROM c""",
 )
@@ -443,7 +443,7 @@ def first_per_class(spark, sf):
 
 @query(
     "d08_train_and_val",
-    f"""WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *_CUT60, _TVT)} SELECT case_key, split FROM parts WHERE split <> 'test'""",
+    f"""WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *CUT60, TVT)} SELECT case_key, split FROM parts WHERE split <> 'test'""",
 )
 def train_and_val(spark, sf):
     return D.train_and_val(D.split_60_20_20(scored(spark, sf), "case_key", "y_true")).select("case_key", "split")
@@ -478,7 +478,7 @@ def sample_coverage(spark, sf):
 
 # --- preparation ------------------------------------------------------------------------
 
-_PARTS = f"""WITH {SURVEY}, {split_sql('survey', 'case_key', '"LUNG_CANCER"', *_CUT60, _TVT)}, tr AS (SELECT * FROM parts WHERE split = 'train')"""
+_PARTS = f"""WITH {SURVEY}, {split_sql('survey', 'case_key', '"LUNG_CANCER"', *CUT60, TVT)}, tr AS (SELECT * FROM parts WHERE split = 'train')"""
 _MODE = """(SELECT "GENDER" FROM tr WHERE "GENDER" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""
 
 
@@ -542,7 +542,16 @@ def fit_on_train(spark, sf):
     return out.select("case_key", "split", "GENDER_F", *[r6(F.col(f"`{c}`"), c) for c in SURVEY_NUMBERS])
 
 
-@query("e06_assembled_features")
+_NAMED = {f"GENDER_{g}": f"CASE WHEN coalesce(\"GENDER\", {_MODE}) = '{g}' THEN 1.0::DOUBLE ELSE 0 END" for g in "FM"}
+
+
+@query(
+    "e06_assembled_features",
+    f"""{_PARTS}, z AS (SELECT {', '.join(f'{v} AS "{k}"' for k, v in _NAMED.items())}, {_STD_SQL.replace(', 6) AS', ', 12) AS')} FROM parts) """
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, round(avg("{c}"), 6) AS mean, count(*) AS n FROM z""" for c in [*_NAMED, *SURVEY_NUMBERS]
+    ),
+)
 def assembled_features(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
