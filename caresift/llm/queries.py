@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, warc
+from caresift.llm import bitpack, decontam, langid, simhash_vp, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_langid": langid.op2_langid,
     "op6_bitpack": bitpack.op6_bitpack,
+    "op9_simhash_vp": simhash_vp.op9_simhash_vp,
+    "op10_decontam": decontam.op10_decontam,
 }
 
 ORACLES: dict[str, str] = {
