@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decontam, langid, simhash_vp, warc
+from caresift.llm import bitpack, decontam, langid, mixing, simhash_vp, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_langid": langid.op2_langid,
+    "op5_mixing": mixing.op5_mixing,
     "op6_bitpack": bitpack.op6_bitpack,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
     "op10_decontam": decontam.op10_decontam,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_mixing": mixing.OP5_SQL,
     "op1_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body FROM pages
