@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decontam, langid, mixing, simhash_vp, warc
+from caresift.llm import bitpack, decontam, langid, mixing, reputation, simhash_vp, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_langid": langid.op2_langid,
+    "op3_url_reputation": reputation.op3_url_reputation,
     "op5_mixing": mixing.op5_mixing,
     "op6_bitpack": bitpack.op6_bitpack,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_url_reputation": reputation.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op1_warc": """
         WITH p AS (
