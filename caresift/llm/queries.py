@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decontam, langid, mixing, reputation, simhash_vp, warc
+from caresift.llm import bitpack, decontam, langid, mixing, reputation, simhash_vp, tagpaths, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_reputation": reputation.op3_url_reputation,
     "op5_mixing": mixing.op5_mixing,
     "op6_bitpack": bitpack.op6_bitpack,
+    "op7_tag_paths": tagpaths.op7_tag_paths,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
     "op10_decontam": decontam.op10_decontam,
 }
