@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decontam, langid, mixing, reputation, simhash_vp, tagpaths, warc
+from caresift.llm import bitpack, decision_lists, decontam, langid, mixing, reputation, simhash_vp, tagpaths, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_bitpack": bitpack.op6_bitpack,
     "op7_tag_paths": tagpaths.op7_tag_paths,
+    "op8_decision_list": decision_lists.op8_decision_list,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
     "op10_decontam": decontam.op10_decontam,
 }
