@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decision_lists, decontam, langid, mixing, reputation, simhash_vp, tagpaths, warc
+from caresift.llm import bitpack, decision_lists, decontam, langid, mixing, pii, reputation, simhash_vp, tagpaths, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_langid": langid.op2_langid,
     "op3_url_reputation": reputation.op3_url_reputation,
+    "op4_pii": pii.op4_pii,
     "op5_mixing": mixing.op5_mixing,
     "op6_bitpack": bitpack.op6_bitpack,
     "op7_tag_paths": tagpaths.op7_tag_paths,
