@@ -258,8 +258,8 @@ def write_packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     """Encodes every text, appends ``end_id`` and writes the ids in ascending doc_id order.
 
     ``docs`` has doc_id and text; other columns are ignored, a null text is empty, a
-    null doc_id comes first, and repeated ids are ordered by their text. Rows are
-    spread by ranges of (doc_id, text), so one repeated id can be spread too. Returns the table of files in
+    null doc_id comes first, and repeated ids are ordered by a hash of their text. Rows are
+    spread by ranges of both, so one repeated id can be spread too. Returns the table of files in
     order with ``base``, the number of ids in all files before; an empty table gives no file.
     """
     import pyarrow as pa
@@ -294,9 +294,9 @@ def write_packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
         types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(types)], names=names)
 
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    spread = ordered.withColumn("shard", F.spark_partition_id())
-    files = spread.select("doc_id", "text").mapInArrow(write, FILE_SCHEMA)
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
+    ordered = ordered.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    files = ordered.mapInArrow(write, FILE_SCHEMA)
     files = files.withColumn("place", F.monotonically_increasing_id())
     return file_bases(materialize(files, "packed-files"))
 
