@@ -60,7 +60,7 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
 
 
 def _strength(table: DataFrame) -> float:
-    """The prior's weight in pages, by moments of the beta-binomial over the groups of one level."""
+    """The prior's weight in pages, by moments of the beta-binomial over the groups of one level; 1 if none has a page."""
     r = table.agg(
         F.count(F.lit(1)).alias("j"),
         F.sum("n").alias("n"),
@@ -69,7 +69,7 @@ def _strength(table: DataFrame) -> float:
         F.sum((F.col("n") * F.col("n")).cast("decimal(38,0)")).cast("double").alias("nn"),
     ).first()
     if not r["n"]:
-        return 0.0
+        return 1.0
     p = r["bad"] / r["n"]
     inside = p * (1 - p)
     room = inside * (r["n"] - r["nn"] / r["n"] - (r["j"] - 1))
@@ -105,20 +105,20 @@ def reputations(outcomes: DataFrame) -> DataFrame:
         return (F.col("bad") + F.lit(k) * prior) / (F.col("n") + F.lit(k))
 
     by_suffix = suffixes.select(
-        F.col("suffix").alias("s"), F.coalesce(shrunk(F.lit(overall), k_suffix), F.lit(overall)).alias("suffix_mean")
+        F.col("suffix").alias("s"), shrunk(F.lit(overall), k_suffix).alias("suffix_mean")
     )
     by_domain = domains.join(by_suffix, F.col("suffix") == F.col("s")).select(
         F.col("domain").alias("d"),
         F.col("suffix").alias("ds"),
-        F.coalesce(shrunk(F.col("suffix_mean"), k_domain), F.col("suffix_mean")).alias("prior"),
+        shrunk(F.col("suffix_mean"), k_domain).alias("prior"),
     )
     by_domain = materialize(by_domain, "domain-priors")
     joined = hosts.join(by_domain, (F.col("domain") == F.col("d")) & (F.col("suffix") == F.col("ds")))
     a = F.col("bad") + F.lit(k_host) * F.col("prior")
     b = F.col("n") - F.col("bad") + F.lit(k_host) * (1 - F.col("prior"))
     posterior = joined.withColumns({"a": a, "b": b, "ab": a + b})
-    mean = F.coalesce(F.col("a") / F.col("ab"), F.col("prior"))
-    sd = F.coalesce(F.sqrt(F.col("a") * F.col("b") / (F.col("ab") * F.col("ab") * (F.col("ab") + 1))), F.lit(0.0))
+    mean = F.col("a") / F.col("ab")
+    sd = F.sqrt(F.col("a") * F.col("b") / (F.col("ab") * F.col("ab") * (F.col("ab") + 1)))
     return posterior.select("host", "n", "bad", mean.alias("mean"), (mean - F.lit(BOUND_SDS) * sd).alias("low"))
 
 

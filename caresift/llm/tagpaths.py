@@ -61,7 +61,8 @@ PAGE_ONLY = frozenset(("header", "masthead"))
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+)>", re.DOTALL
 )
-_LOOSE = re.compile(r"</?[A-Za-z][^<>]*>")
+#: Tags with a quote that is never closed, and one that the page breaks off in.
+_LOOSE = re.compile(r"</?[A-Za-z][^<>]*(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.IGNORECASE)
 _NAME_WORDS = re.compile(r"[a-z0-9]+")
 
