@@ -23,15 +23,21 @@ def floored_ratio(num, den) -> Column:
     return col(num) / F.greatest(col(den), F.lit(1))
 
 
+def reaches(score: Column, threshold: Column) -> Column:
+    """Whether a score reaches a threshold; a null or NaN score never does."""
+    return F.coalesce((score >= threshold) & ~F.isnan(score), F.lit(False))
+
+
 def decide(score="y_prob", threshold=0.5) -> Column:
     """1 where the score reaches the threshold."""
-    return (col(score) >= (F.lit(threshold) if not isinstance(threshold, Column) else threshold)).cast("int")
+    t = F.lit(threshold) if not isinstance(threshold, Column) else threshold
+    return reaches(col(score), t).cast("int")
 
 
 def decide_float(score="y_prob", threshold=0.5) -> Column:
     """The same decision in single precision, as the image scores are held."""
     t = F.lit(threshold) if not isinstance(threshold, Column) else threshold
-    return (col(score).cast("float") >= t.cast("float")).cast("int")
+    return reaches(col(score).cast("float"), t.cast("float")).cast("int")
 
 
 def confusion(truth="y_true", pred="y_pred") -> list[Column]:

@@ -11,14 +11,15 @@ from caresift.operators.ordering import order_cuts, prefix_aggregates, with_rang
 
 
 def score_histogram(df: DataFrame, by: Sequence[str], score: str = "y_prob") -> DataFrame:
-    """Positives and negatives per distinct score; ties collapse before the shuffle."""
-    return (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("score"))
-        .agg(
-            F.count_if(F.col("y_true") == 1).alias("pos"),
-            F.count_if(F.col("y_true") == 0).alias("neg"),
-        )
+    """Positives and negatives per distinct score; ties collapse before the shuffle.
+
+    A null or NaN score reaches no threshold, so it stands below all others.
+    """
+    value = F.col(score).cast("double")
+    ranked = F.when(value.isNull() | F.isnan(value), float("-inf")).otherwise(value)
+    return df.groupBy(*by, ranked.alias("score")).agg(
+        F.count_if(F.col("y_true") == 1).alias("pos"),
+        F.count_if(F.col("y_true") == 0).alias("neg"),
     )
 
 

@@ -91,18 +91,16 @@ def tournament(slots: DataFrame, fitness: DataFrame, size: str, k: int = 3, dist
 
 
 def crossover(winners: DataFrame, population: DataFrame, config: DataFrame, gen: int, take: str = "B") -> DataFrame:
-    """Children by uniform crossover: each gene comes from parent ``take`` with cx_prob."""
-    genes = winners.join(population, [*BY, "cand"])
-    value = F.struct("num", "cat")
-    pairs = genes.groupBy(*BY, "slot", "gene").agg(
-        F.max(F.when(F.col("parent") == "A", value)).alias("a"),
-        F.max(F.when(F.col("parent") == "B", value)).alias("b"),
-    )
+    """Children by uniform crossover: each gene comes from parent ``take`` with cx_prob.
+
+    The giving parent is drawn per gene, so a gene is looked up and no pair of parents is put together.
+    """
+    other = "A" if take == "B" else "B"
+    drawn = winners.join(F.broadcast(config.select("experiment", "seed", "cx_prob")), "experiment")
+    genes = drawn.join(population, [*BY, "cand"])
     u = uniform(F.col("seed"), F.lit(str(gen)), F.col("slot"), F.col("gene"), "cx")
-    first, second = (F.col("b"), F.col("a")) if take == "B" else (F.col("a"), F.col("b"))
-    child = F.when(u < F.col("cx_prob"), first).otherwise(second)
-    out = pairs.join(F.broadcast(config.select("experiment", "seed", "cx_prob")), "experiment")
-    return out.select(*BY, "slot", "gene", child.alias("c")).select(*BY, "slot", "gene", "c.num", "c.cat")
+    giver = F.when(u < F.col("cx_prob"), take).otherwise(other)
+    return genes.filter(F.col("parent") == giver).select(*BY, "slot", "gene", "num", "cat")
 
 
 def mutation(children: DataFrame, genes: DataFrame, config: DataFrame, gen: int) -> DataFrame:

@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from caresift.functions.draws import hash_cell, hashed
 from caresift.session import checked_broadcast, materialize
 
+#: Rows a cell of the order is meant to hold.
+CELL_ROWS = 1_000_000
+#: Rows of one tied score that are ranked together.
+TIED_ROWS = 65_536
+
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -29,7 +34,7 @@ def order_cuts(df: DataFrame, column: str, parts: int | None = None) -> list[flo
     steer the balance of the work, never the result.
     """
     if parts is None:
-        parts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2048)
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / CELL_ROWS))
     if parts < 2:
         return []
     probabilities = [i / parts for i in range(1, parts)]
@@ -61,17 +66,19 @@ def prefix_aggregates(
     ``aggregates`` maps a name to (sum|min|max, column). Each gives three
     columns: ``name`` up to and with the row, ``name_before`` strictly before
     it, and ``name_total`` of the group. ``cell`` must rise with ``order``.
-    Keys in ``by`` must not be null.
+    A null in ``by`` is a group like any other.
     """
-    by = list(by)
     # One exchange serves the rows and the cell totals, so ``df`` is computed once.
-    df = df.repartition(*by, cell)
+    # A struct of the keys is never null, and structs with equal nulls are equal.
+    keys = ["group__key"] if by else []
+    df = df.withColumn("group__key", F.struct(*by)) if by else df
+    df = df.repartition(*keys, cell)
     arrow = F.desc if descending else F.asc
-    inside = W.partitionBy(*by, cell).orderBy(arrow(order))
+    inside = W.partitionBy(*keys, cell).orderBy(arrow(order))
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = inside.rowsBetween(W.unboundedPreceding, -1)
     local, totals, offsets = [], [], []
-    across = W.partitionBy(*by).orderBy(arrow(cell)).rowsBetween(W.unboundedPreceding, -1)
+    across = W.partitionBy(*keys).orderBy(arrow(cell)).rowsBetween(W.unboundedPreceding, -1)
     for name, (kind, column) in aggregates.items():
         fn = _COMBINE[kind]
         local += [
@@ -81,11 +88,11 @@ def prefix_aggregates(
         totals.append(fn(column).alias(f"{name}__cell"))
         offsets += [
             fn(f"{name}__cell").over(across).alias(f"{name}__offset"),
-            fn(f"{name}__cell").over(W.partitionBy(*by)).alias(f"{name}_total"),
+            fn(f"{name}__cell").over(W.partitionBy(*keys)).alias(f"{name}_total"),
         ]
-    cells = df.groupBy(*by, cell).agg(*totals).select(*by, cell, *offsets)
-    joined = df.select("*", *local).join(cells, [*by, cell])
-    out = [F.col(c) for c in df.columns if c != cell]
+    cells = df.groupBy(*keys, cell).agg(*totals).select(*keys, cell, *offsets)
+    joined = df.select("*", *local).join(cells, [*keys, cell])
+    out = [F.col(c) for c in df.columns if c not in (cell, *keys)]
     for name, (kind, _) in aggregates.items():
         inn, pre, off = F.col(f"{name}__in"), F.col(f"{name}__pre"), F.col(f"{name}__offset")
         if kind == "sum":
@@ -247,11 +254,19 @@ def positions_by_score(
     at_score = (
         ranked.select(score, "upto", "upto_before", wanted)
         .filter("upto_before <= position and position < upto")
-        .select(score, "position", (F.col("position") - F.col("upto_before")).alias("skip"))
+        .select(
+            score,
+            "position",
+            (F.col("position") - F.col("upto_before")).alias("skip"),
+            (F.col("upto") - F.col("upto_before")).alias("n"),
+        )
     ).collect()
-    scores = spark.createDataFrame(at_score, f"`{score}` double, position int, skip bigint")
+    # digits that leave about TIED_ROWS rows of the largest tie in a cell
+    most = max((r["n"] for r in at_score), default=1)
+    digits = max(4, math.ceil(math.log(max(1, most / TIED_ROWS), 16)))
+    scores = spark.createDataFrame([r[:3] for r in at_score], f"`{score}` double, position int, skip bigint")
     tied = keyed.join(F.broadcast(scores.select(score).distinct()), score, "left_semi").withColumn(
-        "cell", hash_cell(F.col("pick__digest"), 4)
+        "cell", hash_cell(F.col("pick__digest"), digits)
     )
     cells = tied.groupBy(score, "cell").agg(F.count("*").alias("n"))
     along = W.partitionBy(score).orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)

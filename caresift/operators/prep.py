@@ -9,16 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caresift.operators.ordering import exact_quantiles
 from caresift.operators.profile import long_form
 
-#: Levels one categorical column may have before one-hot coding is refused.
-MAX_LEVELS = 10_000
-
 
 @dataclass
 class Preparation:
@@ -44,7 +41,11 @@ def column_roles(df: DataFrame, features: Sequence[str]) -> tuple[list[str], lis
 
 
 def modes_and_levels(df: DataFrame, columns: Sequence[str]) -> tuple[dict, dict]:
-    """Most frequent value (smallest on a tie) and sorted levels of each column."""
+    """Most frequent value (smallest on a tie) and sorted levels of each column.
+
+    Counting and the choice of the mode stay with Spark; one row a column comes to the driver, with
+    the levels that become its coded features, as in a Spark ML string index.
+    """
     if not columns:
         return {}, {}
     entries = F.explode(
@@ -53,15 +54,10 @@ def modes_and_levels(df: DataFrame, columns: Sequence[str]) -> tuple[dict, dict]
     counts = (
         df.select(entries.alias("e")).select("e.*").filter("v is not null").groupBy("c", "v").agg(F.count("*").alias("n"))
     )
-    rows = counts.limit(MAX_LEVELS * len(columns) + 1).collect()
-    if len(rows) > MAX_LEVELS * len(columns):
-        raise ValueError("a categorical column has too many levels to code")
-    modes, levels = {}, {c: [] for c in columns}
-    for c in columns:
-        own = sorted((r["v"], r["n"]) for r in rows if r["c"] == c)
-        levels[c] = [v for v, _ in own]
-        modes[c] = max(own, key=lambda t: t[1])[0] if own else None
-    return modes, levels
+    commonest = F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("mode")
+    rows = {r["c"]: r for r in counts.groupBy("c").agg(commonest, F.array_sort(F.collect_list("v")).alias("levels")).collect()}
+    modes = {c: rows[c]["mode"] if c in rows else None for c in columns}
+    return modes, {c: rows[c]["levels"] if c in rows else [] for c in columns}
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -120,9 +116,19 @@ def prepared(df: DataFrame, prep: Preparation) -> DataFrame:
 
 def assembled(df: DataFrame, prep: Preparation, out: str = "features") -> DataFrame:
     """The prepared features as one vector, coded columns first, then numeric ones."""
-    ready = prepared(df, prep)
-    safe = {name: f"f{i}__prep" for i, name in enumerate(prep.feature_names)}
-    columns = [F.col(f"`{n}`").alias(s) for n, s in safe.items()]
-    kept = [F.col(f"`{c}`") for c in df.columns]
-    vector = VectorAssembler(inputCols=list(safe.values()), outputCol=out, handleInvalid="keep")
-    return vector.transform(ready.select(*kept, *columns)).drop(*safe.values())
+    ready = standardized(imputed(df, prep), prep)
+    coded = [c for c in prep.categorical if prep.levels[c]]
+    text, place, codes = ([f"{kind}{i}__prep" for i in range(len(coded))] for kind in ("t", "i", "c"))
+    numbers = [f"n{i}__prep" for i in range(len(prep.numeric))]
+    added = {t: F.col(f"`{c}`").cast("string") for t, c in zip(text, coded)}
+    added |= {n: F.col(f"`{c}`") for n, c in zip(numbers, prep.numeric)}
+    rows = ready.withColumns(added) if added else ready
+    if coded:
+        # unseen levels share the last place, which the encoder drops: zeros everywhere
+        index = StringIndexerModel.from_arrays_of_labels(
+            [prep.levels[c] for c in coded], inputCols=text, outputCols=place, handleInvalid="keep"
+        )
+        rows = index.transform(rows)
+        rows = OneHotEncoder(inputCols=place, outputCols=codes, dropLast=True).fit(rows).transform(rows)
+    rows = VectorAssembler(inputCols=[*codes, *numbers], outputCol=out, handleInvalid="keep").transform(rows)
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], out)

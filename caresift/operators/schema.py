@@ -7,11 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from caresift.functions.constants import SPACED_NAMES, TARGET_CODES
 from caresift.operators.ordering import with_row_index
-from caresift.session import BROADCAST_ROW_LIMIT
 
 _OTHER = r"[^0-9A-Za-z]+"
 
@@ -103,14 +101,7 @@ def has_unknown_target(df: DataFrame, target: str) -> bool:
 def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
     """Codes from 0 in sorted order of the distinct values; null becomes -1."""
     levels = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    known = levels.limit(BROADCAST_ROW_LIMIT + 1).collect()
-    if len(known) <= BROADCAST_ROW_LIMIT:
-        rows = [(v, i) for i, v in enumerate(sorted(r[0] for r in known))]
-        schema = StructType([levels.schema[0], StructField(out, IntegerType())])
-        codes = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    else:
-        codes = with_row_index(levels, [column], out).withColumn(out, F.col(out).cast("int"))
-    joined = df.join(codes, column, "left")
+    joined = df.join(with_row_index(levels, [column], out), column, "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,22 +16,27 @@ def _share(fraction: float) -> Column:
     return F.floor(F.col("n") * F.lit(fraction) + 0.5)
 
 
+def _stratum(label: str) -> Column:
+    """The label as text that is never null: rows without a label are a class of their own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("~"))
+
+
 def stratified_split(
     df: DataFrame, key: str, label: str, val_fraction: float, test_fraction: float, seed: int = 42
 ) -> DataFrame:
     """Add ``split`` (train, val, test) with equal class shares in every part.
 
     Rows of a class are ordered by a seeded digest of their key and cut at the
-    cumulative fractions. The cut digests are found first; the assignment is
+    cumulative fractions; rows without a label are a class of their own. The cut digests are found first; the assignment is
     then a comparison per row, with no shuffle of the table.
     """
     train = 1.0 - val_fraction - test_fraction
     if train <= 0 or min(val_fraction, test_fraction) < 0:
         raise ValueError("fractions must leave rows for training")
-    digested = df.withColumn("split__digest", hashed(seed, F.col(key)))
+    digested = df.withColumns({"split__digest": hashed(seed, F.col(key)), "split__class": _stratum(label)})
     edges = rank_cuts(
         digested,
-        label,
+        "split__class",
         "split__digest",
         {"train_edge": _share(train), "val_edge": _share(1.0 - test_fraction)},
     )
@@ -44,9 +47,9 @@ def stratified_split(
         .otherwise("test")
     )
     return (
-        digested.join(checked_broadcast(edges), label)
+        digested.join(checked_broadcast(edges), "split__class")
         .withColumn("split", part)
-        .drop("split__digest", "train_edge", "val_edge")
+        .drop("split__digest", "split__class", "train_edge", "val_edge")
     )
 
 
@@ -60,10 +63,10 @@ def split_test_first(
     """Cut the test part off first, then take validation from what remains."""
     if not (0 < test_fraction < 1 and 0 < val_share < 1):
         raise ValueError("fractions must lie between 0 and 1")
-    digested = df.withColumn("split__digest", hashed(seed, F.col(key)))
+    digested = df.withColumns({"split__digest": hashed(seed, F.col(key)), "split__class": _stratum(label)})
     test = _share(test_fraction)
     val = F.floor((F.col("n") - test) * F.lit(val_share) + 0.5)
-    edges = rank_cuts(digested, label, "split__digest", {"test_edge": test, "val_edge": test + val})
+    edges = rank_cuts(digested, "split__class", "split__digest", {"test_edge": test, "val_edge": test + val})
     digest = F.col("split__digest")
     part = (
         F.when(digest <= F.col("test_edge"), "test")
@@ -71,9 +74,9 @@ def split_test_first(
         .otherwise("train")
     )
     return (
-        digested.join(checked_broadcast(edges), label)
+        digested.join(checked_broadcast(edges), "split__class")
         .withColumn("split", part)
-        .drop("split__digest", "test_edge", "val_edge")
+        .drop("split__digest", "split__class", "test_edge", "val_edge")
     )
 
 
@@ -153,8 +156,3 @@ def sample_coverage(df: DataFrame, score: str, band: str) -> DataFrame:
         F.max(score).alias("max_score"),
         F.array_join(F.array_sort(F.collect_set(band)), ", ").alias("bands"),
     )
-
-
-def effective_rounding(n: int, fraction: float) -> int:
-    """The number of rows a fraction stands for, half rounded up."""
-    return math.floor(n * fraction + 0.5)

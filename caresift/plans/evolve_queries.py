@@ -20,7 +20,7 @@ from caresift.plans.views import draw_sql
 from caresift.sources.tables import table
 
 INIT_NUM, INIT_CAT = gene_sql(draw_sql("seed", "0", "cand", "gene", "'init'"))
-POPULATION = f"population AS (SELECT model, experiment, cand, gene, {INIT_NUM} AS num, {INIT_CAT} AS cat FROM slots JOIN genes USING (model))"
+POPULATION = f"population AS MATERIALIZED (SELECT model, experiment, cand, gene, {INIT_NUM} AS num, {INIT_CAT} AS cat FROM slots JOIN genes USING (model))"
 BASE = f"WITH {SPACE}, {SLOTS}, {SEARCH_FITNESS}, {POPULATION}"
 LONG = "model, experiment, cand, gene, round(num, 6) AS num, cat"
 
@@ -93,7 +93,7 @@ def tournament_sql(k: int, distinct: bool = True) -> str:
     {steps}, turns AS ({turns}),
     judged AS (SELECT t.*, fitness, row_number() OVER (PARTITION BY t.model, t.experiment, slot, parent ORDER BY fitness DESC, turn) AS rn
       FROM turns t JOIN fitness f ON f.model = t.model AND f.experiment = t.experiment AND f.cand = t.cand),
-    winners AS (SELECT model, experiment, slot, parent, cand FROM judged WHERE rn = 1)"""
+    winners AS MATERIALIZED (SELECT model, experiment, slot, parent, cand FROM judged WHERE rn = 1)"""
 
 
 @query("k04_tournament", f"WITH {SPACE}, {SLOTS}, {SEARCH_FITNESS}, {tournament_sql(3)} SELECT * FROM winners")
@@ -115,15 +115,12 @@ def tournament_with_replacement(spark, sf):
 
 
 def cross_sql(take: str) -> str:
-    first, second = ("b", "a") if take == "B" else ("a", "b")
-    u = draw_sql("c.seed", "1", "wa.slot", "a.gene", "'cx'")
-    return f"""children AS (SELECT wa.model, wa.experiment, wa.slot, a.gene,
-      CASE WHEN {u} < c.cx_prob THEN {first}.num ELSE {second}.num END AS num,
-      CASE WHEN {u} < c.cx_prob THEN {first}.cat ELSE {second}.cat END AS cat
-    FROM winners wa JOIN winners wb ON wa.model = wb.model AND wa.experiment = wb.experiment AND wa.slot = wb.slot AND wa.parent = 'A' AND wb.parent = 'B'
-    JOIN population a ON a.model = wa.model AND a.experiment = wa.experiment AND a.cand = wa.cand
-    JOIN population b ON b.model = wb.model AND b.experiment = wb.experiment AND b.cand = wb.cand AND b.gene = a.gene
-    JOIN config c ON c.experiment = wa.experiment)"""
+    other = "A" if take == "B" else "B"
+    u = draw_sql("c.seed", "1", "w.slot", "p.gene", "'cx'")
+    return f"""children AS MATERIALIZED (SELECT w.model, w.experiment, w.slot, p.gene, p.num, p.cat
+    FROM winners w JOIN config c ON c.experiment = w.experiment
+    JOIN population p ON p.model = w.model AND p.experiment = w.experiment AND p.cand = w.cand
+    WHERE w.parent = CASE WHEN {u} < c.cx_prob THEN '{take}' ELSE '{other}' END)"""
 
 
 @query(

@@ -146,6 +146,43 @@ def roc_auc_one_class(spark, sf):
     return C.areas(positives, ["model", "grp"]).select("model", "grp", "auc_roc")
 
 
+MISSING = f"""WITH {SCORED}, gaps AS (
+  SELECT CASE WHEN line_no <> 7 THEN model END AS model, y_true,
+    CASE WHEN part_no % 13 = 0 THEN NULL WHEN part_no % 17 = 0 THEN 'NaN'::DOUBLE ELSE y_prob::DOUBLE END AS y_prob FROM scored),
+known AS (SELECT model, y_true, CASE WHEN y_prob IS NULL OR isnan(y_prob) THEN '-inf'::DOUBLE ELSE y_prob END AS y_prob FROM gaps)"""
+
+
+def with_gaps(spark, sf):
+    """Scored rows with null models, null scores and NaN scores."""
+    score = F.when(F.col("part_no") % 17 == 0, float("nan")).otherwise(F.col("y_prob").cast("double"))
+    return scored(spark, sf).select(
+        F.when(F.col("line_no") != 7, F.col("model")).alias("model"),
+        "y_true",
+        F.when(F.col("part_no") % 13 != 0, score).alias("y_prob"),
+    )
+
+
+@query(
+    "h01_counts_with_gaps",
+    f"""{MISSING} SELECT model, count(*) FILTER (WHERE y_true = 1 AND y_prob >= 0.5) AS tp, count(*) FILTER (WHERE y_true = 0 AND y_prob >= 0.5) AS fp,
+    count(*) FILTER (WHERE y_true = 1 AND y_prob < 0.5) AS fn, count(*) FILTER (WHERE y_true = 0 AND y_prob < 0.5) AS tn FROM known GROUP BY model""",
+)
+def counts_with_gaps(spark, sf):
+    return M.confusion_counts(with_gaps(spark, sf), ["model"], R.decide()).select("model", "tp", "fp", "fn", "tn")
+
+
+@query(
+    "h09_areas_with_gaps",
+    f"""{MISSING}, h AS (SELECT model, y_prob AS score, count(*) FILTER (WHERE y_true = 1) AS pos, count(*) FILTER (WHERE y_true = 0) AS neg
+      FROM known GROUP BY model, y_prob),
+    r AS (SELECT *, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n
+      FROM h WINDOW w AS (PARTITION BY model ORDER BY score DESC))
+    SELECT model, {AUC_SQL} AS auc_roc, {AP_SQL} AS average_precision FROM r GROUP BY model""",
+)
+def areas_with_gaps(spark, sf):
+    return rounded(C.areas(with_gaps(spark, sf), ["model"]), "auc_roc", "average_precision")
+
+
 @query(
     "h10_precision_recall_curve",
     f"""{ranked_sql('y_prob')}

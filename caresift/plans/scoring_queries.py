@@ -292,13 +292,13 @@ def epoch_history(spark, sf):
     return history(spark, sf)
 
 
-_CACHE_SQL = "cache AS (SELECT conv_id AS doc_id FROM conversations WHERE turn = 1)"
+_CACHE_SQL = "cache AS (SELECT DISTINCT conv_id AS doc_id FROM conversations)"
 
 
 def _pending(spark, sf, force):
     path = scratch_path(spark, "text-cache")
-    turns = table(spark, sf, "conversations").filter("turn = 1")
-    DOC.write_cache(turns.select(F.col("conv_id").alias("doc_id"), F.col("text").alias("cached")), path)
+    turns = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("doc_id"))
+    DOC.write_cache(turns.agg(F.max_by("text", "turn").alias("cached")), path)
     return A.pending(table(spark, sf, "documents").select("doc_id", "lang"), spark.read.parquet(path), "doc_id", force)
 
 

@@ -115,6 +115,15 @@ def lenient_target_codes(spark, sf):
     return B.lenient_target(table(spark, sf, "orders"), "o_orderpriority").select("o_orderkey", "y_true")
 
 
+@query(
+    "b07_codes_of_many_levels",
+    "SELECT l_orderkey, l_linenumber, dense_rank() OVER (ORDER BY l_orderkey::VARCHAR) - 1 AS order_code FROM lineitem",
+)
+def codes_of_many_levels(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("order_text"))
+    return B.ordinal_codes(lines, "order_text", "order_code").select("l_orderkey", "l_linenumber", "order_code")
+
+
 @query(
     "b07_ordinal_codes",
     "SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS type_code FROM part",
@@ -386,6 +395,18 @@ def split_60_20_20(spark, sf):
     return D.split_60_20_20(scored(spark, sf), "case_key", "y_true").select("case_key", "y_true", "split")
 
 
+_GAPS = "gaps AS (SELECT case_key, CASE WHEN part_no % 11 <> 0 THEN y_true END AS y_true FROM scored)"
+
+
+@query(
+    "d01_split_with_gaps",
+    f"WITH {SCORED}, {_GAPS}, {split_sql('gaps', 'case_key', 'y_true', *CUT60, TVT)} SELECT case_key, y_true, split FROM parts",
+)
+def split_with_gaps(spark, sf):
+    rows = scored(spark, sf).select("case_key", F.when(F.col("part_no") % 11 != 0, F.col("y_true")).alias("y_true"))
+    return D.split_60_20_20(rows, "case_key", "y_true").select("case_key", "y_true", "split")
+
+
 @query(
     "d02_split_test_first",
     f"WITH {SCORED}, {split_sql('scored', 'case_key', 'y_true', *_CUT20, ('test', 'val', 'train'))} SELECT case_key, y_true, split FROM parts",

@@ -81,12 +81,12 @@ def explained_rows(spark, sf):
     return scored(spark, sf).select("case_key", T.was_explained(text).alias("explained"))
 
 
-_CACHE_SQL = "cache AS (SELECT conv_id AS doc_id, text AS cached FROM conversations WHERE turn = 1)"
+_CACHE_SQL = "cache AS (SELECT conv_id AS doc_id, arg_max(text, turn) AS cached FROM conversations GROUP BY conv_id)"
 
 
 def _cache(spark, sf):
-    turns = table(spark, sf, "conversations").filter("turn = 1")
-    return turns.select(F.col("conv_id").alias("doc_id"), F.col("text").alias("cached"))
+    turns = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("doc_id"))
+    return turns.agg(F.max_by("text", "turn").alias("cached"))
 
 
 @query("j06_cached_text", f"WITH {_CACHE_SQL} SELECT d.doc_id, cached FROM documents d LEFT JOIN cache c ON d.doc_id = c.doc_id")

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows a side may have before it is joined by shuffle instead of broadcast.
-BROADCAST_ROW_LIMIT = 100_000
+#: Rows and characters a side may have before it is joined by shuffle instead of broadcast.
+BROADCAST_ROW_LIMIT = 10_000
+BROADCAST_CHAR_LIMIT = 8 << 20
 
 
 def local_session(app: str = "caresift", cores: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -75,12 +76,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` when it holds at most ``limit`` rows; else leave it to a shuffle join.
+    """Broadcast ``df`` when it holds at most ``limit`` rows of a bounded size; else leave it to a shuffle join.
 
     At most ``limit + 1`` rows reach the driver, and they are reused, so a small
     side is computed once.
     """
     rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    if len(rows) > limit or sum(len(str(v)) for r in rows for v in r) > BROADCAST_CHAR_LIMIT:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -1,3 +1,5 @@
+import hashlib
+
 import random
 
 import numpy as np
@@ -123,3 +125,20 @@ def test_quantile_sample_of_a_small_table(spark):
     rows = D.quantile_sample(df, "p", "k", 8).orderBy("case_id").collect()
     assert [r["k"] for r in rows] == ["a", "b", "c"]
     assert [r["case_id"] for r in rows] == [1, 2, 3]
+
+
+def test_null_groups_are_groups(spark):
+    rows = [("a", 1.0, 1), (None, 1.0, 2), (None, 2.0, 3), ("a", 2.0, 4)]
+    df = O.with_range_cell(spark.createDataFrame(rows, "g string, v double, n int"), "v", [1.5])
+    got = {(r["g"], r["v"]): (r["upto"], r["upto_total"]) for r in O.prefix_aggregates(df, ["g"], "v", {"upto": ("sum", "n")}).collect()}
+    assert got == {("a", 1.0): (1, 5), ("a", 2.0): (5, 5), (None, 1.0): (2, 5), (None, 2.0): (5, 5)}
+    quantiles = O.exact_quantiles(spark.createDataFrame(rows, "g string, v double, n int"), ["g"], "v", [0.5], ["m"])
+    assert {r["g"]: r["m"] for r in quantiles.collect()} == {"a": 1.5, None: 1.5}
+
+
+def test_one_tied_score_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(O, "TIED_ROWS", 1)
+    rows = [(f"k{i:04d}", 0.5 if i % 10 else 0.9) for i in range(4000)]
+    got = {r["position"]: r["k"] for r in O.positions_by_score(spark.createDataFrame(rows, "k string, p double"), "p", "k", [0, 1777, 3599, 3999]).collect()}
+    order = [k for _, _, k in sorted((p, hashlib.md5(k.encode()).hexdigest(), k) for k, p in rows)]
+    assert got == {p: order[p] for p in (0, 1777, 3599, 3999)}

@@ -8,6 +8,7 @@ from caresift.operators import present as L
 from caresift.operators import profile as C
 from caresift.operators import schema as B
 from caresift.operators import scoring as S
+from caresift.operators import split as D
 
 # --- names and contracts ---------------------------------------------------------
 
@@ -156,3 +157,21 @@ def test_expensive_step_sees_only_the_first_rows(spark):
 
     out = S.gated_by_frame(df, "i", explain, "text", limit=3)
     assert seen == [3] and out.filter("text = 'made'").count() == 3 and out.count() == 10
+
+
+def test_rows_without_a_label_are_split_too(spark):
+    df = spark.createDataFrame([(f"k{i}", None if i % 4 == 0 else str(i % 2)) for i in range(40)], "k string, y string")
+    for rows in (D.split_60_20_20(df, "k", "y").collect(), D.split_test_first(df, "k", "y").collect()):
+        assert len(rows) == 40 and {r["k"] for r in rows} == {f"k{i}" for i in range(40)}
+        parts = [r["split"] for r in rows if r["y"] is None]
+        assert (parts.count("train"), parts.count("val"), parts.count("test")) == (6, 2, 2)
+
+
+def test_many_levels(spark):
+    train = spark.range(12_000).selectExpr("lpad(id, 6, '0') AS c", "double(id) AS n")
+    prep = P.fit_preparation(train, ["c"], ["n"])
+    assert prep.modes == {"c": "000000"} and len(prep.levels["c"]) == 12_000
+    vector = P.assembled(train.filter("n = 7"), prep).first()["features"]
+    assert vector.size == 12_001 and vector[7] == 1.0 and vector.numNonzeros() == 2
+    codes = B.category_codes(train, "c", "code").agg({"code": "max"}).first()[0]
+    assert codes == 11_999
