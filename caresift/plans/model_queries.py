@@ -243,3 +243,46 @@ def saturated_artifact(spark, sf):
         F.round("y_prob", 4).alias("y_prob"),
         (F.col("y_prob") >= meta["threshold"]).alias("disease_detected"),
     )
+
+
+# Rows weighted by class: a value's frequency is then that of the weights. Whole-sample trees give it in every tree,
+# and sampled trees come close enough to decide the same.
+_WEIGHTED = f"""WITH {_CODED}, n AS (SELECT count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 1) AS w1,
+    count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 0) AS w0 FROM parts WHERE split = 'train'),
+  f AS (SELECT coalesce("GENDER", (SELECT g FROM mode)) AS g,
+    sum(y_true * (SELECT w1 FROM n)) / sum(CASE WHEN y_true = 1 THEN (SELECT w1 FROM n) ELSE (SELECT w0 FROM n) END) AS p
+    FROM parts WHERE split = 'train' GROUP BY 1),
+  rated AS (SELECT case_key, p FROM parts JOIN f ON f.g = coalesce("GENDER", (SELECT g FROM mode)) WHERE split = 'val')"""
+
+
+def _weighted(spark, sf, name, params):
+    data = _by_gender(spark, sf)
+    return MOD.fit(name, params, data.part("train"), data.prep).score(data.part("val"))
+
+
+@query("g01_balanced_saturated", f"{_WEIGHTED} SELECT case_key, round(p, 4) AS y_prob FROM rated")
+def balanced_saturated(spark, sf):
+    scored = _weighted(spark, sf, MOD.LOGISTIC, {**_PLAIN_LOGISTIC, "class_weight": "balanced"})
+    return scored.select("case_key", F.round("y_prob", 4).alias("y_prob"))
+
+
+@query("g02_forest_decisions", f"{_WEIGHTED} SELECT case_key, (p >= 0.5)::INTEGER AS y_pred FROM rated")
+def forest_decisions(spark, sf):
+    return _weighted(spark, sf, MOD.FOREST, {"n_estimators": 100}).select("case_key", R.decide().alias("y_pred"))
+
+
+@query("g03_whole_sample_trees", f"{_WEIGHTED} SELECT case_key, round(p, 4) AS y_prob FROM rated")
+def whole_sample_trees(spark, sf):
+    scored = _weighted(spark, sf, MOD.EXTRA, {"n_estimators": 100})
+    return scored.select("case_key", F.round("y_prob", 4).alias("y_prob"))
+
+
+@query(
+    "j24_importance_of_one_input",
+    f"WITH {SURVEY} SELECT 'GENDER' AS input, (count(DISTINCT \"GENDER\") > 1)::INTEGER::DOUBLE AS importance FROM survey",
+)
+def importance_of_one_input(spark, sf):
+    data = _by_gender(spark, sf)
+    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 100}, data.part("train"), data.prep)
+    by_input = X.feature_importance(fitted).groupBy(F.split("feature", "_")[0].alias("input"))
+    return rounded(by_input.agg(F.sum("importance").alias("importance")), "importance")

@@ -504,8 +504,8 @@ _MODE = """(SELECT "GENDER" FROM tr WHERE "GENDER" IS NOT NULL GROUP BY 1 ORDER
 
 
 def _split(spark, sf):
-    rows = materialize(spread(survey(spark, sf)), "survey")
-    return D.split_60_20_20(rows, "case_key", "LUNG_CANCER")
+    parts = D.split_60_20_20(spread(survey(spark, sf)), "case_key", "LUNG_CANCER")
+    return materialize(parts, "survey", ["split"])
 
 
 def _fitted(spark, sf):

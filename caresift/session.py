@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,11 +69,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back, cutting its lineage."""
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back, cutting its lineage.
+
+    A filter on ``partition_by`` then reads the folders it asks for only.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
