@@ -22,7 +22,7 @@ EDIT_SHARE = 0.1
 #: Passages longer than this are looked for in windows of that many characters, each half a window further.
 WINDOW = 400
 #: Characters of passages that one pass over the documents looks for; more passages take more passes.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 #: Characters of documents that are searched at once.
 BUFFER_CHARS = 1 << 20
 TABLE_BITS = 22
