@@ -40,6 +40,14 @@ HEADLINE = [
     "j14_pass_rates",
     "j22_image_tags",
     "k08_next_generation",
+    "a05_epoch_history",
+    "b06_lenient_target",
+    "b07_codes_of_many_levels",
+    "g03_whole_sample_trees",
+    "h09_areas_with_gaps",
+    "k05_crossover",
+    "l01_joined_results",
+    "l03_page",
 ]
 
 

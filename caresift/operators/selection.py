@@ -89,20 +89,22 @@ def best_epoch(history: DataFrame, by: Sequence[str], monitor: str, mode: str =
 
 
 def early_stop(history: DataFrame, by: Sequence[str], monitor: str, patience: int, mode: str = "min") -> DataFrame:
-    """The first epoch that ends ``patience`` epochs without improvement; null when none does."""
+    """The first epoch that ends ``patience`` epochs without improvement; null when none does.
+
+    A null or NaN value improves nothing.
+    """
     by = list(by)
     rows = history.filter(F.col("metric") == monitor).select(
-        *by, "epoch", (F.col("value") if mode == "min" else -F.col("value")).alias("v")
+        *by, "epoch", (F.col("value") if mode == "min" else -F.col("value")).cast("double").alias("v")
     )
-    celled = rows.withColumn("cell", F.floor(F.col("epoch") / EPOCHS_PER_CELL))
-    best = prefix_aggregates(celled, by, "epoch", {"best": ("min", "v")})
-    improved = F.col("best_before").isNull() | (F.col("v") < F.col("best_before"))
-    marks = best.select(*by, "epoch", F.when(improved, F.col("epoch")).alias("hit")).withColumn(
-        "cell", F.floor(F.col("epoch") / EPOCHS_PER_CELL)
+    # The smallest (value, epoch) so far stands at the last epoch that improved on all before it.
+    known = F.col("v").isNotNull() & ~F.isnan("v")
+    celled = rows.withColumns(
+        {"pair": F.when(known, F.struct("v", "epoch")), "cell": F.floor(F.col("epoch") / EPOCHS_PER_CELL)}
     )
-    last = prefix_aggregates(marks, by, "epoch", {"last": ("max", "hit")})
-    waited = F.col("epoch") - F.col("last") >= patience
-    return last.groupBy(*by).agg(
+    best = prefix_aggregates(celled, by, "epoch", {"best": ("min", "pair")})
+    waited = F.col("epoch") - F.coalesce(F.col("best.epoch"), F.lit(-1)) >= patience
+    return best.groupBy(*by).agg(
         F.min(F.when(waited, F.col("epoch"))).alias("stop_epoch"), F.max("epoch").alias("last_epoch")
     )
 
