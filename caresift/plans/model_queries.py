@@ -14,8 +14,9 @@ from caresift.operators import split as D
 from caresift.operators import thresholds as T
 from caresift.plans import search
 from caresift.plans.registry import query, rounded
+from caresift.functions import constants as K
 from caresift.functions.constants import COARSE_GRID
-from caresift.plans.table_queries import CUT60, TVT, split_sql
+from caresift.plans.table_queries import CUT60, CUT70, TVT, split_sql
 from caresift.plans.views import (
     ACCURACY,
     CONFUSION,
@@ -286,3 +287,47 @@ def importance_of_one_input(spark, sf):
     fitted = MOD.fit(MOD.FOREST, {"n_estimators": 100}, data.part("train"), data.prep)
     by_input = X.feature_importance(fitted).groupBy(F.split("feature", "_")[0].alias("input"))
     return rounded(by_input.agg(F.sum("importance").alias("importance")), "importance")
+
+
+_W = K.TABULAR_WEIGHTS
+_CANDIDATES = f"""WITH {_CODED}, f AS (SELECT coalesce("GENDER", (SELECT g FROM mode)) AS g, avg(y_true) AS p FROM parts WHERE split = 'train' GROUP BY 1),
+  v AS (SELECT y_true, coalesce("GENDER", 'nan') AS grp, (p >= 0.5)::INTEGER AS y_pred
+    FROM parts JOIN f ON f.g = coalesce("GENDER", (SELECT g FROM mode)) WHERE split = 'val'),
+  c AS (SELECT {CONFUSION.format(p='y_pred = 1')} FROM v),
+  g AS (SELECT grp, CASE WHEN sum(y_true) > 0 THEN sum(y_true * y_pred)::DOUBLE / sum(y_true) ELSE 0 END AS r FROM v GROUP BY grp),
+  k AS (SELECT {RECALL} AS recall, {SPECIFICITY} AS specificity, {F1} AS f1, {ACCURACY} AS accuracy, (SELECT max(r) - min(r) FROM g) AS gap FROM c)"""
+
+
+@query(
+    "g05_saturated_and_failing",
+    f"""{_CANDIDATES} SELECT 0::BIGINT AS cand, round({_W['recall']} * recall + {_W['specificity']} * specificity + {_W['f1']} * f1 - {_W['gap']} * gap, 6) AS fitness,
+      round(recall, 6) AS recall, round(specificity, 6) AS specificity, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy, round(gap, 6) AS gap, NULL AS error FROM k
+    UNION ALL SELECT 1, -1, NULL, NULL, NULL, NULL, NULL, 'Unsupported model: UnknownClassifier'""",
+)
+def saturated_and_failing(spark, sf):
+    jobs = [(0, MOD.LOGISTIC, _PLAIN_LOGISTIC), (1, "UnknownClassifier", {})]
+    out = search.score_candidates(_by_gender(spark, sf), jobs)
+    return rounded(out, "fitness", "recall", "specificity", "f1", "accuracy", "gap")
+
+
+@query(
+    "g12_head_on_separable_vectors",
+    f"""WITH v AS (SELECT vec_id::VARCHAR AS key, (label >= 5)::INTEGER AS y_true FROM embeddings),
+    {split_sql('v', 'key', 'y_true', *CUT70, TVT)}
+    SELECT count(*) FILTER (WHERE y_true = 1) AS tp, 0 AS fp, 0 AS fn, count(*) FILTER (WHERE y_true = 0) AS tn, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS auc_roc
+    FROM parts WHERE split = 'test'""",
+)
+def head_on_separable_vectors(spark, sf):
+    """Vectors that are the label's own axis: a head tells them apart, so the chosen threshold makes no error."""
+    axes = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: (i == F.col("label")).cast("double"))
+    v = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("key"), axes.alias("axes"), (F.col("label") >= 5).cast("int").alias("y_true")
+    )
+    parts = D.stratified_split(v, "key", "y_true", 0.15, 0.15)
+    head = MOD.fit_head(parts.filter("split = 'train'"), "axes", "y_true")
+    scored = MOD.score_head(head, parts.filter("split <> 'train'"), "axes")
+    best = T.weighted_recall(scored.filter("split = 'val'"), []).first()["threshold"]
+    test = scored.filter("split = 'test'").withColumn("model", F.lit("head"))
+    counts = M.with_rates(M.confusion_counts(test, ["model"], R.decide_float("y_prob", best)), floored=True)
+    both = counts.join(C.areas(test, ["model"]), "model")
+    return rounded(both, "recall", "auc_roc").select("tp", "fp", "fn", "tn", "recall", "auc_roc")

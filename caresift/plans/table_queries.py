@@ -379,7 +379,7 @@ def split_sql(source: str, key: str, label: str, first: str, second: str, names:
 
 
 CUT60 = ("floor(n * 0.6::DOUBLE + 0.5)", "floor(n * 0.8::DOUBLE + 0.5)")
-_CUT70 = ("floor(n * 0.7::DOUBLE + 0.5)", "floor(n * 0.85::DOUBLE + 0.5)")
+CUT70 = ("floor(n * 0.7::DOUBLE + 0.5)", "floor(n * 0.85::DOUBLE + 0.5)")
 _CUT20 = (
     "floor(n * 0.2::DOUBLE + 0.5)",
     "floor(n * 0.2::DOUBLE + 0.5) + floor((n - floor(n * 0.2::DOUBLE + 0.5)) * 0.25::DOUBLE + 0.5)",
@@ -417,7 +417,7 @@ def split_test_first(spark, sf):
 
 @query(
     "d03_split_70_15_15",
-    f"WITH {split_sql('embeddings', 'vec_id', 'label', *_CUT70, TVT)} SELECT vec_id, label, split FROM parts",
+    f"WITH {split_sql('embeddings', 'vec_id', 'label', *CUT70, TVT)} SELECT vec_id, label, split FROM parts",
 )
 def split_70_15_15(spark, sf):
     vectors = table(spark, sf, "embeddings").withColumn("key", F.col("vec_id").cast("string"))
