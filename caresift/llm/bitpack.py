@@ -27,11 +27,11 @@ MAGIC = b"CSBITS01"
 TAIL = struct.Struct("<QQQIIQ")  # footer offset, ids, documents, bits, ids a block, blocks
 BLOCK_IDS = 1 << 16
 #: A file is closed when it holds this many ids, or documents.
-FILE_IDS, FILE_DOCS = 1 << 28, 1 << 22
-#: Distinct words a worker remembers the ids of; past it the memory is emptied.
-CACHE_WORDS = 1_500_000
-#: Texts encoded at once.
-ENCODE_ROWS = 4096
+FILE_IDS, FILE_DOCS = 1 << 28, 1 << 20
+#: Words in each of the two generations that a worker remembers the ids of.
+CACHE_WORDS = 300_000
+#: Bytes of texts encoded at once; a longer text is encoded alone.
+ENCODE_BYTES = 2 << 20
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 FILE_SCHEMA = "file string, bytes long, first_doc long, documents long, ids long, bits int"
@@ -153,7 +153,8 @@ class CachedEncoder:
     For the byte-level tokenizer a token never reaches over a single blank, or a single line break,
     between two visible characters: the blank belongs to the word after it, the break stands alone. So texts are cut
     there, new pieces are encoded by the library, and the others looked up. A text in which white
-    space meets white space, and every text under another tokenizer, goes to the library whole.
+    space meets white space, and every text under another tokenizer, goes to the library whole. The memory has two
+    generations: when the younger is full it becomes the older, and words met again come back into the younger.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -171,6 +172,7 @@ class CachedEncoder:
             and len(self.newline) == 1
         )
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     @property
@@ -195,10 +197,17 @@ class CachedEncoder:
                 spans = map(slice, at, [*at[1:], len(raw)]) if begins else map(slice, [0, *(x + 4 for x in at)], at)
                 self.known.update(zip(part, map(raw.__getitem__, spans)))
 
+    def _recall(self, piece: str) -> bool:
+        ids = self.older.get(piece)
+        if ids is not None:
+            self.known[piece] = ids
+        return ids is not None
+
     def _learn(self, pieces: list[str]) -> None:
+        pieces = [p for p in pieces if not self._recall(p)]
         split = {p: m.groups() for p in pieces if (m := _LETTERS_MARKS.fullmatch(p))}
         plain = {p for p in pieces if p not in split and _PLAIN.fullmatch(p)}
-        plain.update(word for word, _ in split.values() if word not in self.known)
+        plain.update(word for word, _ in split.values() if word not in self.known and not self._recall(word))
         self._learn_plain(list(plain))
         for piece, (word, mark) in split.items():
             if mark not in self.marks:
@@ -218,8 +227,7 @@ class CachedEncoder:
             whole = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
             return [np.array(e.ids, "<u4") for e in whole]
         if len(self.known) > self.limit:
-            self.known.clear()
-            self.marks.clear()
+            self.known, self.older, self.marks = {}, self.known, {}
         broken = pc.replace_substring(texts, "\n", " \n").cast(pa.large_string())
         ends = [pa.scalar(x, broken.type) for x in ("\n", "")]
         lists = pc.split_pattern(pc.binary_join_element_wise(ends[0], broken, ends[1]), " ")
@@ -244,6 +252,18 @@ class CachedEncoder:
         return out
 
 
+def _portions(batch) -> Iterator:
+    """A batch of (doc_id, text) in slices of about ``ENCODE_BYTES`` bytes of text."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    portion = np.cumsum(sizes, dtype=np.int64) // ENCODE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(portion)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 _ENCODERS: dict[str, CachedEncoder] = {}
 
 
@@ -278,8 +298,7 @@ def write_packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
             done.append((name, writer.position, first, len(writer.doc_ids), writer.ids, bits))
 
         for batch in batches:
-            for a in range(0, batch.num_rows, ENCODE_ROWS):
-                part = batch.slice(a, ENCODE_ROWS)
+            for part in _portions(batch):
                 for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1))):
                     if writer is None:
                         name = new_file(folder, ".bits")
