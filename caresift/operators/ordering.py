@@ -27,6 +27,17 @@ TIED_ROWS = 65_536
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right``'s row of its group; a null in ``by`` finds a null.
+
+    The keys are compared as structs: those with equal nulls are equal, and the join stays a plain equi-join.
+    """
+    others = [F.col(f"`{c}`") for c in right.columns if c not in by]
+    keyed = right.select(F.struct(*by).alias("right__key"), *others)
+    joined = left.withColumn("left__key", F.struct(*by)).join(keyed, F.col("left__key") == F.col("right__key"))
+    return joined.drop("left__key", "right__key")
+
+
 def order_cuts(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
     """Cut points that split the rows into about ``parts`` cells of equal size.
 

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 from pyspark.sql.types import NumericType
 
 from caresift.functions.rates import round_half_even
-from caresift.operators.ordering import exact_quantiles
+from caresift.operators.ordering import exact_quantiles, join_groups
 from caresift.session import checked_broadcast
 
 
@@ -53,10 +54,12 @@ def schema_report(df: DataFrame) -> DataFrame:
     return counts.select(entries.alias("e")).select("e.*")
 
 
-def long_form(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:
-    """One row per (row, column), numbers as DOUBLE; other columns are dropped."""
+def long_form(
+    df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value", kind: str = "double"
+) -> DataFrame:
+    """One row per (row, column), values as ``kind``; other columns are dropped."""
     entries = F.explode(
-        F.array(*[F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast("double").alias(value)) for c in columns])
+        F.array(*[F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast(kind).alias(value)) for c in columns])
     )
     return df.select(entries.alias("e")).select("e.*")
 
@@ -126,8 +129,9 @@ def positives(df: DataFrame, target: str, positive: str = "YES") -> DataFrame:
 
 
 def factor_counts(df: DataFrame, factors: Sequence[str]) -> DataFrame:
-    """Count of every value of several factors at once."""
-    long = long_form(df, factors, "factor", "value").filter(F.col("value").isNotNull())
+    """Count of every value of several factors at once; values are texts if any factor is one."""
+    texts = any(isinstance(df.schema[c].dataType, (StringType, BooleanType)) for c in factors)
+    long = long_form(df, factors, "factor", "value", "string" if texts else "double").filter(F.col("value").isNotNull())
     return long.groupBy("factor", "value").agg(F.count("*").alias("n"))
 
 
@@ -141,7 +145,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         quartiles.withColumn("low", F.col("q1") - 1.5 * iqr).withColumn("high", F.col("q3") + 1.5 * iqr)
     )
     if by:
-        joined = rows.join(fences, by)
+        joined = join_groups(rows, fences, by)
     else:
         f = fences.first()
         joined = rows.select("*", *[F.lit(f[c]).alias(c) for c in fences.columns])

@@ -24,6 +24,7 @@ from caresift.functions.constants import (
     RECALL_GRID,
     REQUIRED_RECALL,
 )
+from caresift.operators.ordering import join_groups
 
 
 def single(value: float) -> float:
@@ -149,11 +150,11 @@ def compare_with_default(
     from caresift.session import checked_broadcast
 
     picked = checked_broadcast(chosen.select(*by, F.col("threshold").alias("chosen__t")))
-    joined = df.join(picked, list(by))
+    joined = join_groups(df, picked, by) if by else df.join(picked)
     y = F.col("y_true")
     sums = []
     for tag, t in (("d", F.lit(default)), ("c", F.col("chosen__t"))):
-        p = F.col(score) >= t
+        p = R.reaches(F.col(score), t)
         sums += [
             F.count_if((y == 1) & p).alias(f"tp_{tag}"),
             F.count_if((y == 0) & p).alias(f"fp_{tag}"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caresift.functions import rates as R
 from caresift.operators import curves as C
 from caresift.operators import metrics as M
+from caresift.operators.ordering import join_groups
 from caresift.plans.registry import query, r6, rounded
 from caresift.plans.views import (
     ACCURACY,
@@ -251,7 +252,25 @@ def tabular_fitness(spark, sf):
 def image_fitness(spark, sf):
     base = scored(spark, sf)
     counts = M.with_rates(M.confusion_counts(base, ["model"], R.decide()), ["recall", "specificity", "f1"], floored=True)
-    both = counts.join(C.areas(base, ["model"]), "model")
+    both = join_groups(counts, C.areas(base, ["model"]), ["model"])
+    return both.select("model", r6(R.image_fitness(), "fitness"))
+
+
+@query(
+    "h16_fitness_with_gaps",
+    f"""{MISSING}, h AS (SELECT model, y_prob AS score, count(*) FILTER (WHERE y_true = 1) AS pos, count(*) FILTER (WHERE y_true = 0) AS neg
+      FROM known GROUP BY model, y_prob),
+    r AS (SELECT *, sum(pos) OVER w AS tps, sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n
+      FROM h WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+    a AS (SELECT model, sum(neg * (tps - pos + pos / 2.0::DOUBLE)) / (max(p)::DOUBLE * max(n)) AS auc FROM r GROUP BY model),
+    c AS (SELECT model, {AT_HALF} FROM known GROUP BY model)
+    SELECT c.model, round(0.45::DOUBLE * {RECALL} + 0.2::DOUBLE * {SPECIFICITY} + 0.2::DOUBLE * {F1} + 0.15::DOUBLE * coalesce(auc, 0), 6) AS fitness
+    FROM c JOIN a ON c.model IS NOT DISTINCT FROM a.model""",
+)
+def fitness_with_gaps(spark, sf):
+    base = with_gaps(spark, sf)
+    counts = M.with_rates(M.confusion_counts(base, ["model"], R.decide()), ["recall", "specificity", "f1"], floored=True)
+    both = join_groups(counts, C.areas(base, ["model"]), ["model"])
     return both.select("model", r6(R.image_fitness(), "fitness"))
 
 
@@ -282,5 +301,6 @@ def many_candidates(spark, sf):
 def metric_bundle(spark, sf):
     base = scored(spark, sf)
     counts = M.with_rates(M.confusion_counts(base, ["model"], R.decide_float("y_prob", 0.7)), floored=True)
-    both = counts.join(C.areas(base.withColumn("y_f", F.col("y_prob").cast("float")), ["model"], "y_f"), "model")
+    areas = C.areas(base.withColumn("y_f", F.col("y_prob").cast("float")), ["model"], "y_f")
+    both = join_groups(counts, areas, ["model"])
     return rounded(both, "accuracy", "precision", "recall", "specificity", "f1", "auc_roc", "average_precision")

@@ -300,6 +300,17 @@ def factor_counts(spark, sf):
     return C.factor_counts(C.positives(survey(spark, sf), "LUNG_CANCER"), SURVEY_NUMBERS)
 
 
+@query(
+    "c13_text_factor_counts",
+    f"WITH {SURVEY} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS factor, "{c}"::VARCHAR AS value, count(*) AS n FROM survey WHERE "{c}" IS NOT NULL GROUP BY "{c}" """
+        for c in ("GENDER", "LUNG_CANCER", "SMOKING")
+    ),
+)
+def text_factor_counts(spark, sf):
+    return C.factor_counts(survey(spark, sf), ["GENDER", "LUNG_CANCER", "SMOKING"])
+
+
 _BOX = """round(max(q1), 6) AS q1, round(max(median), 6) AS median, round(max(q3), 6) AS q3,
   round(min(v) FILTER (WHERE v BETWEEN lo AND hi), 6) AS whisker_low, round(max(v) FILTER (WHERE v BETWEEN lo AND hi), 6) AS whisker_high,
   count(*) FILTER (WHERE NOT v BETWEEN lo AND hi) AS outliers"""
@@ -318,6 +329,18 @@ def box_stats(spark, sf):
     return rounded(C.box_stats(survey(spark, sf), "AGE", ["LUNG_CANCER"]), *_BOX_COLUMNS)
 
 
+@query(
+    "c14_box_stats_with_gaps",
+    f"""WITH {SURVEY}, f AS (SELECT "GENDER", quantile_cont("AGE"::DOUBLE, 0.25) AS q1, quantile_cont("AGE"::DOUBLE, 0.5) AS median,
+      quantile_cont("AGE"::DOUBLE, 0.75) AS q3 FROM survey GROUP BY 1),
+    j AS (SELECT s."GENDER", s."AGE"::DOUBLE AS v, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+      FROM survey s JOIN f ON s."GENDER" IS NOT DISTINCT FROM f."GENDER" WHERE s."AGE" IS NOT NULL)
+    SELECT "GENDER", {_BOX} FROM j GROUP BY 1""",
+)
+def box_stats_with_gaps(spark, sf):
+    return rounded(C.box_stats(survey(spark, sf), "AGE", ["GENDER"]), *_BOX_COLUMNS)
+
+
 @query(
     "c14_box_stats_all",
     f"""WITH f AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM events),
