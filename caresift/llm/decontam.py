@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -229,19 +230,55 @@ def _find_block(docs: DataFrame, index: PassageIndex) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            held, size, rows = [], 0, []
-            for i in range(batch.num_rows):
-                held.append(i)
-                size += len(batch.column(1)[i].as_buffer() or b"") if batch.column(1)[i].is_valid else 0
-                if size >= BUFFER_CHARS or i == batch.num_rows - 1:
-                    for k, item_id, start, end, edits in search(index, [batch.column(1)[j].as_py() for j in held]):
-                        rows.append((doc_ids[held[k]], item_id, start, end, edits))
-                    held, size = [], 0
+            rows = [(doc_ids[k], *found) for k, *found in _search_column(index, batch.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)], names=names)
 
     return docs.mapInArrow(work, MATCH_SCHEMA)
 
 
+def _search_column(index: PassageIndex, texts) -> Iterator[tuple[int, int, int, int, int]]:
+    """``search`` over an Arrow string array, in portions of about ``BUFFER_CHARS``; the row number comes first."""
+    held, size = [], 0
+    for i in range(len(texts)):
+        text = texts[i].as_py()
+        held.append(text)
+        size += len(text or "")
+        if size >= BUFFER_CHARS or i == len(texts) - 1:
+            for k, *found in search(index, held):
+                yield i + 1 - len(held) + k, *found
+            held, size = [], 0
+
+
+def _indexes(benchmark: DataFrame, edit_share: float) -> list[PassageIndex]:
+    """The items in blocks of about ``BLOCK_CHARS`` characters."""
+    items = narrow(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long"))
+    items = items.where(F.length("text") > 0)
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_CHARS))
+    parts = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect() for k in range(blocks))
+    return [PassageIndex(sorted(((r[0], r[1]) for r in part), key=repr), edit_share) for part in parts]
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item of ``benchmark`` occurs; no row is moved for it."""
+    import pyarrow as pa
+
+    place = docs.columns.index("text")
+
+    def without(index: PassageIndex):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[k for k, *_ in _search_column(index, batch.column(place))]] = False
+                yield batch.filter(pa.array(keep))
+
+        return work
+
+    for index in _indexes(benchmark, edit_share):
+        docs = docs.mapInArrow(without(index), docs.schema)
+    return docs
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE) -> DataFrame:
     """(doc_id, item_id, start, end, edits): every document row and benchmark item that occurs in it.
 
@@ -251,17 +288,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT
     tasks in blocks of at most about ``BLOCK_CHARS`` characters; each further block is a further pass over the documents.
     """
     rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    items = narrow(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long"))
-    items = items.where(F.length("text") > 0)
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_CHARS))
-    found = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = PassageIndex(sorted(((r[0], r[1]) for r in part.collect()), key=repr), edit_share)
-        matches = _find_block(rows, index)
-        found = matches if found is None else found.unionByName(matches)
-    if blocks == 1:
+    indexes = _indexes(benchmark, edit_share)
+    found = reduce(DataFrame.unionByName, [_find_block(rows, index) for index in indexes])
+    if len(indexes) == 1:
         return found
     best = F.min(F.struct("edits", "start", "end")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.start", "best.end", "best.edits")

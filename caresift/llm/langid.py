@@ -145,6 +145,21 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return rows.mapInArrow(work, "doc_id long, lang_pred string, score double")
 
 
+def known(docs: DataFrame, profiles: Profiles) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is not ``und``; no row is moved for it."""
+    import pyarrow as pa
+
+    place = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place)
+            keep = [profiles.predict(texts[i].as_py())[0] != UNKNOWN for i in range(batch.num_rows)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a document is kept out of training: crc32 of its id as text leaves 2 modulo 4."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))

@@ -13,10 +13,10 @@ import heapq
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caresift.llm.tables import narrow, read
+from caresift.llm.tables import read
 from caresift.session import materialize
 
 #: Weights of the sources in the order of their names, repeating.
@@ -134,7 +134,7 @@ def _positions(sized: DataFrame) -> DataFrame:
     inside = Window.partitionBy("pattern", "cell").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     numbered = celled.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = numbered.join(own, (F.col("pattern") == F.col("p")) & (F.col("cell") == F.col("c")))
-    return joined.withColumn("before", F.col("base") + F.col("inner")).drop("p", "c", "base", "inner", "cell", "draw")
+    return joined.withColumn("before", F.col("base") + F.col("inner")).drop("p", "c", "base", "inner", "cell")
 
 
 NULL_SOURCE = "~"
@@ -151,6 +151,11 @@ def _draw(seed: str):
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
+def _sized(sources: Column, seed: str) -> list[Column]:
+    """Of every document its size, its pattern and its place in the seeded order."""
+    return [word_count().alias("size"), _marked(sources).alias("pattern"), _draw(seed).alias("draw")]
+
+
 def mix(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MAX_REPEAT, seed: str = SEED
 ) -> DataFrame:
@@ -162,10 +167,13 @@ def mix(
     sources is taken no times. Repeated rows are separate documents, null ids are allowed; an empty table gives an empty result.
     Weights go by the order of the source names, repeating. One row per pattern comes to the driver.
     """
-    sized = narrow(docs, doc_id="doc_id", text="text", sources="sources").select(
-        "doc_id", word_count().alias("size"), _marked(F.col("sources")).alias("pattern"), _draw(seed).alias("draw")
-    )
-    sized = materialize(sized, "mix-sizes")
+    taken = _taken(docs, F.col("sources"), weights, share, most, seed)
+    return taken.select("doc_id", "size", "memberships", "copies", "taken", "by_source")
+
+
+def _taken(docs: DataFrame, sources: Column, weights: Sequence[int], share: float, most: int, seed: str) -> DataFrame:
+    """The rows of ``mix`` with their pattern and place in the order."""
+    sized = materialize(docs.select("doc_id", *_sized(sources, seed)), "mix-sizes")
     patterns = {r["pattern"]: r["size"] for r in sized.groupBy("pattern").agg(F.sum("size").alias("size")).collect()}
     kinds = {p: tuple(p.split("\x01")) if p else () for p in patterns}
     totals: dict[str, int] = {}
@@ -201,9 +209,29 @@ def mix(
     by_source = F.when(F.col("size") > 0, F.transform(goes, lambda x: x[0]["source"])).otherwise(none)
     placed = _positions(sized).join(table, F.col("pattern") == F.col("p")).withColumn("by_source", by_source)
     copies = F.size("by_source")
-    return placed.select(
-        "doc_id", "size", "memberships", copies.alias("copies"), (F.col("size") * copies).alias("taken"), "by_source"
-    )
+    return placed.withColumns({"copies": copies, "taken": F.col("size") * copies})
+
+
+def repeated(
+    docs: DataFrame, sources: Column, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MAX_REPEAT, seed: str = SEED
+) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any more), each as often as the mix of its ``sources`` (an array) takes it.
+
+    What a pass over a pattern takes is a beginning of the seeded order, so the last document it takes decides
+    for all: one row per pattern meets the documents, and no text is moved. Rows equal in id and size share a place in the
+    order and are taken alike.
+    """
+    place = F.struct("draw", "doc_id", "size")
+    chosen = _taken(docs, sources, weights, share, most, seed).where("copies > 0")
+    lasts = [F.max(F.when(F.col("copies") >= r, place)).alias(f"last__{r}") for r in range(1, most + 1)]
+    lasts = materialize(chosen.groupBy(F.col("pattern").alias("last__pattern")).agg(*lasts), "mix-lasts")
+    keyed = docs.withColumns(dict(zip(("mix__size", "mix__pattern", "mix__draw"), _sized(sources, seed))))
+    own = F.struct(F.col("mix__draw").alias("draw"), F.col("doc_id"), F.col("mix__size").alias("size"))
+    passes = [F.coalesce((own <= F.col(f"last__{r}")).cast("int"), F.lit(0)) for r in range(1, most + 1)]
+    copies = F.when(F.col("mix__size") > 0, sum(passes)).otherwise(0)
+    joined = keyed.join(lasts, F.col("mix__pattern") == F.col("last__pattern")).withColumn("mix__copies", copies)
+    again = joined.where("mix__copies > 0").withColumn("mix__again", F.explode(F.sequence(F.lit(1), F.col("mix__copies"))))
+    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

@@ -120,3 +120,15 @@ def test_order_is_the_seeded_one(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_rows_are_the_copies_taken(spark):
+    draw = random.Random(9)
+    rows = [(i, "w " * draw.randrange(0, 9), draw.choice([["x"], ["x", "y"], ["y"], [None]]), f"p{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect() if r["copies"]}
+    got = mixing.repeated(docs, mixing.F.col("sources"))
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert Counter(r["doc_id"] for r in kept) == want
+    assert all(r["pattern"] == f"p{r['doc_id']}" for r in kept)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import DATA
 
 import corpus_pipeline
@@ -51,6 +52,8 @@ def test_odd_rows_pass_all_stages(spark):
     assert sorted((r[0] for r in single.collect()), key=repr) == sorted([1, 1, None, 6], key=repr)
     clean = run(spark, "decontamination", single)
     assert clean.columns == df.columns and clean.count() == 4
+    again = run(spark, "mixing", clean.withColumn("sources", F.lit("own")))
+    assert {r["sources"] for r in again.collect()} == {"own"}
     mixed = run(spark, "mixing", clean)
     assert mixed.columns == df.columns and mixed.count() > 0
     assert run(spark, "token_ids", mixed).count() == mixed.count()
