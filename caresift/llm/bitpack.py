@@ -175,6 +175,10 @@ class CachedEncoder:
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empties the memory of words, so that a worker does not hold it through later stages."""
+        self.known, self.older, self.marks = {}, {}, {}
+
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -310,6 +314,7 @@ def write_packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                         writer = None
         if writer is not None:
             finish()
+        coder.forget()
         types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(types)], names=names)
 
