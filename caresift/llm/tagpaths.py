@@ -21,6 +21,9 @@ from caresift.llm.tables import narrow, read
 
 #: Standard deviations of the fused ratio over a page's nodes that a path has to reach.
 THRESHOLD = 1.0
+#: What being inside an article or main element adds to the fused ratio, in its standard deviations: at 2 a path inside
+#: reaches a threshold of 1 however many nodes are outside, and one outside needs at most twice the ratio it would need alone.
+MAIN_WEIGHT = 2.0
 #: Weights of a node and its neighbours on either side.
 SMOOTHING = (0.25, 0.5, 0.25)
 
@@ -160,7 +163,7 @@ def blocks(page: str) -> list[_Node]:
             continue
         main, barred = _marks(tag, found[3], stack[-1][2])
         _, path, was_main, was_barred = stack[-1]
-        stack.append((tag, f"{path}/{tag}", was_main or main, was_barred or barred))
+        stack.append((tag, f"{path}/{tag}{'*' * main}", was_main or main, was_barred or barred))
     flush()
     return out
 
@@ -197,15 +200,15 @@ def fused_ratios(nodes: list[_Node]) -> np.ndarray:
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The main text: its blocks in page order, one a line; empty for a null page or one without text."""
     nodes = [n for n in blocks(page or "") if not n.barred]
-    inside = [n for n in nodes if n.main]
-    if inside or not nodes:
-        return "\n".join(n.text for n in inside)
+    if not nodes:
+        return ""
     fused = fused_ratios(nodes)
+    fused += np.array([n.main for n in nodes]) * (MAIN_WEIGHT * fused.std() or 1.0)
     line = threshold * fused.std()
     passed: dict[str, list[float]] = {}
     for n, value in zip(nodes, fused.tolist()):
         passed.setdefault(n.path, []).append(value)
-    chosen = {p for p, values in passed.items() if sum(values) / len(values) >= line}
+    chosen = {p for p, values in passed.items() if sum(values) / len(values) >= line * (1 - 1e-9)}
     return "\n".join(n.text for n in nodes if n.path in chosen)
 
 

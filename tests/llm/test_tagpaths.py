@@ -33,6 +33,16 @@ def test_ratios_choose_without_marks():
     assert tagpaths.main_text(page).count("\n") == 5 and "Home" not in tagpaths.main_text(page)
 
 
+BODY = "".join(f"<p>Sentence {k}, with words; more of them follow here, and an end.</p>" for k in range(6))
+
+
+@pytest.mark.parametrize("short", ["<article><p>Short teaser</p></article>", "<div><article>Nice one!</article></div>"])
+def test_a_short_article_does_not_suppress_the_page(short):
+    page = f"<body><div><span>Home</span></div><div><div>{BODY}</div></div>{short}<div>Copyright</div></body>"
+    got = tagpaths.main_text(page).split("\n")
+    assert sum(x.startswith("Sentence") for x in got) == 6 and not {"Home", "Copyright"} & set(got)
+
+
 def test_null_and_hostile_pages():
     assert tagpaths.main_text(None) == ""
     assert tagpaths.main_text("<article>" * 3000 + "deep") == "deep"
