@@ -67,18 +67,32 @@ _TOKEN = re.compile(
 #: Tags with a quote that is never closed, and one that the page breaks off in.
 _LOOSE = re.compile(r"</?[A-Za-z][^<>]*(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.IGNORECASE)
-_NAME_WORDS = re.compile(r"[a-z0-9]+")
+_NAME_PARTS = re.compile(r"[^a-z0-9]+")
+#: Elements whose class or id says nothing against what is in them, and those that a head may hold.
+NEVER_BARRED = frozenset("html body main article".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
+#: Bars that count for text that is never shown.
+HIDDEN = 1 << 20
 
 
 class _Node:
     __slots__ = ("path", "main", "barred", "text")
 
-    def __init__(self, path: str, main: bool, barred: bool, text: str):
+    def __init__(self, path: str, main: bool, barred: int, text: str):
         self.path, self.main, self.barred, self.text = path, main, barred, text
 
 
-def _marks(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool]:
-    """(opens main text, bars it) of a start tag."""
+def _named(value: str, words: frozenset) -> bool:
+    """Whether a name in a class or id value is one of ``words``, or begins or ends with it."""
+    for name in value.split():
+        parts = [p for p in _NAME_PARTS.split(name) if p]
+        if parts and (parts[0] in words or parts[-1] in words):
+            return True
+    return False
+
+
+def _marks(tag: str, attributes: str, inside_main: bool) -> tuple[bool, int]:
+    """(opens main text, how much it bars it) of a start tag."""
     main, barred = tag in MAIN_ELEMENTS, tag in NOT_MAIN_ELEMENTS or (tag in PAGE_ONLY and not inside_main)
     if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
@@ -87,17 +101,16 @@ def _marks(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool]:
                 main |= value in MAIN_ROLES
                 barred |= value in NOT_MAIN_ROLES
             elif name == "hidden":
-                barred = True
-            else:
-                words = set(_NAME_WORDS.findall(value))
-                barred |= bool(words & NOT_MAIN_WORDS) or (bool(words & PAGE_ONLY) and not inside_main)
-    return main, barred
+                return main, HIDDEN
+            elif tag not in NEVER_BARRED:
+                barred |= _named(value, NOT_MAIN_WORDS) or (not inside_main and _named(value, PAGE_ONLY))
+    return main, int(barred)
 
 
 def blocks(page: str) -> list[_Node]:
     """The text blocks of a page in order, with their tag paths; scripts, styles, comments and the head are left out."""
     out: list[_Node] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
     held: list[str] = []
     place = 0
 
@@ -122,10 +135,16 @@ def blocks(page: str) -> list[_Node]:
     while place < end:
         found = _TOKEN.search(page, place)
         if found is None:
-            held.append(_LOOSE.sub(" ", page[place:]))
+            text = _LOOSE.sub(" ", page[place:])
+            if stack[-1][0] == "head" and not text.isspace():
+                stack.pop()
+            held.append(text)
             break
         if found.start() > place:
-            held.append(page[place : found.start()])
+            text = page[place : found.start()]
+            if stack[-1][0] == "head" and not text.isspace():
+                stack.pop()
+            held.append(text)
         place = found.end()
         tag = found[2]
         if tag is None:
@@ -142,6 +161,8 @@ def blocks(page: str) -> list[_Node]:
             elif tag == "p":
                 flush()
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            stack.pop()
         if tag in RAW_TEXT:
             until = _raw_end(tag).search(page, place)
             place = until.end() if until else end
@@ -157,13 +178,11 @@ def blocks(page: str) -> list[_Node]:
         if tag in ENDS_SAME:
             close(ENDS_SAME[tag])
         flush()
-        if tag in ("body", "html") or tag == "frameset":
-            close({"head"})
         if tag in VOID:
             continue
         main, barred = _marks(tag, found[3], stack[-1][2])
         _, path, was_main, was_barred = stack[-1]
-        stack.append((tag, f"{path}/{tag}{'*' * main}", was_main or main, was_barred or barred))
+        stack.append((tag, f"{path}/{tag}{'*' * main}", was_main or main, was_barred + barred))
     flush()
     return out
 
@@ -199,9 +218,12 @@ def fused_ratios(nodes: list[_Node]) -> np.ndarray:
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The main text: its blocks in page order, one a line; empty for a null page or one without text."""
-    nodes = [n for n in blocks(page or "") if not n.barred]
+    nodes = [n for n in blocks(page or "") if n.barred < HIDDEN]
     if not nodes:
         return ""
+    # a bar over all of a page says nothing; what is barred once more inside it stays out
+    least = min(n.barred for n in nodes)
+    nodes = [n for n in nodes if n.barred == least]
     fused = fused_ratios(nodes)
     fused += np.array([n.main for n in nodes]) * (MAIN_WEIGHT * fused.std() or 1.0)
     line = threshold * fused.std()

@@ -43,6 +43,29 @@ def test_a_short_article_does_not_suppress_the_page(short):
     assert sum(x.startswith("Sentence") for x in got) == 6 and not {"Home", "Copyright"} & set(got)
 
 
+KEPT = [
+    "<body class='has-sidebar'><article>{}</article></body>",
+    "<html class='no-menu'><body class='ad'><article>{}</article></body></html>",
+    "<article class='post comments-open'>{}</article>",
+    "<main id='share'>{}</main>",
+    "<div class='x-social-y'><article>{}</article></div><p>no</p>",
+    "<html><head><title>no</title><meta charset=utf-8><article>{}</article></html>",
+    "<head><link rel=x>{}",
+    "<body><form><nav>no</nav>{}<div class='comments'>no</div></form></body>",
+    "<body><form><nav>no</nav><article>{}</article><div hidden>no</div></form></body>",
+]
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_bars_do_not_empty_a_page(page):
+    got = tagpaths.main_text(page.format(BODY)).split("\n")
+    assert len(got) == 6 and all(x.startswith("Sentence") for x in got)
+
+
+def test_hidden_text_alone_is_no_text():
+    assert tagpaths.main_text("<body><div hidden><p>no</p></div></body>") == ""
+
+
 def test_null_and_hostile_pages():
     assert tagpaths.main_text(None) == ""
     assert tagpaths.main_text("<article>" * 3000 + "deep") == "deep"
