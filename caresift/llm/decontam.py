@@ -20,8 +20,11 @@ from caresift.llm.tables import narrow, read
 Q = 8
 #: Edits allowed, as a share of a passage's characters.
 EDIT_SHARE = 0.1
-#: Passages longer than this are looked for in windows of that many characters, each half a window further.
-WINDOW = 400
+#: Passages up to this many characters are looked for as a whole.
+WHOLE = 400
+#: Of longer passages, windows of that many characters are looked for, each as much further as a window may be
+#: edited: a copied run of WINDOW + STRIDE - 1 characters holds a whole window wherever it starts.
+WINDOW, STRIDE = 200, 20
 #: Characters of passages that one pass over the documents looks for; more passages take more passes.
 BLOCK_CHARS = 2_000_000
 #: Characters of documents that are searched at once.
@@ -64,14 +67,17 @@ class PassageIndex:
     def __init__(self, items: list[tuple[int, str | None]], edit_share: float = EDIT_SHARE):
         self.item_ids: list[int] = []
         self.texts: list[str] = []
+        self.partial: list[bool] = []
         for item_id, text in items:
             plain = normal(text)
-            starts = range(0, max(1, len(plain) - WINDOW // 2), WINDOW // 2) if len(plain) > WINDOW else (0,)
-            for a in starts:
-                part = plain[a : a + WINDOW] if len(plain) > WINDOW else plain
-                if len(part) >= Q:
-                    self.item_ids.append(item_id)
-                    self.texts.append(part)
+            parts = [(plain, False)] if Q <= len(plain) <= WHOLE else []
+            if len(plain) > WHOLE:
+                last = len(plain) - WINDOW
+                parts += [(plain[a : a + WINDOW], True) for a in sorted({*range(0, last, STRIDE), last})]
+            for part, partial in parts:
+                self.item_ids.append(item_id)
+                self.texts.append(part)
+                self.partial.append(partial)
         sizes = [len(t) for t in self.texts]
         self.budgets = np.array([budget(n, edit_share) for n in sizes], np.int64)
         self.bounds = np.array([n + 1 - Q - k * Q for n, k in zip(sizes, self.budgets)], np.int64)
@@ -186,16 +192,16 @@ def aligned(
 def search(index: PassageIndex, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
     """(text number, item_id, start, end, edits) of the best occurrence of every passage found in each text.
 
-    Places are in the normal form of the text. Best is fewest edits, then the earliest.
+    Places are in the normal form of the text. Best is a whole passage before a window, then fewest edits, then the earliest.
     """
     plain = [normal(t) for t in texts]
     begins = np.cumsum([0, *(len(p) + 1 for p in plain)])
     joined = "\x00".join(plain)
     points = code_points(joined)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    best: dict[tuple[int, int], tuple[bool, int, int, int]] = {}
 
     def note(k: int, passage: int, edits: int, start: int, end: int) -> None:
-        key, got = (k, index.item_ids[passage]), (edits, start - int(begins[k]), end - int(begins[k]))
+        key, got = (k, index.item_ids[passage]), (index.partial[passage], edits, start - int(begins[k]), end - int(begins[k]))
         if key not in best or got < best[key]:
             best[key] = got
 
@@ -218,7 +224,7 @@ def search(index: PassageIndex, texts: list[str | None]) -> Iterator[tuple[int,
         for x, got in zip(part, aligned(points, patterns, *([x[c] for x in part] for c in range(2, 7)))):
             if got is not None:
                 note(x[0], x[1], *got)
-    for (k, item_id), (edits, start, end) in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
+    for (k, item_id), (_, edits, start, end) in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
         yield k, item_id, start, end, edits
 
 
@@ -250,10 +256,12 @@ def _search_column(index: PassageIndex, texts) -> Iterator[tuple[int, int, int,
 
 
 def _indexes(benchmark: DataFrame, edit_share: float) -> list[PassageIndex]:
-    """The items in blocks of about ``BLOCK_CHARS`` characters."""
+    """The items in blocks of about ``BLOCK_CHARS`` characters, those of their windows included."""
     items = narrow(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long"))
     items = items.where(F.length("text") > 0)
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    long = F.length("text")
+    held = F.when(long > WHOLE, long * (1 + WINDOW // STRIDE)).otherwise(long)
+    size = items.agg(F.sum(held)).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_CHARS))
     parts = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect() for k in range(blocks))
     return [PassageIndex(sorted(((r[0], r[1]) for r in part), key=repr), edit_share) for part in parts]
@@ -282,7 +290,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE)
 def contaminated(docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE) -> DataFrame:
     """(doc_id, item_id, start, end, edits): every document row and benchmark item that occurs in it.
 
-    Occurs: the item, or one window of an item longer than ``WINDOW``, stands in the document's normal form with at most
+    Occurs: the item (up to ``WHOLE`` characters), or one window of a longer item, stands in the document's normal form with at most
     ``edit_share`` of its characters edited. Null or empty texts and items shorter than ``Q`` characters match
     nothing; repeated rows match each for itself, items with one id count as one. Items go to the
     tasks in blocks of at most about ``BLOCK_CHARS`` characters; each further block is a further pass over the documents.

@@ -110,6 +110,17 @@ def test_long_items_are_found_by_their_windows(spark):
     assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 3)]
 
 
+@pytest.mark.parametrize("words", [90, 400])
+def test_a_copied_run_is_found_wherever_it_starts(words):
+    draw = random.Random(words)
+    item = decontam.normal(prose(draw, words))
+    assert len(item) > decontam.WHOLE
+    index = decontam.PassageIndex([(1, item)])
+    run = decontam.WINDOW + decontam.STRIDE - 1
+    texts = [f"{prose(draw, 20)} {item[a : a + run]} {prose(draw, 20)}" for a in range(0, len(item) - run + 1, 7)]
+    assert [k for k, *_ in decontam.search(index, texts)] == list(range(len(texts)))
+
+
 def test_query_against_plain_search(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{DATA}/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
