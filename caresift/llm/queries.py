@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from caresift.llm import bitpack, decision_lists, decontam, langid, mixing, pii, reputation, simhash_vp, tagpaths, warc
+from caresift.llm import (
+    bitpack,
+    decision_lists,
+    decontam,
+    divergence,
+    langid,
+    mixing,
+    pii,
+    reputation,
+    simhash_vp,
+    tagpaths,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,11 +28,14 @@ QUERIES = {
     "op8_decision_list": decision_lists.op8_decision_list,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
     "op10_decontam": decontam.op10_decontam,
+    "op12_toxicity": toxicity.op12_toxicity,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_reputation": reputation.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
+    "op13_divergence": divergence.OP13_SQL,
     "op1_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body FROM pages
