@@ -10,6 +10,7 @@ from caresift.llm import (
     langid,
     mixing,
     pii,
+    prefix_trie,
     reputation,
     simhash_vp,
     tagpaths,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_decision_list": decision_lists.op8_decision_list,
     "op9_simhash_vp": simhash_vp.op9_simhash_vp,
     "op10_decontam": decontam.op10_decontam,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_toxicity": toxicity.op12_toxicity,
     "op13_divergence": divergence.op13_divergence,
 }
@@ -35,6 +37,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_url_reputation": reputation.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op13_divergence": divergence.OP13_SQL,
     "op1_warc": """
         WITH p AS (
