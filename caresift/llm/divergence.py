@@ -31,7 +31,7 @@ PARTS = 1_000_000_000
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 NO_TERM = re.compile(rb"[^a-z\x80-\xff]")
 #: Distinct terms a task holds before it hands its counts on, and bytes of one text that are split at once.
-HELD_TERMS, PIECE_BYTES = 200_000, 1 << 20
+HELD_TERMS, PIECE_BYTES = 300_000, 1 << 20
 #: Counts that one task of the pair sums is given; sources whose sums one task makes; cells of a block of shares.
 ROWS_PER_TASK, STRIPE, BLOCK_CELLS = 200_000, 1024, 1 << 19
 
@@ -83,6 +83,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield table(held)
 
     found = _named(docs).mapInArrow(work, "lang string, source string, term string, n long, docs long")
+    # tasks have added up already; one exchange serves these sums and those over the sources of a term
+    found = found.repartition("lang", "term")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -159,10 +161,9 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """
     import pyarrow as pa
 
-    spark = kept.sparkSession
     widest = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     stripes = max(1, math.ceil(widest / STRIPE))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(kept.count() * stripes / ROWS_PER_TASK))
+    tasks = max(1, math.ceil(kept.count() * stripes / ROWS_PER_TASK))
     of = groups.where("terms > 0")
     none = of.withColumn("none", F.lit(0))
     heads = none.select("lang", "source", F.lit(None).cast("string").alias("term"), share_of("none", "size", "terms").alias("p"))
