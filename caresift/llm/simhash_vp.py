@@ -56,8 +56,8 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every whole text; fp is the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns named in ``also`` of every whole text; fp is the fingerprint's bits as a signed long."""
     import pyarrow as pa
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,10 +65,11 @@ def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
             texts = batch.column(1)
             fps = [simhash(shingle_hashes(texts[i].as_py(), words_each)) for i in range(batch.num_rows)]
             signed = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "fp"])
+            others = [batch.column(k) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed), *others], names=["doc_id", "fp", *also])
 
-    rows = narrow(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(work, "doc_id long, fp long")
+    rows = narrow(docs, doc_id="doc_id", text="text", **{c: c for c in also}).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(work, "doc_id long, fp long" + "".join(f", {c} long" for c in also))
 
 
 class Tree:
@@ -229,14 +230,11 @@ def _by_shard(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield tuple(map(np.concatenate, zip(*parts)))
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words_each: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text; other columns ignored).
+def fingerprint_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(class_fp, root, component_id) of every fingerprint in the stored table ``fps`` (doc_id, fp).
 
-    A null or wordless text has fingerprint zero and is linked like any other. ``component_id`` is the smallest doc_id
-    in the class of linked texts, null ids left aside (null only where the whole class has none). Repeated rows
-    give repeated rows. Texts may be of any length; an empty table gives an empty result.
+    ``root`` names the class of linked fingerprints, ``component_id`` is its smallest doc_id. Stored.
     """
-    fps = materialize(fingerprints(docs, words_each), "simhash")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = connected(fingerprint_links(distinct, max_bits))
     rooted = distinct.join(roots, F.col("fp") == F.col("u"), "left").select(
@@ -244,14 +242,50 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words_each: int =
     )
     rooted = materialize(rooted, "simhash-rooted")
     named = materialize(rooted.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("component_id")), "simhash-named")
-    classes = materialize(
-        rooted.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("class_fp"), "component_id"),
+    return materialize(
+        rooted.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("class_fp"), "root", "component_id"),
         "simhash-classes",
     )
-    joined = fps.join(classes, F.col("fp") == F.col("class_fp"))
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words_each: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text; other columns ignored).
+
+    A null or wordless text has fingerprint zero and is linked like any other. ``component_id`` is the smallest doc_id
+    in the class of linked texts, null ids left aside (null only where the whole class has none). Repeated rows
+    give repeated rows. Texts may be of any length; an empty table gives an empty result.
+    """
+    fps = materialize(fingerprints(docs, words_each), "simhash")
+    joined = fps.join(fingerprint_classes(fps, max_bits), F.col("fp") == F.col("class_fp"))
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words_each: int = SHINGLE_WORDS) -> DataFrame:
+    """One row of ``docs``, with all its columns, of every class of linked texts: that with the smallest doc_id.
+
+    Rows are told apart by their contents, not their ids: of rows that share an id, or have none (they come last), the
+    smallest 128-bit hash of all columns decides, and of rows equal in all columns one stays. So an id that stands on two
+    different texts loses neither, and copies without an id are still copies.
+    """
+    columns = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    marked = [x for c in columns for x in (F.isnull(c), c)]
+    row = ["row__a", "row__b"]
+    keyed = docs.withColumns({"row__a": F.xxhash64(*marked), "row__b": F.xxhash64(F.lit(1), *marked)})
+    fps = materialize(fingerprints(keyed, words_each, tuple(row)), "simhash")
+    classed = fps.join(fingerprint_classes(fps, max_bits), F.col("fp") == F.col("class_fp"))
+    members = classed.groupBy("root", *row).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    members = materialize(members, "simhash-members")
+    first = F.min(F.struct(F.isnull("id").alias("none"), "id", *row))
+    best = members.groupBy("root").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    apart = (F.col("first.row__a") != F.col("row__a")) | (F.col("first.row__b") != F.col("row__b"))
+    dropped = materialize(members.join(best, "root").where(apart).select(*row).distinct(), "simhash-dropped")
+    left = keyed.join(dropped, row, "left_anti")
+    again = materialize(members.where("n > 1").select(*row).distinct().join(dropped, row, "left_anti"), "simhash-again")
+    if not again.isEmpty():
+        left = left.join(again, row, "left_anti").unionByName(left.join(again, row, "left_semi").dropDuplicates(row))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op9_simhash_vp(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     return near_duplicates(read(spark, sf_dir, "documents"))
