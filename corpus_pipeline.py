@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caresift.llm import bitpack, decontam, langid, mixing, shingle_jaccard
+from caresift.llm import bitpack, decontam, langid, mixing, simhash_vp
 from caresift.llm.tables import read
 from caresift.session import materialize
 
@@ -22,13 +22,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near copies; rows that repeat its id are the same document.
+    """One document of each class of near copies: that with the smallest id.
 
-    Near copies have a Jaccard similarity of 0.8 or more on five-word shingles. A row without an id cannot be told from others and stays.
+    Near copies are linked by fingerprints of three-word shingles that differ in at most two bits, directly or over others.
     """
-    found = shingle_jaccard.near_copies(docs).where("doc_id <> component_id")
-    dropped = materialize(found.select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    return simhash_vp.one_of_each(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
