@@ -2,14 +2,17 @@
 
 Labelled page outcomes are counted by host. Each host's share of bad pages is shrunk towards its registered
 domain's, that towards the public suffix's and that towards all pages', with beta-binomial priors whose strength is fitted
-on each level by moments. A host is blocked if the lower bound of its posterior share of bad pages is above a threshold.
+on each level by moments. A host is blocked if the lower bound of its posterior share of bad pages, a quantile of its beta
+distribution, is above a threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caresift.llm.tables import narrow, read
@@ -25,8 +28,8 @@ RULES = (
 )
 #: Suffixes of two labels under which domains are registered.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.mx", "gov.uk", "org.uk")
-#: Standard deviations below the posterior mean, and the share of bad pages that the bound must pass.
-BOUND_SDS, BAD_SHARE = 1.645, 0.3
+#: Posterior probability below the bound, and the share of bad pages that the bound must pass.
+BELOW, BAD_SHARE = 0.05, 0.3
 #: A page is bad with fewer words than this, or with more marks than this share of its words.
 LEAST_WORDS, MARK_SHARE = 10, 0.2
 #: Bounds of the fitted correlation inside a group, so that a prior is never empty or all there is.
@@ -42,12 +45,34 @@ def url_parts(url: str = "url") -> tuple[Column, Column]:
     return lower, path
 
 
-def domain_of(host: Column) -> tuple[Column, Column]:
-    """(registered domain, suffix): the suffix and one label more, or the whole host if it has none."""
-    two = F.substring_index(host, ".", -2)
-    suffix = F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
-    labels = F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
-    return labels, suffix
+def read_suffix_rules(spark: SparkSession, path: str) -> list[str]:
+    """The rules of a public-suffix file: one a line, ``*.`` for any label, ``!`` for an exception; ``//`` starts a comment."""
+    lines = spark.read.text(path).select(F.trim("value").alias("rule")).where("rule <> '' AND NOT startswith(rule, '//')")
+    return sorted(r["rule"].split()[0].lower() for r in lines.distinct().collect())
+
+
+def domain_of(host: Column, suffix_rules: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, whose user, port and last dot are left aside.
+
+    The suffix is the longest end of the host that a rule names, else its last label; the domain has one label more, or is
+    the whole host if it has none.
+    """
+    plain = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"(\.?:[0-9]*|\.)$", "")
+    exact = [r for r in suffix_rules if not r.startswith(("*.", "!"))]
+    wild = [r[2:] for r in suffix_rules if r.startswith("*.")]
+    spared = [r[1:] for r in suffix_rules if r.startswith("!")]
+    labels = F.split(plain, r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+
+    def named(end: Column) -> Column:
+        found = end.isin(*exact) if exact else F.lit(False)
+        if wild:
+            found = found | F.regexp_replace(end, r"^[^.]*\.", "").isin(*wild) & end.contains(".")
+        return found & ~end.isin(*spared) if spared else found
+
+    place = F.coalesce(F.array_position(F.transform(ends, lambda e: named(e)), True), F.lit(0))
+    place = F.when(place > 0, place).otherwise(F.size(labels)).cast("int")
+    return F.get(ends, F.greatest(place - 2, F.lit(0))), F.get(ends, place - 1)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> Column:
@@ -78,10 +103,56 @@ def _strength(table: DataFrame) -> float:
     return (1 - rho) / rho
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def beta_share(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The share of a beta distribution below ``x``, by its continued fraction."""
+    turned = x > (a + 1) / (a + b + 2)
+    p, q, y = np.where(turned, b, a), np.where(turned, a, b), np.where(turned, 1 - x, x)
+    log = np.vectorize(math.lgamma, otypes=[float])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        front = np.exp(log(p + q) - log(p) - log(q) + p * np.log(y) + q * np.log1p(-y))
+    tiny = 1e-300
+    c, d = np.ones_like(y), 1 - (p + q) * y / (p + 1)
+    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+    h = d.copy()
+    for m in range(1, 10_000):
+        for step in (m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)), -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1))):
+            d, c = 1 + step * d, 1 + step / c
+            d, c = 1 / np.where(np.abs(d) < tiny, tiny, d), np.where(np.abs(c) < tiny, tiny, c)
+            h = h * d * c
+        if np.all(np.abs(d * c - 1) < 1e-14):
+            break
+    below = np.where(y > 0, front * h / p, 0.0)
+    return np.where(turned, 1 - below, below)
+
+
+def beta_quantile(share: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The points below which ``share`` of each beta distribution lies, by halving."""
+    low, high = np.zeros(len(a)), np.ones(len(a))
+    for _ in range(52):
+        middle = (low + high) / 2
+        under = beta_share(middle, a, b) < share
+        low, high = np.where(under, middle, low), np.where(under, high, middle)
+    return (low + high) / 2
+
+
+def with_bounds(posterior: DataFrame, below: float = BELOW) -> DataFrame:
+    """(host, n, bad, mean, low) of posteriors (host, n, bad, a, b); ``low`` is the lower bound of the share."""
+    import pyarrow as pa
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4))
+                columns = [*(batch.column(k) for k in range(3)), pa.array(a / (a + b)), pa.array(beta_quantile(below, a, b))]
+                yield pa.RecordBatch.from_arrays(columns, names=["host", "n", "bad", "mean", "low"])
+
+    return posterior.select("host", "n", "bad", "a", "b").mapInArrow(work, "host string, n long, bad long, mean double, low double")
+
+
+def reputations(outcomes: DataFrame, suffix_rules: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """(host, n, bad, mean, low) of every host in ``outcomes`` (url, bad boolean); rows with null ``bad`` count nothing.
 
-    A host keeps a row even if none of its pages is labelled: its posterior is then its domain's prior. Rows without a
+    ``suffix_rules`` are public suffixes of several labels (``read_suffix_rules`` reads a file of them). A host keeps a row even if none of its pages is labelled: its posterior is then its domain's prior. Rows without a
     host are the host ``''``. One row for each level comes to the driver.
     """
     host, _ = url_parts()
@@ -92,7 +163,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
-    domain, suffix = domain_of(F.col("host"))
+    domain, suffix = domain_of(F.col("host"), suffix_rules)
     hosts = materialize(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = materialize(domains, "domains")
@@ -116,10 +187,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     joined = hosts.join(by_domain, (F.col("domain") == F.col("d")) & (F.col("suffix") == F.col("ds")))
     a = F.col("bad") + F.lit(k_host) * F.col("prior")
     b = F.col("n") - F.col("bad") + F.lit(k_host) * (1 - F.col("prior"))
-    posterior = joined.withColumns({"a": a, "b": b, "ab": a + b})
-    mean = F.col("a") / F.col("ab")
-    sd = F.sqrt(F.col("a") * F.col("b") / (F.col("ab") * F.col("ab") * (F.col("ab") + 1)))
-    return posterior.select("host", "n", "bad", mean.alias("mean"), (mean - F.lit(BOUND_SDS) * sd).alias("low"))
+    return with_bounds(joined.withColumns({"a": a, "b": b}))
 
 
 def page_outcomes(pages: DataFrame) -> DataFrame:
@@ -166,13 +234,15 @@ OP3_SQL = r"""
         SELECT *, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS words, len(regexp_extract_all(body, '[#*$%|!]')) AS marks FROM texts
     ), hosts AS (
         SELECT host, count(body) AS n, coalesce(sum((words < 10 OR marks > 0.2 * words)::INT), 0) AS bad,
-            list_aggregate(list_slice(string_split(host, '.'), -1, NULL), 'string_agg', '.') AS suffix1,
-            list_aggregate(list_slice(string_split(host, '.'), -2, NULL), 'string_agg', '.') AS suffix2,
-            list_aggregate(list_slice(string_split(host, '.'), -3, NULL), 'string_agg', '.') AS suffix3
+            string_split(regexp_replace(regexp_replace(host, '^.*@', ''), '(\.?:[0-9]*|\.)$', ''), '.') AS l
         FROM outcomes GROUP BY host
+    ), ends AS (
+        SELECT host, n, bad, l[len(l)] AS end1, CASE WHEN len(l) > 1 THEN l[len(l) - 1] || '.' || l[len(l)] ELSE l[1] END AS end2,
+            CASE WHEN len(l) > 2 THEN l[len(l) - 2] || '.' || l[len(l) - 1] || '.' || l[len(l)] ELSE array_to_string(l, '.') END AS end3
+        FROM hosts
     ), h AS (
-        SELECT host, n, bad, CASE WHEN two THEN suffix3 ELSE suffix2 END AS domain, CASE WHEN two THEN suffix2 ELSE suffix1 END AS suffix
-        FROM (SELECT *, suffix2 IN ('ac.uk', 'co.jp', 'co.nz', 'co.uk', 'com.au', 'com.br', 'com.mx', 'gov.uk', 'org.uk') AS two FROM hosts)
+        SELECT host, n, bad, CASE WHEN two THEN end3 ELSE end2 END AS domain, CASE WHEN two THEN end2 ELSE end1 END AS suffix
+        FROM (SELECT *, end2 IN ('ac.uk', 'co.jp', 'co.nz', 'co.uk', 'com.au', 'com.br', 'com.mx', 'gov.uk', 'org.uk') AS two FROM ends)
     ), d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL
     ), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL
     ), levels AS (
@@ -191,18 +261,21 @@ OP3_SQL = r"""
     ), sm AS (SELECT suffix, (bad + ks * overall) / (n + ks) AS mean FROM s, ks
     ), dm AS (SELECT domain, d.suffix, (bad + kd * mean) / (n + kd) AS prior FROM d JOIN sm ON d.suffix = sm.suffix, ks
     ), ab AS (SELECT host, bad + kh * prior AS a, n - bad + kh * (1 - prior) AS b FROM h JOIN dm ON h.domain = dm.domain AND h.suffix = dm.suffix, ks
-    ), low AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS low FROM ab
+    ), low AS (
+        SELECT host, sum(exp(lgamma(a + b + i) - lgamma(a + b) - lgamma(a + 1 + i) + lgamma(a + 1) + i * ln(0.3::DOUBLE)))
+            * exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(0.3::DOUBLE) + b * ln(0.7::DOUBLE)) / a AS below
+        FROM (SELECT host, a::DOUBLE AS a, b::DOUBLE AS b FROM ab) CROSS JOIN range(3000) t(i) GROUP BY host, a, b
     ), ruled AS (
         SELECT page_id, p.host, path, CASE
             WHEN (p.host = 'example.org' OR ends_with(p.host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
             WHEN (p.host = 'example.org' OR ends_with(p.host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
             WHEN (p.host = 'com' OR ends_with(p.host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
             WHEN (p.host = 'com' OR ends_with(p.host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
-            WHEN (p.host = 'org' OR ends_with(p.host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule, low
+            WHEN (p.host = 'org' OR ends_with(p.host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule, below
         FROM parts p LEFT JOIN low ON p.host = low.host
     )
     SELECT page_id, host, path, rule, CASE
         WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-        WHEN low > 0.3 THEN 'block' ELSE 'allow' END AS verdict
+        WHEN below < 0.05 THEN 'block' ELSE 'allow' END AS verdict
     FROM ruled
 """

@@ -30,6 +30,8 @@ SAMPLE = 200_000
 SHARD_SIZE, MAX_SHARDS = 4096, 16_384
 #: Inside a shard, splitting stops at this many fingerprints.
 LEAF_SIZE = 1024
+#: Rows to leave out whose 16-byte names are broadcast at most; beyond, the rows are shuffled to them once.
+BROADCAST_NAMES = 2_000_000
 #: Fingerprints of several shards that one task is given.
 ROWS_PER_TASK = 32_768
 
@@ -279,7 +281,8 @@ def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words_each: int = SHI
     best = members.groupBy("root").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     apart = (F.col("first.row__a") != F.col("row__a")) | (F.col("first.row__b") != F.col("row__b"))
     dropped = materialize(members.join(best, "root").where(apart).select(*row).distinct(), "simhash-dropped")
-    left = keyed.join(dropped, row, "left_anti")
+    few = dropped.count() <= BROADCAST_NAMES
+    left = keyed.join(F.broadcast(dropped) if few else dropped, row, "left_anti")
     again = materialize(members.where("n > 1").select(*row).distinct().join(dropped, row, "left_anti"), "simhash-again")
     if not again.isEmpty():
         left = left.join(again, row, "left_anti").unionByName(left.join(again, row, "left_semi").dropDuplicates(row))

@@ -1,8 +1,12 @@
 """URL parts and rules against plain Python, reputations on literal cases."""
 
+import random
 import re
 
+import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from caresift.llm import reputation
 
@@ -73,3 +77,59 @@ def test_unlabelled_rows_count_nothing(spark):
 def test_content_rule(spark):
     pages = spark.createDataFrame([("u", "<p>" + "word " * 20), ("v", "<p>few"), ("w", "wor#d*$ " * 20), ("x", None)], "url string, html string")
     assert {r["url"]: r["bad"] for r in reputation.page_outcomes(pages).collect()} == {"u": False, "v": True, "w": True, "x": None}
+
+
+def test_bound_is_the_quantile_of_the_posterior():
+    draws = np.random.default_rng(3)
+    for a, b in ((0.02, 3.0), (1.0, 1.0), (3.5, 40.25), (38.7, 2.2), (900.0, 4000.0), (5e5, 2e6)):
+        low = reputation.beta_quantile(0.05, np.array([a]), np.array([b]))[0]
+        if a == b == 1.0:
+            assert low == pytest.approx(0.05)
+        assert np.mean(draws.beta(a, b, 200_000) < low) == pytest.approx(0.05, abs=0.003)
+    x = np.linspace(0, 1, 11)
+    assert np.allclose(reputation.beta_share(x, np.full(11, 2.0), np.full(11, 3.0)), 6 * x**2 - 8 * x**3 + 3 * x**4)
+
+
+def test_domains(spark):
+    cases = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"),
+        "user:pw@www.site.org:8080": ("site.org", "org"),
+        "site.org.": ("site.org", "org"),
+        "co.uk": ("co.uk", "co.uk"),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+        "x.y.any.ck": ("y.any.ck", "any.ck"),
+        "www.ck": ("www.ck", "ck"),
+        "deep.www.ck": ("www.ck", "ck"),
+    }
+    rows = spark.createDataFrame([(h,) for h in cases], "host string")
+    domain, suffix = reputation.domain_of(F.col("host"), ["co.uk", "*.ck", "!www.ck"])
+    assert {r["host"]: (r["d"], r["s"]) for r in rows.select("host", domain.alias("d"), suffix.alias("s")).collect()} == cases
+
+
+def test_rules_of_a_file(spark, tmp_path):
+    (tmp_path / "suffixes.dat").write_text("// comment\n\nco.uk\n*.ck\n!www.ck\n")
+    assert reputation.read_suffix_rules(spark, str(tmp_path / "suffixes.dat")) == ["!www.ck", "*.ck", "co.uk"]
+
+
+def test_query_and_sql_block_the_same_hosts(spark, tmp_path):
+    """On a table with bad hosts the method decides, and the SQL finds the same verdicts."""
+    draw = random.Random(4)
+    good, bad = "<p>" + "word " * 30, "<p>few"
+    hosts = {f"h{k}.site{k % 7}.{['com', 'net', 'co.uk'][k % 3]}": draw.choice([0.0, 0.05, 0.4, 0.6, 0.95]) for k in range(40)}
+    hosts |= {"user@spam.net:81": 1.0, "": 0.5}
+    rows, page = [], 0
+    for host, share in hosts.items():
+        for _ in range(draw.randint(1, 40)):
+            rows.append((page, f"http://{host}/p{page}" if host else None, bad if draw.random() < share else good))
+            page += 1
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: tuple(r) for r in reputation.op3_url_reputation(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    cursor = con.execute(reputation.OP3_SQL)
+    names = [d[0] for d in cursor.description]
+    want = {r[names.index("page_id")]: tuple(r[names.index(c)] for c in ("page_id", "host", "path", "rule", "verdict")) for r in cursor.fetchall()}
+    assert got == want
+    verdicts = [r[4] for r in got.values()]
+    assert 50 < verdicts.count("block") < len(verdicts) - 50
