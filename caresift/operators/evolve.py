@@ -90,17 +90,20 @@ def tournament(slots: DataFrame, fitness: DataFrame, size: str, k: int = 3, dist
     return joined.groupBy(*BY, "slot", "parent").agg(F.max_by("cand", order).alias("cand"))
 
 
-def crossover(winners: DataFrame, population: DataFrame, config: DataFrame, gen: int, take: str = "B") -> DataFrame:
+def crossover(
+    winners: DataFrame, population: DataFrame, genes: DataFrame, config: DataFrame, gen: int, take: str = "B"
+) -> DataFrame:
     """Children by uniform crossover: each gene comes from parent ``take`` with cx_prob.
 
-    The giving parent is drawn per gene, so a gene is looked up and no pair of parents is put together.
+    The giving parent is drawn per gene before any gene is looked up, so one row a gene meets the population.
     """
     other = "A" if take == "B" else "B"
     drawn = winners.join(F.broadcast(config.select("experiment", "seed", "cx_prob")), "experiment")
-    genes = drawn.join(population, [*BY, "cand"])
+    drawn = drawn.join(F.broadcast(genes.select("model", "gene")), "model")
     u = uniform(F.col("seed"), F.lit(str(gen)), F.col("slot"), F.col("gene"), "cx")
     giver = F.when(u < F.col("cx_prob"), take).otherwise(other)
-    return genes.filter(F.col("parent") == giver).select(*BY, "slot", "gene", "num", "cat")
+    given = drawn.filter(F.col("parent") == giver).select(*BY, "slot", "cand", "gene")
+    return given.join(population, [*BY, "cand", "gene"]).select(*BY, "slot", "gene", "num", "cat")
 
 
 def mutation(children: DataFrame, genes: DataFrame, config: DataFrame, gen: int) -> DataFrame:
@@ -141,7 +144,7 @@ def next_generation(
         "parent", F.explode(F.array(F.lit("A"), F.lit("B")))
     )
     winners = tournament(parents, fitness, "pop_size", k)
-    children = mutation(crossover(winners, population, config, gen), genes, config, gen)
+    children = mutation(crossover(winners, population, genes, config, gen), genes, config, gen)
     best = elite(fitness).select(*BY, "cand").join(population, [*BY, "cand"])
     kept = best.select(*BY, F.lit(0).cast("bigint").alias("cand"), "gene", "num", "cat")
     return kept.unionByName(children.withColumnRenamed("slot", "cand"))

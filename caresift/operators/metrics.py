@@ -105,9 +105,17 @@ def fairness_metrics(df: DataFrame, by: Sequence[str], group: str, pred: Column
     The base table is shuffled once, already reduced to one row per
     (candidate, group) and map task; all else works on those few rows.
     """
-    cells = df.groupBy(*by, group).agg(*R.confusion(pred=pred)).withColumn("group_recall", R.recall())
-    counts = cells.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")],
-        (F.max("group_recall") - F.min("group_recall")).alias("gap"),
+    return fairness_of_cells(df.groupBy(*by, group).agg(*R.confusion(pred=pred)), by)
+
+
+def fairness_of_cells(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The same from confusion counts per (candidate, group)."""
+    counts = (
+        cells.withColumn("group_recall", R.recall())
+        .groupBy(*by)
+        .agg(
+            *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")],
+            (F.max("group_recall") - F.min("group_recall")).alias("gap"),
+        )
     )
     return with_rates(counts).withColumn("fitness", R.tabular_fitness())

@@ -11,6 +11,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
     RandomForestClassifier,
@@ -19,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caresift.functions.constants import DEFAULT_THRESHOLD
+from caresift.functions.constants import DEFAULT_THRESHOLD, TARGET_CODES
 from caresift.functions.draws import uniform
 from caresift.operators.neighbors import nearest, vote
 from caresift.operators.prep import Preparation, assembled
@@ -161,13 +162,40 @@ def fit_many(jobs: Sequence[tuple[str, dict]], train, test, prep, key="case_key"
         return list(pool.map(lambda j: try_fit_score(j[0], j[1], train, test, prep, key, label), jobs))
 
 
-def fit_head(df: DataFrame, vector: str, label: str, hidden: int | None = None, seed: int = 42) -> Model:
-    """A small head over frozen vectors: logistic, or one hidden layer when ``hidden`` is given."""
-    ready = df.select(F.col(label).cast("double").alias("label"), array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+def fit_head(
+    df: DataFrame, vector: str, label: str, hidden: int | None = None, seed: int = 42, max_iter: int = 50, balanced: bool = False
+) -> Model:
+    """A small head over frozen vectors: logistic, or one hidden layer when ``hidden`` is given.
+
+    With ``balanced`` the classes weigh the same: by weights in the logistic head, by repeating rows of the rarer
+    class in the other, which knows no weights.
+    """
+    columns = [F.col(label).cast("double").alias("label"), array_to_vector(F.col(vector).cast("array<double>")).alias("features")]
+    ready = df.filter(F.col(label).isNotNull()).select(*columns)
     if hidden is None:
-        return LogisticRegression(maxIter=50, regParam=1e-3).fit(ready)
+        weight = {"weightCol": "weight"} if balanced else {}
+        return LogisticRegression(maxIter=max_iter, regParam=1e-3, **weight).fit(with_class_weight(ready, "label") if balanced else ready)
+    if balanced:
+        sizes = {r["label"]: r["n"] for r in ready.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        rarer = min(sizes, key=sizes.get)
+        times = F.when(F.col("label") == rarer, round(max(sizes.values()) / sizes[rarer])).otherwise(1)
+        ready = ready.withColumn("again", F.explode(F.sequence(F.lit(1), times))).drop("again")
     width = ready.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
-    return MultilayerPerceptronClassifier(layers=[width, hidden, 2], maxIter=50, seed=seed).fit(ready)
+    return MultilayerPerceptronClassifier(layers=[width, hidden, 2], maxIter=max_iter, seed=seed).fit(ready)
+
+
+def save_head(model: Model, path: str, threshold: float, details: dict) -> None:
+    """A vector head and what is known of it in one folder."""
+    model.write().overwrite().save(f"{path}/head")
+    meta = {"kind": type(model).__name__, "best_threshold": threshold, **details}
+    SparkSession.active().createDataFrame([(json.dumps(meta),)], "metadata string").write.mode("overwrite").parquet(f"{path}/metadata")
+
+
+def load_head(path: str) -> tuple[Model, dict]:
+    meta = json.loads(SparkSession.active().read.parquet(f"{path}/metadata").first()["metadata"])
+    meta.setdefault("best_threshold", DEFAULT_THRESHOLD)
+    kinds = {k.__name__: k for k in (LogisticRegressionModel, MultilayerPerceptronClassificationModel)}
+    return kinds[meta["kind"]].load(f"{path}/head"), meta
 
 
 def score_head(model: Model, df: DataFrame, vector: str) -> DataFrame:
@@ -176,8 +204,13 @@ def score_head(model: Model, df: DataFrame, vector: str) -> DataFrame:
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
-def save_artifact(fitted: FittedModel, path: str, threshold: float, feature_columns: Sequence[str], metrics: dict) -> None:
-    """Model, preparation, threshold, columns, parameters and metrics in one folder."""
+def save_artifact(
+    fitted: FittedModel, path: str, threshold: float, feature_columns: Sequence[str], metrics: dict, validation: Sequence[dict] = ()
+) -> None:
+    """Model, preparation, threshold, columns, parameters, codes of the target and metrics in one folder.
+
+    ``validation`` are the rows that the threshold was chosen by.
+    """
     spark = SparkSession.active()
     if fitted.name == NEIGHBORS:
         fitted.train.write.mode("overwrite").parquet(f"{path}/train")
@@ -188,7 +221,9 @@ def save_artifact(fitted: FittedModel, path: str, threshold: float, feature_colu
         "threshold": threshold,
         "feature_columns": list(feature_columns),
         "selected_params": fitted.params,
+        "validation_summary": list(validation),
         "test_metrics": metrics,
+        "target_mapping": TARGET_CODES,
         "preparation": asdict(fitted.prep),
         "key": fitted.key,
         "label": fitted.label,

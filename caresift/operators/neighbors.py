@@ -1,19 +1,20 @@
 """Exact k-nearest-neighbour vote as a partitioned join.
 
-Both sides are assigned to the nearest of a few pivot vectors. Distances to the
-pivots bound the distance to every training cell, so a query visits only cells
-that can still hold one of its k neighbours (pivot-based kNN join, Lu et al.,
-PVLDB 2012). Cells are cut into blocks of bounded size on both sides, so no cell,
+Both sides are assigned to the nearest of some pivot vectors, more of them the more
+training rows there are. A first round looks in a query's own cell and gives it a k-th
+distance. Distances to the pivots bound the distance to every other cell, so a second
+round visits only cells that can still hold a nearer neighbour (pivot-based kNN join,
+Lu et al., PVLDB 2012). Cells are cut into blocks of bounded size on both sides, so no cell,
 however full, ends up in one task, and each block gives at most k rows per query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from caresift.functions.draws import hashed
 from caresift.session import materialize
 
 BLOCK_ROWS = 2048
+#: Training rows a pivot's cell is meant to hold, and the fewest and most pivots. Beyond the most, cells grow and are cut into more blocks.
+CELL_ROWS, LEAST_PIVOTS, MOST_PIVOTS = 8192, 16, 4096
 
 
 def _kernels():
@@ -38,6 +41,16 @@ def _kernels():
     return distances, matrix
 
 
+def _pivot_points(base: DataFrame, pivots: int | None) -> np.ndarray:
+    """Vectors drawn by a hash of their key; about one for every CELL_ROWS rows."""
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, -(-base.count() // CELL_ROWS)))
+    chosen = base.orderBy(hashed("pivot", F.col("n_key").cast("string"))).limit(pivots).select("vec").collect()
+    if not chosen:
+        raise ValueError("no training rows")
+    return np.unique(np.array([r["vec"] for r in chosen], dtype=np.float64), axis=0)
+
+
 def nearest(
     train: DataFrame,
     queries: DataFrame,
@@ -46,7 +59,7 @@ def nearest(
     label: str,
     k: int,
     p: int = 2,
-    pivots: int = 16,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, neighbor, label, distance, rank) for the k nearest training rows of each query."""
@@ -56,16 +69,13 @@ def nearest(
         F.col(key).alias("n_key"), F.col(vector).cast("array<double>").alias("vec"), F.col(label).cast("int").alias("n_label")
     )
     asked = queries.select(F.col(key).alias("q_key"), F.col(vector).cast("array<double>").alias("vec"))
-    chosen = base.orderBy(hashed("pivot", F.col("n_key").cast("string"))).limit(pivots).select("vec").collect()
-    if not chosen:
-        raise ValueError("no training rows")
-    points = np.unique(np.array([r["vec"] for r in chosen], dtype=np.float64), axis=0)
+    points = _pivot_points(base, pivots)
 
     @F.pandas_udf("cell int, away double")
     def assign(vec: pd.Series) -> pd.DataFrame:
         cells, away = [], []
-        for start in range(0, len(vec), 1024):
-            d = distances(matrix(vec[start : start + 1024], points.shape[1]), points, p)
+        for start in range(0, len(vec), 256):
+            d = distances(matrix(vec[start : start + 256], points.shape[1]), points, p)
             best = d.argmin(axis=1)
             cells.append(best)
             away.append(d[np.arange(len(best)), best])
@@ -73,96 +83,113 @@ def nearest(
             {"cell": np.concatenate(cells or [np.array([], int)]), "away": np.concatenate(away or [np.array([], float)])}
         )
 
-    celled = base.withColumn("a", assign("vec")).select("n_key", "vec", "n_label", "a.cell", "a.away")
+    celled = materialize(base.withColumn("a", assign("vec")).select("n_key", "vec", "n_label", "a.cell", "a.away"), "cells")
     stats = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("far")).collect()
-    close = (
-        celled.select("cell", "away")
-        .withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("away")))
-        .filter(F.col("r") <= k)
-        .collect()
-    )
     far = np.full(len(points), -np.inf)
     sizes = np.zeros(len(points), dtype=int)
     for r in stats:
         far[r["cell"]], sizes[r["cell"]] = r["far"], r["n"]
-    near_cell = np.array([r["cell"] for r in close], dtype=int)
-    near_away = np.array([r["away"] for r in close], dtype=float)
+    homes = materialize(asked.withColumn("a", assign("vec")).select("q_key", "vec", F.col("a.cell").alias("cell")), "homes")
+    first = materialize(_in_cells(celled, homes, sizes, k, p, block_rows, key_type), "first-round")
+
+    # the k-th distance so far; a query whose own cell holds fewer rows has none and goes everywhere
+    limits = _ranked(first, k).groupBy("q_key").agg(F.max("distance").alias("limit"), F.count("*").alias("n"))
+    limit = F.when(F.col("n") >= k, F.col("limit"))
+    limited = homes.join(limits.select("q_key", limit.alias("limit")), "q_key", "left")
 
     @F.pandas_udf("array<int>")
-    def reachable(vec: pd.Series) -> pd.Series:
+    def reachable(vec: pd.Series, home: pd.Series, limit: pd.Series) -> pd.Series:
         out = []
-        for start in range(0, len(vec), 1024):
-            d = distances(matrix(vec[start : start + 1024], points.shape[1]), points, p)
-            worst = np.sort(d[:, near_cell] + near_away, axis=1)
-            limit = worst[:, k - 1] if worst.shape[1] >= k else np.full(len(d), np.inf)
-            keep = (d - far <= (limit * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
+        for start in range(0, len(vec), 256):
+            d = distances(matrix(vec[start : start + 256], points.shape[1]), points, p)
+            most = limit[start : start + 256].fillna(np.inf).to_numpy(dtype=float)
+            keep = (d - far <= (most * (1 + 1e-9) + 1e-9)[:, None]) & (sizes > 0)
+            keep[np.arange(len(d)), home[start : start + 256].to_numpy(dtype=int)] = False
             out += [np.flatnonzero(row).astype(np.int32) for row in keep]
         return pd.Series(out)
 
-    routed = materialize(asked.withColumn("cell", F.explode(reachable("vec"))), "routed-queries")
+    routed = limited.select("q_key", "vec", F.explode(reachable("vec", "cell", "limit")).alias("cell"))
+    second = _in_cells(celled, materialize(routed, "routed-queries"), sizes, k, p, block_rows, key_type)
+    return _ranked(first.unionByName(second), k).select(
+        F.col("q_key").alias(key), "neighbor", F.col("n_label").alias("label"), "distance", "rank"
+    )
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = W.partitionBy("q_key").orderBy("distance", "neighbor")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _in_cells(
+    celled: DataFrame, routed: DataFrame, sizes: np.ndarray, k: int, p: int, block_rows: int, key_type: str
+) -> DataFrame:
+    """(q_key, neighbor, n_label, distance): the k nearest rows of every block of the cells that a query is routed to."""
+    distances, matrix = _kernels()
+    spark = celled.sparkSession
     loads = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    n_blocks = [max(1, -(-int(s) // block_rows)) for s in sizes]
-    q_blocks = [max(1, -(-loads.get(c, 0) // block_rows)) for c in range(len(points))]
-    n_blocks_of = F.element_at(F.array(*[F.lit(b) for b in n_blocks]), F.col("cell") + 1)
-    q_blocks_of = F.element_at(F.array(*[F.lit(b) for b in q_blocks]), F.col("cell") + 1)
+    cut = [(c, max(1, -(-int(s) // block_rows)), max(1, -(-loads.get(c, 0) // block_rows))) for c, s in enumerate(sizes.tolist())]
+    blocks = F.broadcast(spark.createDataFrame(cut, "cell int, n_blocks int, q_blocks int"))
     left = (
-        celled.select("n_key", "vec", "n_label", "cell")
-        .withColumn("n_block", F.pmod(F.xxhash64("n_key"), n_blocks_of).cast("int"))
-        .withColumn("q_block", F.explode(F.sequence(F.lit(0), q_blocks_of - 1)))
+        celled.join(blocks, "cell")
+        .withColumn("n_block", F.pmod(F.xxhash64("n_key"), F.col("n_blocks")).cast("int"))
+        .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
+        .select("cell", "n_block", "q_block", "n_key", "vec", "n_label")
     )
-    right = routed.withColumn("q_block", F.pmod(F.xxhash64("q_key"), q_blocks_of).cast("int")).withColumn(
-        "n_block", F.explode(F.sequence(F.lit(0), n_blocks_of - 1))
+    right = (
+        routed.join(blocks, "cell")
+        .withColumn("q_block", F.pmod(F.xxhash64("q_key"), F.col("q_blocks")).cast("int"))
+        .withColumn("n_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        .select("cell", "n_block", "q_block", "q_key", "vec")
     )
 
     def local_nearest(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine) or not len(theirs):
-            return pd.DataFrame({"q_key": [], "neighbor": [], "n_label": [], "distance": []})
-        mine = mine.sort_values("n_key", kind="stable").reset_index(drop=True)
-        b = matrix(mine["vec"], 0)
-        keys, labels = mine["n_key"].to_numpy(), mine["n_label"].to_numpy()
-        parts = []
-        for start in range(0, len(theirs), 32):
-            part = theirs.iloc[start : start + 32]
-            d = distances(matrix(part["vec"], 0), b, p)
-            top = np.argsort(d, axis=1, kind="stable")[:, :k]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "q_key": np.repeat(part["q_key"].to_numpy(), top.shape[1]),
-                        "neighbor": keys[top].ravel(),
-                        "n_label": labels[top].ravel(),
-                        "distance": np.take_along_axis(d, top, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(parts, ignore_index=True)
+        found = [[], [], [], []]
+        if len(mine) and len(theirs):
+            mine = mine.sort_values("n_key", kind="stable").reset_index(drop=True)
+            b = matrix(mine["vec"], 0)
+            keys, labels = mine["n_key"].to_numpy(dtype=object), mine["n_label"].to_numpy()
+            asked = theirs["q_key"].to_numpy(dtype=object)
+            for start in range(0, len(theirs), 32):
+                part = theirs.iloc[start : start + 32]
+                d = distances(matrix(part["vec"], 0), b, p)
+                top = np.argsort(d, axis=1, kind="stable")[:, :k]
+                found[0].append(np.repeat(asked[start : start + 32], top.shape[1]))
+                found[1].append(keys[top].ravel())
+                found[2].append(labels[top].ravel())
+                found[3].append(np.take_along_axis(d, top, axis=1).ravel())
+        kinds = {"q_key": object, "neighbor": object, "n_label": np.int32, "distance": np.float64}
+        return pd.DataFrame({n: pd.Series(np.concatenate([np.empty(0, t), *x]), dtype=t) for (n, t), x in zip(kinds.items(), found)})
 
     block = ["cell", "n_block", "q_block"]
-    found = (
+    return (
         left.groupBy(*block)
         .cogroup(right.groupBy(*block))
         .applyInPandas(local_nearest, f"q_key {key_type}, neighbor {key_type}, n_label int, distance double")
     )
-    order = W.partitionBy("q_key").orderBy("distance", "neighbor")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select(
-        F.col("q_key").alias(key), "neighbor", F.col("n_label").alias("label"), "distance", "rank"
-    )
 
 
-def vote(neighbors: DataFrame, key: str, weights: str = "uniform") -> DataFrame:
-    """Share of the positive class among the neighbours.
+def vote_column(weights: str, k: int) -> Column:
+    """Share of the positive class among the first ``k`` neighbours, as an aggregate.
 
     Under distance weights an exact match outvotes everything else.
     """
+    inside = F.col("rank") <= k
     if weights == "uniform":
-        return neighbors.groupBy(key).agg(F.avg("label").alias("y_prob"))
+        return F.avg(F.when(inside, F.col("label")))
     if weights != "distance":
         raise ValueError(f"Unsupported weights: {weights}")
     exact = F.col("distance") == 0
-    w = F.when(~exact, 1.0 / F.col("distance"))
-    return neighbors.groupBy(key).agg(
-        F.coalesce(
-            F.avg(F.when(exact, F.col("label"))), F.sum(w * F.col("label")) / F.sum(w)
-        ).alias("y_prob")
-    )
+    w = F.when(inside & ~exact, 1.0 / F.col("distance"))
+    return F.coalesce(F.avg(F.when(inside & exact, F.col("label"))), F.sum(w * F.col("label")) / F.sum(w))
+
+
+def vote(neighbors: DataFrame, key: str, weights: str = "uniform") -> DataFrame:
+    """Share of the positive class among the neighbours."""
+    return neighbors.groupBy(key).agg(vote_column(weights, 1 << 30).alias("y_prob"))
+
+
+def votes(neighbors: DataFrame, key: str, candidates: Sequence[tuple[int, str, int]]) -> DataFrame:
+    """(key, cand, y_prob) of many (cand, weights, k) from one search at their largest k."""
+    wide = neighbors.groupBy(key).agg(*[vote_column(w, k).alias(f"p{i}") for i, (_, w, k) in enumerate(candidates)])
+    each = [F.struct(F.lit(c).cast("bigint").alias("cand"), F.col(f"p{i}").alias("y_prob")) for i, (c, _, _) in enumerate(candidates)]
+    return wide.select(key, F.explode(F.array(*each)).alias("v")).select(key, "v.*")

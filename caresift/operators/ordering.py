@@ -9,6 +9,7 @@ holds a third of all rows is therefore spread over many tasks.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -23,6 +24,8 @@ from caresift.session import checked_broadcast, materialize
 CELL_ROWS = 1_000_000
 #: Rows of one tied score that are ranked together.
 TIED_ROWS = 65_536
+#: Rows of one cell that are sorted, and hex digits by which a level of counts cuts a cell.
+CELL_SORTED, LEVEL_DIGITS = 100_000, 3
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -183,6 +186,74 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str, star
     )
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One text a row that sorts like ``order``, nulls first, then by a hash of the whole row; None for types it does not know.
+
+    Texts become the hex digits of their bytes, whole numbers, dates and times fixed digits; a blank, below all digits, ends each.
+    """
+    kinds = dict(df.dtypes)
+    parts = []
+    for name in order:
+        c, kind = F.col(f"`{name}`"), kinds[name]
+        if kind == "string":
+            digits = F.hex(F.encode(c, "utf-8"))
+        elif kind in ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "boolean"):
+            number = F.unix_date(c) if kind == "date" else F.unix_micros(c) if kind == "timestamp" else c.cast("bigint")
+            digits = F.lpad(F.hex(number.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+        else:
+            return None
+        parts.append(F.coalesce(F.concat(F.lit("1"), digits), F.lit("0")))
+    plain = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    return F.concat_ws(" ", *parts, F.lpad(F.hex(F.xxhash64(*plain)), 16, "0"))
+
+
+def rows_at(df: DataFrame, order: Sequence[str], start: int, stop: int, name: str, rows: int) -> DataFrame:
+    """The rows at positions ``start`` to ``stop`` (0-based, without it) of ``order``, numbered in ``name``; ``rows`` is all there are.
+
+    Nothing is sorted as a whole: rows are counted by the leading digits of an order-preserving key, the cells that
+    hold the first and the last wanted position are counted again by more digits, until they are small enough to be
+    sorted. A count brings at most one number per cell to the driver.
+    """
+    key = order_key(df, order)
+    if key is None:
+        numbered = with_row_index(df, order, name)
+        return numbered.filter((F.col(name) >= start) & (F.col(name) < stop))
+    stop = min(stop, rows)
+    keyed = df.withColumn("order__key", key)
+    if stop <= start:
+        return df.limit(0).withColumn(name, F.lit(0).cast("bigint"))
+    counted: dict[tuple[str, int], list] = {}
+
+    def cells(within: str, digits: int) -> list:
+        """(leading digits, rows, least key, largest key) in order, of the rows whose key starts with ``within``."""
+        if (within, digits) not in counted:
+            inside = keyed.filter(F.col("order__key").startswith(within)).groupBy(F.substring("order__key", 1, digits).alias("lead"))
+            found = inside.agg(F.count("*").alias("n"), F.min("order__key").alias("least"), F.max("order__key").alias("most"))
+            counted[within, digits] = sorted(tuple(r) for r in found.collect())
+        return counted[within, digits]
+
+    def cell_of(position: int) -> tuple[str, int]:
+        """(leading digits, rows before) of a cell of few rows that holds the position."""
+        lead, before, size, least, most = "", 0, rows, None, None
+        while size > CELL_SORTED and (least is None or least != most):
+            same = os.path.commonprefix([least, most]) if least else ""
+            for part, n, low, high in cells(same, len(same) + LEVEL_DIGITS):
+                if position < before + n:
+                    lead, size, least, most = part, n, low, high
+                    break
+                before += n
+        return lead, before
+
+    first, before = cell_of(start)
+    last, _ = cell_of(stop - 1)
+    inside = (F.substring("order__key", 1, len(first)) >= first) & (F.substring("order__key", 1, len(last)) <= last)
+    numbered = keyed.filter(inside).withColumn("order__place", F.row_number().over(W.orderBy("order__key")))
+    # the rank limit is taken in every task, so rows equal in all columns do not crowd the last one
+    numbered = numbered.filter(F.col("order__place") <= stop - before)
+    numbered = numbered.withColumn(name, (F.col("order__place") - 1 + F.lit(before)).cast("bigint"))
+    return numbered.filter(F.col(name) >= start).drop("order__key", "order__place")
+
+
 def rank_cuts(
     df: DataFrame,
     stratum: str,
@@ -261,10 +332,11 @@ def positions_by_score(
         cuts = order_cuts(df, score)
     counted = with_range_cell(df.groupBy(score).agg(F.count("*").alias("n")), score, cuts)
     ranked = prefix_aggregates(counted, [], score, {"upto": ("sum", "n")})
-    wanted = F.explode(F.array(*[F.lit(int(p)) for p in positions])).alias("position")
+    # a score keeps the positions that fall on it; scores without one give no row
+    listed = F.array(*[F.lit(int(p)) for p in positions])
+    held = F.filter(listed, lambda p: (F.col("upto_before") <= p) & (p < F.col("upto")))
     at_score = (
-        ranked.select(score, "upto", "upto_before", wanted)
-        .filter("upto_before <= position and position < upto")
+        ranked.select(score, "upto", "upto_before", F.explode(held).alias("position"))
         .select(
             score,
             "position",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresift.functions import rates as R
-from caresift.operators.ordering import with_row_index
+from caresift.operators.ordering import rows_at, with_row_index
 
 
 def percent_text(score: str | Column) -> Column:
@@ -41,8 +41,7 @@ def page(df: DataFrame, order: list[str], page_index: int, size: int, hidden: st
     total = df.count()
     pages = max((total - 1) // size + 1, 1)
     start = min(page_index, pages - 1) * size
-    numbered = with_row_index(df, order, "row_index")
-    chosen = numbered.filter((F.col("row_index") >= start) & (F.col("row_index") < start + size))
+    chosen = rows_at(df, order, start, start + size, "row_index", total)
     chosen = chosen.withColumn("total_pages", F.lit(pages).cast("bigint"))
     return chosen.drop(hidden) if hidden and hidden in chosen.columns else chosen
 

@@ -205,8 +205,9 @@ _RUN_ROWS = ", ".join(
     f"('{e['name']}', '{e['seed']}', {e['cx_prob']}::DOUBLE, {e['mut_prob']}::DOUBLE)" for e in TABULAR_EXPERIMENTS
 )
 SPACE = f"genes(model, gene, kind, low, high, choices) AS (VALUES {_SPACE_ROWS}), config(experiment, seed, cx_prob, mut_prob) AS (VALUES {_RUN_ROWS})"
-SLOTS = "slots AS (SELECT DISTINCT model, experiment, seed, cx_prob, mut_prob, c_custkey AS cand FROM customer CROSS JOIN genes CROSS JOIN config)"
-SEARCH_FITNESS = f"""fitness AS (SELECT model, experiment, cand,
+SLOTS = """slots AS MATERIALIZED (SELECT model, experiment, seed, cx_prob, mut_prob, c_custkey AS cand
+  FROM customer CROSS JOIN (SELECT DISTINCT model FROM genes) CROSS JOIN config)"""
+SEARCH_FITNESS = f"""fitness AS MATERIALIZED (SELECT model, experiment, cand,
   round(abs(c_acctbal) / 10000 * 0.5::DOUBLE + {draw_sql("'fit'", 'model', 'experiment', 'cand')} * 0.5::DOUBLE, 2) AS fitness
   FROM slots JOIN customer ON c_custkey = cand)"""
 

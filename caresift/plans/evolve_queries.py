@@ -76,15 +76,15 @@ def tournament_sql(k: int, distinct: bool = True) -> str:
     u = [draw_sql("seed", "1", "slot", "parent", f"'t{i}'") for i in range(k)]
     if not distinct:
         picks = ", ".join(f"CAST(floor({x} * n) AS BIGINT) AS i{i}" for i, x in enumerate(u))
-        steps = f"picks AS (SELECT *, {picks} FROM parents)"
+        steps = f"picks AS MATERIALIZED (SELECT *, {picks} FROM parents)"
     else:
         steps = f"""p0 AS (SELECT *, CAST(floor({u[0]} * n) AS BIGINT) AS i0 FROM parents),
         p1 AS (SELECT *, CAST(floor({u[1]} * (n - 1)) AS BIGINT) AS r1 FROM p0),
-        {'picks' if k == 2 else 'p2'} AS (SELECT *, r1 + CASE WHEN r1 >= i0 THEN 1 ELSE 0 END AS i1 FROM p1)"""
+        {'picks AS MATERIALIZED' if k == 2 else 'p2 AS'} (SELECT *, r1 + CASE WHEN r1 >= i0 THEN 1 ELSE 0 END AS i1 FROM p1)"""
         if k == 3:
             steps += f""", p3 AS (SELECT *, CAST(floor({u[2]} * (n - 2)) AS BIGINT) AS r2 FROM p2),
             p4 AS (SELECT *, r2 + CASE WHEN r2 >= least(i0, i1) THEN 1 ELSE 0 END AS s2 FROM p3),
-            picks AS (SELECT *, s2 + CASE WHEN s2 >= greatest(i0, i1) THEN 1 ELSE 0 END AS i2 FROM p4)"""
+            picks AS MATERIALIZED (SELECT *, s2 + CASE WHEN s2 >= greatest(i0, i1) THEN 1 ELSE 0 END AS i2 FROM p4)"""
     turns = " UNION ALL ".join(
         f"SELECT model, experiment, slot, parent, {i} AS turn, i{i} AS cand FROM picks" for i in range(k)
     )
@@ -129,7 +129,7 @@ def cross_sql(take: str) -> str:
 )
 def crossover(spark, sf):
     winners = tournament(spark, sf)
-    return E.crossover(winners, _population(spark, sf), experiment_config(spark), 1)
+    return E.crossover(winners, _population(spark, sf), _genes(spark), experiment_config(spark), 1)
 
 
 @query(
@@ -138,15 +138,17 @@ def crossover(spark, sf):
 )
 def crossover_from_first(spark, sf):
     winners = tournament(spark, sf)
-    return E.crossover(winners, _population(spark, sf), experiment_config(spark), 1, take="A")
+    return E.crossover(winners, _population(spark, sf), _genes(spark), experiment_config(spark), 1, take="A")
 
 
 def mutate_sql(source: str) -> str:
-    hit = draw_sql("c.seed", "1", "x.slot", "x.gene", "'mut'") + " < c.mut_prob"
-    num, cat = gene_sql(draw_sql("c.seed", "1", "x.slot", "x.gene", "'new'"))
-    return f"""mutated AS (SELECT x.model, x.experiment, x.slot, x.gene,
-      CASE WHEN {hit} THEN {num} ELSE x.num END AS num, CASE WHEN {hit} THEN {cat} ELSE x.cat END AS cat
-    FROM {source} x JOIN genes g ON g.model = x.model AND g.gene = x.gene JOIN config c ON c.experiment = x.experiment)"""
+    """Every draw is made once a row, whatever its outcome is used for."""
+    num, cat = gene_sql("u")
+    return f"""mutated AS MATERIALIZED (SELECT model, experiment, slot, gene,
+      CASE WHEN h < mut_prob THEN {num} ELSE old_num END AS num, CASE WHEN h < mut_prob THEN {cat} ELSE old_cat END AS cat
+    FROM (SELECT x.model, x.experiment, x.slot, x.gene, x.num AS old_num, x.cat AS old_cat, g.kind, g.low, g.high, g.choices, c.mut_prob,
+        {draw_sql("c.seed", "1", "x.slot", "x.gene", "'mut'")} AS h, {draw_sql("c.seed", "1", "x.slot", "x.gene", "'new'")} AS u
+      FROM {source} x JOIN genes g ON g.model = x.model AND g.gene = x.gene JOIN config c ON c.experiment = x.experiment))"""
 
 
 @query(
@@ -159,7 +161,7 @@ def mutation(spark, sf):
     return E.mutation(children, _genes(spark), experiment_config(spark), 1)
 
 
-ELITE = """best AS (SELECT *, row_number() OVER (PARTITION BY model, experiment ORDER BY fitness DESC, cand) AS rn FROM fitness)"""
+ELITE = """best AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY model, experiment ORDER BY fitness DESC, cand) AS rn FROM fitness)"""
 
 
 @query(

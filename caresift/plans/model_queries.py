@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caresift.functions import rates as R
@@ -29,6 +30,7 @@ from caresift.plans.views import (
     survey,
 )
 from caresift.session import scratch_path
+from caresift.streaming import file_drop
 from caresift.sources.tables import table
 
 _RATES = ["accuracy", "precision", "recall", "specificity", "f1"]
@@ -40,37 +42,35 @@ def dataset(spark, sf) -> search.Dataset:
 
 
 def _evaluated(spark, sf, name, params):
-    data = dataset(spark, sf)
-    scored = MOD.fit(name, params, data.part("train"), data.prep).score(data.part("val"))
-    out = M.with_rates(M.confusion_counts(scored, [], R.decide()))
+    out = search.validation_counts(dataset(spark, sf), name, params)
     return rounded(out.withColumn("model", F.lit(name)), *_RATES)
 
 
 @query("g01_logistic_regression")
 def logistic_regression(spark, sf):
-    return _evaluated(spark, sf, MOD.LOGISTIC, {"C": 1.0, "penalty": "l2", "class_weight": "balanced", "max_iter": 50})
+    return _evaluated(spark, sf, MOD.LOGISTIC, {"C": 1.0, "penalty": "l2", "class_weight": "balanced", "max_iter": 2000})
 
 
 @query("g01_logistic_regression_l1")
 def logistic_regression_l1(spark, sf):
-    return _evaluated(spark, sf, MOD.LOGISTIC, {"C": 0.16, "penalty": "l1", "solver": "saga", "max_iter": 50})
+    return _evaluated(spark, sf, MOD.LOGISTIC, {"C": 0.16, "penalty": "l1", "solver": "saga", "max_iter": 1000})
 
 
 @query("g02_random_forest")
 def random_forest(spark, sf):
-    return _evaluated(spark, sf, MOD.FOREST, _SMALL_FOREST)
+    return _evaluated(spark, sf, MOD.FOREST, {"n_estimators": 200})
 
 
 @query("g03_extra_trees")
 def extra_trees(spark, sf):
-    return _evaluated(spark, sf, MOD.EXTRA, _SMALL_FOREST)
+    return _evaluated(spark, sf, MOD.EXTRA, {"n_estimators": 700})
 
 
 @query("g05_candidates_with_failure")
 def candidates_with_failure(spark, sf):
     data = dataset(spark, sf)
     jobs = [
-        (0, MOD.LOGISTIC, {"C": 1.0, "max_iter": 20, "unknown": 1}),
+        (0, MOD.LOGISTIC, {"C": 1.0, "unknown": 1}),
         (1, "UnknownClassifier", {}),
         (2, MOD.LOGISTIC, {"C": -1.0}),
     ]
@@ -80,7 +80,7 @@ def candidates_with_failure(spark, sf):
 @query("g06_positive_probability")
 def positive_probability(spark, sf):
     data = dataset(spark, sf)
-    fitted = MOD.fit(MOD.LOGISTIC, {"max_iter": 20}, data.part("train"), data.prep)
+    fitted = MOD.fit(MOD.LOGISTIC, {}, data.part("train"), data.prep)
     return fitted.score(data.part("val", "test")).select("case_key", F.round("y_prob", 4).alias("y_prob"))
 
 
@@ -102,20 +102,33 @@ def vector_head(spark, sf):
     return rounded(both.withColumn("fitness", R.image_fitness()), *_RATES, "auc_roc", "average_precision", "fitness")
 
 
+_SHOWN = {
+    "Regressão Logística": (MOD.LOGISTIC, {"max_iter": 2000, "class_weight": "balanced"}),
+    "KNN": (MOD.NEIGHBORS, {}),
+    "Random Forest": (MOD.FOREST, {}),
+    "Extra Trees": (MOD.EXTRA, {}),
+}
+
+
+def _best_points(results):
+    """The best point of each model, and whether it is the best of all; the first of equal points counts."""
+    kept = results.select("model", "point", "place", "params", "recall", "f1", "accuracy")
+    best = S.grid_choice(kept)
+    order = [F.desc(c) for c in ("recall", "f1", "accuracy")] + [F.asc("place")]
+    whole = best.withColumn("best_of_all", F.row_number().over(W.orderBy(*order)) == 1)
+    return rounded(whole.drop("place"), "recall", "f1", "accuracy")
+
+
 @query("i09_grid_search")
 def grid_search(spark, sf):
-    grids = {
-        MOD.LOGISTIC: {"C": [0.1, 1.0, 10.0], "max_iter": [20]},
-        MOD.FOREST: {"n_estimators": [5], "max_depth": [3, 5]},
-    }
-    results = search.grid_search(dataset(spark, sf), grids)
-    best = S.grid_choice(results.select("model", "point", "params", "recall", "f1", "accuracy"))
-    return rounded(best, "recall", "f1", "accuracy")
+    """All grids, the best point of each model and the best of all."""
+    grids = {shown: (*_SHOWN[shown], grid) for shown, grid in K.PARAMETER_GRIDS.items()}
+    return _best_points(search.grid_search(dataset(spark, sf), grids))
 
 
 @query("i17_final_refit")
 def final_refit(spark, sf):
-    _, _, test = search.final_model(dataset(spark, sf), MOD.LOGISTIC, {"C": 1.0, "max_iter": 30})
+    _, _, test = search.final_model(dataset(spark, sf), MOD.LOGISTIC, {"C": 1.0})
     return rounded(test, *_RATES)
 
 
@@ -153,24 +166,29 @@ def tree_attribution(spark, sf):
 
 @query("k09_search")
 def evolutionary_search(spark, sf):
-    from caresift.functions.constants import TABULAR_SPACES
-
-    spaces = {MOD.LOGISTIC: TABULAR_SPACES[MOD.LOGISTIC]}
-    experiments = [
-        {"name": "exp1", "pop_size": 3, "generations": 2, "cx_prob": 0.8, "mut_prob": 0.1, "seed": 1},
-        {"name": "exp2", "pop_size": 2, "generations": 2, "cx_prob": 0.8, "mut_prob": 0.3, "seed": 2},
-    ]
-    history = search.run_search(dataset(spark, sf), spaces, experiments)
+    """All experiments over the spaces of all models, whole."""
+    history = search.run_search(dataset(spark, sf), K.TABULAR_SPACES, K.TABULAR_EXPERIMENTS)
     return rounded(history, "fitness", "recall", "specificity", "f1", "gap")
 
 
+@query("k09_image_search")
+def image_search(spark, sf):
+    """All image experiments over heads on the embedding vectors."""
+    v = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("key"), "embedding", (F.col("label") >= 5).cast("int").alias("y_true")
+    )
+    data = search.Dataset(v, "key", [], [], [], None)
+    history = search.run_search(data, K.IMAGE_SPACE, K.IMAGE_EXPERIMENTS, score=search.head_scorer(v, "key"))
+    return rounded(history.drop("gap"), "fitness", "recall", "specificity", "f1")
+
+
 @query("a09_model_artifact")
 def model_artifact(spark, sf):
     data = dataset(spark, sf)
-    fitted, chosen, test = search.final_model(data, MOD.LOGISTIC, {"C": 1.0, "max_iter": 20})
+    fitted, chosen, test = search.final_model(data, MOD.LOGISTIC, {"C": 1.0})
     path = scratch_path(spark, "artifact")
     metrics = {k: v for k, v in test.first().asDict().items()}
-    MOD.save_artifact(fitted, path, chosen.first()["threshold"], data.features, metrics)
+    MOD.save_artifact(fitted, path, chosen.first()["threshold"], data.features, metrics, [chosen.first().asDict()])
     loaded, meta = MOD.load_artifact(path)
     scored = loaded.score(data.part("test"))
     return scored.select(
@@ -246,6 +264,129 @@ def saturated_artifact(spark, sf):
     )
 
 
+@query(
+    "a09_artifact_metadata",
+    f"""{_REFIT}, v AS (SELECT t, {CONFUSION.format(p='y_prob >= t')} FROM val CROSS JOIN best GROUP BY t),
+      k AS (SELECT {CONFUSION.format(p='y_prob >= (SELECT t FROM best)')} FROM test)
+    SELECT 'LogisticRegression' AS model_name, (SELECT t FROM best) AS threshold, 'GENDER' AS feature_columns, 'NO=0,YES=1' AS target_mapping,
+      v.t AS validation_threshold, round(v_recall, 6) AS validation_recall, round(v_f1, 6) AS validation_f1, round({ACCURACY}, 6) AS test_accuracy,
+      round({RECALL}, 6) AS test_recall
+    FROM (SELECT t, {RECALL} AS v_recall, {F1} AS v_f1 FROM v) v, k""",
+)
+def artifact_metadata(spark, sf):
+    """What a saved artifact says about itself, read back from its folder."""
+    data = _by_gender(spark, sf)
+    fitted, chosen, test = search.final_model(data, MOD.LOGISTIC, _PLAIN_LOGISTIC)
+    path = scratch_path(spark, "artifact")
+    summary = [chosen.first().asDict()]
+    MOD.save_artifact(fitted, path, summary[0]["threshold"], data.features, test.first().asDict(), summary)
+    rows = spark.read.parquet(f"{path}/metadata").select(F.from_json("metadata", ARTIFACT_SCHEMA).alias("m")).select("m.*")
+    pairs = F.array_sort(F.transform(F.map_entries("target_mapping"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    first = F.col("validation_summary")[0]
+    out = rows.select(
+        "model_name",
+        "threshold",
+        F.array_join("feature_columns", ",").alias("feature_columns"),
+        F.array_join(pairs, ",").alias("target_mapping"),
+        first["threshold"].alias("validation_threshold"),
+        first["recall"].alias("validation_recall"),
+        first["f1"].alias("validation_f1"),
+        F.col("test_metrics.accuracy").alias("test_accuracy"),
+        F.col("test_metrics.recall").alias("test_recall"),
+    )
+    return rounded(out, "validation_recall", "validation_f1", "test_accuracy", "test_recall")
+
+
+ARTIFACT_SCHEMA = (
+    "model_name string, threshold double, feature_columns array<string>, target_mapping map<string, int>, "
+    "validation_summary array<struct<threshold: double, recall: double, f1: double>>, test_metrics struct<accuracy: double, recall: double>"
+)
+
+# --- scoring of dropped files with a saved model -----------------------------------------
+# The files: every fourth order's rows under a spelling of its own, some files without the column that the model
+# needs, and texts that are no table. Folders name the kind and the part, so that rows can be told to their files.
+
+_KINDS = "CASE o % 4 WHEN 0 THEN 'plain' WHEN 1 THEN 'lower' WHEN 2 THEN 'short' ELSE 'notes' END"
+_DROPPED = f"""dropped AS (SELECT case_key, "GENDER", {_KINDS} AS kind, CAST(o // 4 % 8 AS INTEGER) AS part
+  FROM (SELECT survey.*, CAST(split_part(case_key, '-', 1) AS BIGINT) AS o FROM survey))"""
+
+
+def _drop_files(spark, sf) -> str:
+    """The files of the rows above, in one folder a kind and part."""
+    drop = scratch_path(spark, "drop")
+    order = F.split("case_key", "-")[0].cast("long")
+    kind = F.when(order % 4 == 0, "plain").when(order % 4 == 1, "lower").when(order % 4 == 2, "short").otherwise("notes")
+    rows = survey(spark, sf).withColumns({"kind": kind, "part": F.floor(order / 4) % 8})
+    dealt = rows.repartition("kind", "part").sortWithinPartitions("part", "case_key")
+    forms = {
+        "plain": {"case_key": "case_key", "GENDER": "GENDER", "AGE": "AGE"},
+        "lower": {"AGE": "age", "GENDER": " gender ", "SMOKING": "smoking", "case_key": "case_key"},
+        "short": {"case_key": "case_key", "AGE": "AGE"},
+    }
+    for name, columns in forms.items():
+        mine = dealt.filter(F.col("kind") == name).select(*[F.col(f"`{c}`").alias(a) for c, a in columns.items()], "part")
+        mine.write.option("header", True).partitionBy("part").csv(f"{drop}/kind={name}")
+    notes = dealt.filter("kind = 'notes'").select(F.col("case_key").alias("value"), "part")
+    notes.write.partitionBy("part").text(f"{drop}/kind=notes")
+    return drop
+
+
+def _file_names():
+    """(kind, part) of a dropped file, from its folders."""
+    names = {"kind": "string", "part": "int"}
+    return [F.regexp_extract("file_path", f"/{n}=([^/]*)/", 1).cast(t).alias(n) for n, t in names.items()]
+
+
+def _score_drop(spark, sf) -> str:
+    """Scores all dropped files with a saved and loaded model; the folder of the results."""
+    data = _by_gender(spark, sf)
+    fitted, chosen, test = search.final_model(data, MOD.LOGISTIC, _PLAIN_LOGISTIC)
+    path = scratch_path(spark, "artifact")
+    MOD.save_artifact(fitted, path, chosen.first()["threshold"], data.features, test.first().asDict(), [chosen.first().asDict()])
+    loaded, meta = MOD.load_artifact(path)
+    out = scratch_path(spark, "scored-files")
+    file_drop.score_csv_arrivals(
+        spark,
+        _drop_files(spark, sf),
+        {c: "string" for c in meta["feature_columns"]},
+        file_drop.artifact_scorer(loaded, meta),
+        out,
+        scratch_path(spark, "files-checkpoint"),
+    )
+    return out
+
+
+_TEXT = "'O modelo LogisticRegression indicou uma probabilidade estimada de ' || printf('%.2f', p * 100) || '%' || ', classificada como risco ' || level || '. " + K.FALLBACK_TAIL.replace("'", "''") + "'"
+
+
+@query(
+    "a10_csv_arrivals",
+    f"""{_REFIT}, {_DROPPED}, rated AS (
+      SELECT kind, part, row_number() OVER (PARTITION BY kind, part ORDER BY case_key) - 1 AS row_index, p,
+        CASE WHEN p >= 0.7 THEN 'alto' WHEN p >= 0.4 THEN 'moderado' ELSE 'baixo' END AS level
+      FROM dropped JOIN f2 ON f2.g = coalesce("GENDER", (SELECT g FROM mode2)) WHERE kind IN ('plain', 'lower'))
+    SELECT kind, part, row_index, p >= (SELECT t FROM best) AS disease_detected, round(p, 4) AS probability, level AS risk_level,
+      CASE WHEN row_index < 5 THEN {_TEXT} ELSE '{K.SKIPPED_ROW_NOTICE}' END AS interpretation FROM rated""",
+)
+def csv_arrivals(spark, sf):
+    """Rows of all dropped files, numbered in each file, scored by a loaded model, the first five of a file with a text."""
+    rows = spark.read.parquet(f"{_score_drop(spark, sf)}/rows")
+    columns = ["row_index", "disease_detected", F.round("probability", 4).alias("probability"), "risk_level", "interpretation"]
+    return rows.select(*_file_names(), *columns)
+
+
+@query(
+    "a10_file_status",
+    f"""WITH {SURVEY}, {_DROPPED}
+    SELECT DISTINCT kind, part, CASE WHEN kind IN ('plain', 'lower') THEN 'success' ELSE 'error' END AS status,
+      CASE kind WHEN 'short' THEN 'CSV missing required columns: [''GENDER'']' WHEN 'notes' THEN 'Invalid file type. Only .csv files are allowed' END AS message
+    FROM dropped""",
+)
+def file_status(spark, sf):
+    """One status a dropped file: a bad suffix or a missing column stops that file only."""
+    return spark.read.parquet(f"{_score_drop(spark, sf)}/status").select(*_file_names(), "status", "message")
+
+
 # Rows weighted by class: a value's frequency is then that of the weights. Whole-sample trees give it in every tree,
 # and sampled trees come close enough to decide the same.
 _WEIGHTED = f"""WITH {_CODED}, n AS (SELECT count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 1) AS w1,
@@ -310,6 +451,57 @@ def saturated_and_failing(spark, sf):
     return rounded(out, "fitness", "recall", "specificity", "f1", "accuracy", "gap")
 
 
+# A logistic model with hardly any penalty gives each value of its only input the class frequency, so whole
+# searches over such models have SQL: a candidate's metrics depend on its class weights alone.
+
+_BY_WEIGHT = f"""WITH {_CODED}, n AS (SELECT count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 1) AS w1,
+    count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 0) AS w0 FROM parts WHERE split = 'train'),
+  kinds(class_weight) AS (VALUES ('balanced'), ('none')),
+  f AS (SELECT class_weight, coalesce("GENDER", (SELECT g FROM mode)) AS g,
+    sum(y_true * CASE class_weight WHEN 'none' THEN 1.0::DOUBLE ELSE (SELECT w1 FROM n) END)
+      / sum(CASE WHEN class_weight = 'none' THEN 1.0::DOUBLE WHEN y_true = 1 THEN (SELECT w1 FROM n) ELSE (SELECT w0 FROM n) END) AS p
+    FROM parts CROSS JOIN kinds WHERE split = 'train' GROUP BY 1, 2),
+  v AS (SELECT class_weight, y_true, coalesce("GENDER", 'nan') AS grp, (p >= 0.5)::INTEGER AS y_pred
+    FROM parts JOIN f ON f.g = coalesce("GENDER", (SELECT g FROM mode)) WHERE split = 'val'),
+  c AS (SELECT class_weight, {CONFUSION.format(p='y_pred = 1')} FROM v GROUP BY 1),
+  g AS (SELECT class_weight, max(r) - min(r) AS gap FROM (SELECT class_weight, grp,
+    CASE WHEN sum(y_true) > 0 THEN sum(y_true * y_pred)::DOUBLE / sum(y_true) ELSE 0 END AS r FROM v GROUP BY 1, 2) GROUP BY 1),
+  k AS (SELECT c.class_weight, {RECALL} AS recall, {SPECIFICITY} AS specificity, {F1} AS f1, {ACCURACY} AS accuracy, gap FROM c JOIN g ON c.class_weight = g.class_weight)"""
+_FITNESS = f"{_W['recall']} * recall + {_W['specificity']} * specificity + {_W['f1']} * f1 - {_W['gap']} * gap"
+
+
+@query(
+    "i09_saturated_grid",
+    f"""{_BY_WEIGHT}, points AS (
+      SELECT s.model, s.m * 4 + p.i AS place, p.i AS point, p.w AS class_weight, p.c
+      FROM (VALUES ('first', 0), ('second', 1)) s(model, m)
+        CROSS JOIN (VALUES (0, 'none', 1), (1, 'balanced', 1), (2, 'none', 2), (3, 'balanced', 2)) p(i, w, c)),
+    rated AS (SELECT points.*, recall, f1, accuracy FROM points JOIN k ON points.class_weight = k.class_weight),
+    best AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY recall DESC, f1 DESC, accuracy DESC, place) AS r FROM rated)
+    SELECT model, point, class_weight, round(recall, 6) AS recall, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy,
+      row_number() OVER (ORDER BY recall DESC, f1 DESC, accuracy DESC, place) = 1 AS best_of_all FROM best WHERE r = 1""",
+)
+def saturated_grid(spark, sf):
+    grid = {"C": [1e8, 1e9], "class_weight": ["none", "balanced"]}
+    grids = {"first": (MOD.LOGISTIC, {"max_iter": 200}, grid), "second": (MOD.LOGISTIC, {"max_iter": 300}, grid)}
+    best = _best_points(search.grid_search(_by_gender(spark, sf), grids))
+    return best.withColumn("class_weight", F.get_json_object("params", "$.class_weight")).drop("params")
+
+
+@query(
+    "k09_saturated_search",
+    f"""{_BY_WEIGHT}, best AS (SELECT class_weight, {_FITNESS} AS fitness, recall, gap FROM k ORDER BY {_FITNESS} DESC LIMIT 1)
+    SELECT e AS experiment, round(fitness, 6) AS fitness, round(recall, 6) AS recall, round(gap, 6) AS gap
+    FROM best CROSS JOIN (VALUES ('exp1'), ('exp2'), ('exp3')) x(e)""",
+)
+def saturated_search(spark, sf):
+    """A whole search whose best candidate is known: every experiment meets both class weights and keeps the better one."""
+    space = {MOD.LOGISTIC: [("C", "float", 1e8, 1e9, []), ("class_weight", "cat", 0.0, 0.0, ["none", "balanced"])]}
+    history = search.run_search(_by_gender(spark, sf), space, K.TABULAR_EXPERIMENTS)
+    best = S.best_by(history, ["experiment"], F.col("fitness"), -F.col("generation"), -F.col("cand"))
+    return rounded(best.select("experiment", "fitness", "recall", "gap"), "fitness", "recall", "gap")
+
+
 @query(
     "g12_head_on_separable_vectors",
     f"""WITH v AS (SELECT vec_id::VARCHAR AS key, (label >= 5)::INTEGER AS y_true FROM embeddings),

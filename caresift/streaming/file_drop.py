@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from caresift.functions.constants import CSV_EXTENSIONS
-from caresift.operators.ordering import with_row_index
-from caresift.operators.schema import aligned, alignment_status
-from caresift.operators.scoring import with_file_status
+from caresift.functions.constants import CSV_EXTENSIONS, EXPLAINED_ROWS
+from caresift.functions.texts import fallback_text
+from caresift.operators.models import FittedModel
+from caresift.operators.schema import joined_key
+from caresift.operators.scoring import gated, risk_band, with_file_status
+from caresift.session import checked_broadcast, materialize
 
 
 def arriving_csv(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
@@ -47,19 +51,30 @@ def score_arrivals(
     query.awaitTermination()
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Files by their header line; one short string per file reaches the driver."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-        "value",
-    )
-    first = lines.groupBy("file_path").agg(F.min_by("value", F.struct("block", "at")).alias("header"))
-    found: dict[str, list[str]] = {}
-    for r in first.collect():
-        found.setdefault(r["header"], []).append(r["file_path"])
-    return found
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_path, line, value): the non-blank lines of text files, numbered from 0 within each file.
+
+    Files are read once, by as many tasks as they have splits, and stored. A line's number is its place in its split plus
+    the lines of the file's earlier splits, so nothing is sorted: one count per split meets the lines.
+    """
+    block, at = F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file_path"), block, "value")
+    stored = materialize(lines.filter(F.trim("value") != "").select("*", at), "lines")
+    splits = stored.groupBy("file_path", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = W.partitionBy("file_path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    bases = checked_broadcast(splits.select("file_path", "block", base.alias("base")))
+    return stored.join(bases, ["file_path", "block"]).select("file_path", (F.col("at") + F.col("base")).alias("line"), "value")
+
+
+def column_places(header: str, expected: Sequence[str]) -> tuple[list[int], str | None]:
+    """Where a file has the expected columns, by their joined keys (the last of several), or the error message."""
+    names = next(csv.reader([header.lstrip("\ufeff")]))
+    place = {joined_key(n): i for i, n in enumerate(names)}
+    missing = [e for e in expected if joined_key(e) not in place]
+    if missing:
+        return [], f"CSV missing required columns: {missing}"
+    return [place[joined_key(e)] for e in expected], None
 
 
 def score_csv_files(
@@ -68,45 +83,63 @@ def score_csv_files(
     expected: Mapping[str, str],
     score: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
-    """Score survey files whose column spellings differ from file to file.
+    """Score survey files whose column spellings and orders differ from file to file.
 
-    ``expected`` maps column names to types. Returns the scored rows with
-    ``file_path`` and a 0-based ``row_index`` in each file, and one status row per
-    file. A file with a wrong suffix or missing columns gets an error status and
-    no rows; the others are not affected. Files with one header are read together.
+    ``expected`` maps column names to types; ``score`` gets these columns with ``file_path`` and a 0-based ``row_index``
+    in each file. Returns the scored rows and one status row per file. A file with a wrong suffix, without a header
+    or with missing columns gets an error status and no rows; the others are not affected. All files are parsed in one scan,
+    whatever their headers: a file's columns are looked up by its own places. One header per file reaches the driver.
     """
-    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
-    by_suffix = with_file_status(listed, "file_path", CSV_EXTENSIONS).collect()
+    report_schema = "file_path string, status string, message string"
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", F.col("_metadata.file_path").alias("file_path"))
+    by_suffix = with_file_status(listed, "path", CSV_EXTENSIONS).collect()
     status = [(r["file_path"], r["status"], r["message"]) for r in by_suffix if r["status"] == "error"]
-    good = [r["file_path"] for r in by_suffix if r["status"] == "success"]
-    scored = None
-    for files in (_headers(spark, good) if good else {}).values():
-        rows = spark.read.option("header", True).csv(files)
-        state, message = alignment_status(rows, list(expected))
-        status += [(p, state, message) for p in files]
-        if state == "error":
+    good = {r["file_path"]: r["path"] for r in by_suffix if r["status"] == "success"}
+    lines = read_lines(spark, list(good.values())) if good else None
+    headers = {r["file_path"]: r["value"] for r in lines.filter("line = 0").collect()} if good else {}
+    places, width = [], 1
+    for path in good:
+        if path not in headers:
+            status.append((path, "error", "Could not read CSV file: No columns to parse from file"))
             continue
-        placed = aligned(
-            rows.select(
-                "*",
-                F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_block_start").alias("file_block"),
-                F.monotonically_increasing_id().alias("file_place"),
-            ),
-            [*expected, "file_path", "file_block", "file_place"],
+        found, problem = column_places(headers[path], list(expected))
+        status.append((path, "error" if problem else "success", problem))
+        if not problem:
+            places.append((path, found))
+            width = max(width, 1 + max(found, default=0))
+    report = spark.createDataFrame(status, report_schema)
+    if not places:
+        blank = spark.createDataFrame([], "file_path string, row_index bigint")
+        return score(blank.select("*", *[F.lit(None).cast(t).alias(c) for c, t in expected.items()])), report
+    known = checked_broadcast(spark.createDataFrame(places, "file_path string, places array<int>"))
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)))
+    cells = F.array(*[F.col(f"fields.c{i}") for i in range(width)])
+    rows = lines.filter("line > 0").join(known, "file_path").withColumn("fields", fields).withColumn("cells", cells)
+    typed = [F.get("cells", F.get("places", F.lit(i))).try_cast(t).alias(c) for i, (c, t) in enumerate(expected.items())]
+    return score(rows.select("file_path", (F.col("line") - 1).alias("row_index"), *typed)), report
+
+
+def artifact_scorer(
+    fitted: FittedModel, meta: Mapping, limit: int = EXPLAINED_ROWS
+) -> Callable[[DataFrame], DataFrame]:
+    """Scoring with a saved model: probability, decision, risk level, and a text for the first rows of each file."""
+
+    def score(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn(fitted.key, F.concat_ws("#", "file_path", "row_index"))
+        scored = fitted.score(keyed).withColumnRenamed("y_prob", "probability")
+        named = scored.withColumns(
+            {
+                "model_name": F.lit(meta["model_name"]),
+                "disease_detected": F.coalesce(F.col("probability") >= F.lit(float(meta["threshold"])), F.lit(False)),
+                "risk_level": risk_band("probability"),
+            }
         )
-        typed = placed.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in expected.items()})
-        part = score(typed)
-        scored = part if scored is None else scored.unionByName(part)
-    report = spark.createDataFrame(status, "file_path string, status string, message string")
-    if scored is None:
-        return spark.createDataFrame([], "file_path string, row_index bigint"), report
-    whole = with_row_index(scored, ["file_path", "file_block", "file_place"], "row_index")
-    first = whole.groupBy("file_path").agg(F.min("row_index").alias("file_first"))
-    numbered = whole.join(F.broadcast(first), "file_path").withColumn(
-        "row_index", F.col("row_index") - F.col("file_first")
-    )
-    return numbered.drop("file_block", "file_place", "file_first"), report
+        text = fallback_text("model_name", "probability", F.lit(""))
+        return gated(named, "row_index", text, "interpretation", limit).select(
+            "file_path", "row_index", "disease_detected", "probability", "risk_level", "interpretation"
+        )
+
+    return score
 
 
 def score_csv_arrivals(
@@ -136,6 +169,7 @@ def score_csv_arrivals(
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", True)
         .load(folder)
         .select("path")
     )

@@ -94,6 +94,7 @@ def test_generation_is_whole_and_independent_of_partitions(spark):
 def test_crossover_direction(spark):
     config = spark.createDataFrame([("e", "1", 1.0, 0.0)], "experiment string, seed string, cx_prob double, mut_prob double")
     population = spark.createDataFrame([("m", "e", 0, "g", 1.0, None), ("m", "e", 1, "g", 2.0, None)], "model string, experiment string, cand long, gene string, num double, cat string")
+    genes = E.gene_table(spark, {"m": [("g", "float", 0.0, 1.0, [])]})
     winners = spark.createDataFrame([("m", "e", 5, "A", 0), ("m", "e", 5, "B", 1)], "model string, experiment string, slot long, parent string, cand long")
-    assert E.crossover(winners, population, config, 1).first()["num"] == 2.0
-    assert E.crossover(winners, population, config, 1, take="A").first()["num"] == 1.0
+    assert E.crossover(winners, population, genes, config, 1).first()["num"] == 2.0
+    assert E.crossover(winners, population, genes, config, 1, take="A").first()["num"] == 1.0

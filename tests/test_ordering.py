@@ -142,3 +142,24 @@ def test_one_tied_score_of_many_rows(spark, monkeypatch):
     got = {r["position"]: r["k"] for r in O.positions_by_score(spark.createDataFrame(rows, "k string, p double"), "p", "k", [0, 1777, 3599, 3999]).collect()}
     order = [k for _, _, k in sorted((p, hashlib.md5(k.encode()).hexdigest(), k) for k, p in rows)]
     assert got == {p: order[p] for p in (0, 1777, 3599, 3999)}
+
+
+@pytest.mark.parametrize("sorted_rows", [100_000, 10])
+def test_rows_at_positions_of_any_order(spark, monkeypatch, sorted_rows):
+    monkeypatch.setattr(O, "CELL_SORTED", sorted_rows)
+    draw = random.Random(3)
+    rows = [(draw.choice([None, "", "a", "ab", "abc", "é", "z", "zz"]), draw.choice([None, -5, 0, 7, 1 << 40]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "s string, n long, i int").repartition(7)
+    want = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0, r[2]))
+    for start, stop in ((0, 7), (100, 140), (290, 400), (300, 310), (0, 300)):
+        got = sorted(O.rows_at(df, ["s", "n", "i"], start, stop, "at", 300).collect(), key=lambda r: r["at"])
+        assert [r["at"] for r in got] == list(range(start, min(stop, 300)))
+        assert [(r["s"], r["n"], r["i"]) for r in got] == want[start:stop]
+    tied = sorted(O.rows_at(df, ["s"], 50, 90, "at", 300).collect(), key=lambda r: r["at"])
+    assert [r["s"] for r in tied] == [r[0] for r in want[50:90]]
+    again = O.rows_at(df.repartition(3), ["s"], 50, 90, "at", 300).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, tied), key=repr)
+    same = spark.createDataFrame([(1,)] * 200, "k int")
+    assert sorted(r["at"] for r in O.rows_at(same, ["k"], 20, 25, "at", 200).collect()) == list(range(20, 25))
+    other = spark.createDataFrame([(float(k),) for k in range(20)], "x double")
+    assert [r["x"] for r in O.rows_at(other, ["x"], 3, 5, "at", 20).orderBy("at").collect()] == [3.0, 4.0]

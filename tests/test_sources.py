@@ -15,7 +15,7 @@ EXPECTED = {"AGE": "int", "CHRONIC DISEASE": "int"}
 
 def score(df):
     p = F.col("AGE") / 100
-    return df.select("file_path", "file_block", "file_place", "AGE", p.alias("y_prob"), risk_band(p).alias("risk_level"))
+    return df.select("file_path", "row_index", "AGE", p.alias("y_prob"), risk_band(p).alias("risk_level"))
 
 
 def test_missing_csv_names_the_path(spark):
