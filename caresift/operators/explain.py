@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caresift.functions.draws import hashed, uniform
 from caresift.operators.models import LOGISTIC, FittedModel
+from caresift.operators.prep import assembled
+from caresift.session import scratch_path
 
 
 def feature_importance(fitted: FittedModel, n: int = 10) -> DataFrame:
@@ -98,3 +103,113 @@ def sampled_shapley(
     values = by_feature.groupBy(key, "feature").agg((F.sum("gain") / permutations).alias("value"))
     out = values.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_impact"))
     return out.orderBy(F.desc("mean_impact"), "feature").limit(n)
+
+
+#: Leaves that meet a batch of rows at once.
+LEAF_BLOCK = 512
+
+
+def leaf_paths(fitted: FittedModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(low, high, value) of every leaf of a forest: a row gets to it if low < x <= high in every feature.
+
+    ``value`` is the leaf's share of the positive class over the number of trees. A forest is as large as its
+    model; its nodes are read from the model's stored form.
+    """
+    spark = SparkSession.active()
+    path = scratch_path(spark, "forest")
+    fitted.model.write().save(path)
+    columns = ["treeID", "nodeData.id", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild", "nodeData.split"]
+    nodes: dict[tuple[int, int], tuple] = {}
+    for r in spark.read.parquet(f"{path}/data").select(*columns).collect():
+        nodes[r["treeID"], r["id"]] = (r["impurityStats"], r["leftChild"], r["rightChild"], r["split"])
+    width, trees = fitted.model.numFeatures, len({t for t, _ in nodes})
+    lows, highs, values = [], [], []
+    todo = [(t, 0, np.full(width, -np.inf), np.full(width, np.inf)) for t in sorted({t for t, _ in nodes})]
+    while todo:
+        tree, node, low, high = todo.pop()
+        stats, left, right, split = nodes[tree, node]
+        if left < 0:
+            lows.append(low)
+            highs.append(high)
+            values.append(stats[1] / sum(stats) / trees)
+            continue
+        j, cut = split["featureIndex"], split["leftCategoriesOrThreshold"]
+        # a 0/1 feature goes left by its value: 0 as below a half, 1 as above
+        turned = split["numCategories"] >= 0 and list(cut) == [1.0]
+        edge = 0.5 if split["numCategories"] >= 0 else cut[0]
+        below, above = (low.copy(), high.copy()), (low.copy(), high.copy())
+        below[1][j], above[0][j] = min(high[j], edge), max(low[j], edge)
+        first, second = (above, below) if turned else (below, above)
+        todo += [(tree, left, *first), (tree, right, *second)]
+    return np.array(lows).reshape(-1, width), np.array(highs).reshape(-1, width), np.array(values)
+
+
+def _reach_weights(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shapley weights of a leaf that ``a`` columns must be shown for and ``c`` hidden: for a shown and for a hidden one."""
+    f = math.factorial
+    shown, hidden = np.zeros((most + 1, most + 1)), np.zeros((most + 1, most + 1))
+    for a in range(most + 1):
+        for c in range(most + 1 - a):
+            shown[a, c] = f(a - 1) * f(c) / f(a + c) if a else 0.0
+            hidden[a, c] = f(a) * f(c - 1) / f(a + c) if c else 0.0
+    return shown, hidden
+
+
+def leaf_values(x: np.ndarray, base: np.ndarray, paths: tuple, owner: np.ndarray) -> np.ndarray:
+    """(row, column): exact Shapley values of rows against one background row, leaf by leaf.
+
+    A column that only the row takes into a leaf must be shown for it, one that only the background takes there must be hidden;
+    both, and the leaf is reached in any case. So a leaf's share of every column has a closed form.
+    """
+    low, high, value = paths
+    columns = int(owner.max()) + 1
+    shown, hidden = _reach_weights(columns)
+    out = np.zeros((len(x), columns))
+    first = np.searchsorted(owner, np.arange(columns))
+    for a in range(0, len(value), LEAF_BLOCK):
+        lo, hi, v = (t[a : a + LEAF_BLOCK] for t in paths)
+        mine = np.logical_and.reduceat((x[:, None] > lo) & (x[:, None] <= hi), first, axis=2)
+        theirs = np.logical_and.reduceat((base > lo) & (base <= hi), first, axis=1)[None]
+        possible = (mine | theirs).all(axis=2)
+        need, bar = mine & ~theirs, ~mine & theirs
+        n_need, n_bar = need.sum(axis=2), bar.sum(axis=2)
+        plus = np.where(possible, v * shown[n_need, n_bar], 0.0)
+        minus = np.where(possible, v * hidden[n_need, n_bar], 0.0)
+        out += (need * plus[:, :, None]).sum(axis=1) - (bar * minus[:, :, None]).sum(axis=1)
+    return out
+
+
+def tree_attribution(fitted: FittedModel, df: DataFrame, background: Mapping[str, object], n: int = 10) -> DataFrame:
+    """Mean |Shapley value| per input column of a forest, exact, against one background row.
+
+    Rows with equal prepared features are one, with their count. The features of a coded column are shown and hidden together.
+    """
+    import pyarrow as pa
+
+    columns = [*fitted.prep.categorical, *fitted.prep.numeric]
+    coded = [c for c in fitted.prep.categorical for _ in fitted.prep.levels[c]]
+    players = list(dict.fromkeys([*coded, *fitted.prep.numeric]))
+    owner = np.array([players.index(c) for c in [*coded, *fitted.prep.numeric]])
+    paths = leaf_paths(fitted)
+    typed = [F.lit(background[c]).cast(df.schema[c].dataType).alias(c) for c in columns]
+    spark = df.sparkSession
+    base = np.array(assembled(spark.range(1).select(*typed), fitted.prep).select(vector_to_array("features").alias("x")).first()["x"])
+    rows = assembled(df.select(*[F.col(f"`{c}`") for c in columns]), fitted.prep).select(vector_to_array("features").alias("x"))
+    grouped = rows.groupBy("x").agg(F.count("*").alias("n"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(players) + 1)
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                count = batch.column(1).to_numpy(zero_copy_only=False)
+                for a in range(0, len(x), 64):
+                    found = np.abs(leaf_values(x[a : a + 64], base, paths, owner))
+                    total[:-1] += count[a : a + 64] @ found
+                total[-1] += count.sum()
+        columns_ = [pa.array(players), pa.array(total[:-1]), pa.array(np.full(len(players), total[-1]))]
+        yield pa.RecordBatch.from_arrays(columns_, names=["feature", "total", "n"])
+
+    found = grouped.mapInArrow(work, "feature string, total double, n double").groupBy("feature")
+    impact = found.agg((F.sum("total") / F.sum("n")).alias("mean_impact"))
+    return impact.orderBy(F.desc("mean_impact"), "feature").limit(n)

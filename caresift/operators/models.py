@@ -148,6 +148,22 @@ def fit(
     return FittedModel(name, given, prep, learner.fit(ready), None, key, label)
 
 
+def fit_trees(params: dict, train: DataFrame, prep: Preparation, key: str = "case_key", label: str = "y_true") -> FittedModel:
+    """Forest trees that each see all rows and look for the best cut; without draws, one tree is the usual decision tree."""
+    ready = with_class_weight(assembled(train, prep), label).select(label, "features", "weight")
+    learner = RandomForestClassifier(
+        labelCol=label,
+        weightCol="weight",
+        numTrees=int(params.get("n_estimators", 1)),
+        maxDepth=min(int(params.get("max_depth", MAX_DEPTH)), MAX_DEPTH),
+        minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+        featureSubsetStrategy=str(params.get("max_features", "all")),
+        bootstrap=False,
+        seed=int(params.get("random_state", 42)),
+    )
+    return FittedModel(FOREST, dict(params), prep, learner.fit(ready), None, key, label)
+
+
 def try_fit_score(name, params, train, test, prep, key="case_key", label="y_true"):
     """(scored, None), or (None, error text) when the candidate cannot be fitted."""
     try:

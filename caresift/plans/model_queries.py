@@ -34,7 +34,7 @@ from caresift.streaming import file_drop
 from caresift.sources.tables import table
 
 _RATES = ["accuracy", "precision", "recall", "specificity", "f1"]
-_SMALL_FOREST = {"n_estimators": 10, "max_depth": 6, "max_features": 0.8}
+_USUAL_FOREST = {"n_estimators": 100}
 
 
 def dataset(spark, sf) -> search.Dataset:
@@ -135,7 +135,7 @@ def final_refit(spark, sf):
 @query("j24_feature_importance")
 def feature_importance(spark, sf):
     data = dataset(spark, sf)
-    fitted = MOD.fit(MOD.FOREST, _SMALL_FOREST, data.part("train"), data.prep)
+    fitted = MOD.fit(MOD.FOREST, _USUAL_FOREST, data.part("train"), data.prep)
     return rounded(X.feature_importance(fitted), "importance")
 
 
@@ -158,10 +158,11 @@ def linear_attribution(spark, sf):
 
 @query("j25_tree_attribution")
 def tree_attribution(spark, sf):
+    """Exact values of a forest of the usual size, against the commonest and median answers."""
     data = dataset(spark, sf)
-    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 5, "max_depth": 5}, data.part("train"), data.prep)
+    fitted = MOD.fit(MOD.FOREST, _USUAL_FOREST, data.part("train"), data.prep)
     background = {**data.prep.modes, **data.prep.medians}
-    return rounded(X.sampled_shapley(fitted, data.part("val"), background, permutations=2), "mean_impact")
+    return rounded(X.tree_attribution(fitted, data.part("val"), background), "mean_impact")
 
 
 @query("k09_search")
@@ -430,6 +431,74 @@ def importance_of_one_input(spark, sf):
     return rounded(by_input.agg(F.sum("importance").alias("importance")), "importance")
 
 
+# A tree of all rows and two levels over two 0/1 inputs: the input with the larger gain is asked first, the other below it. Leaves
+# side by side that decide the same are one.
+
+
+def _gain_sql(parent: str, by: str, where: str) -> str:
+    """Weighted Gini gain of splitting the rows of ``where`` by a 0/1 column."""
+    gini = "(1 - pow({0}::DOUBLE / ({0} + {1}), 2) - pow({1}::DOUBLE / ({0} + {1}), 2)) * ({0} + {1})"
+    sides = " + ".join(
+        f"(SELECT coalesce({gini.format('sum(w * y_true)', 'sum(w * (1 - y_true))')}, 0) FROM b WHERE {where} AND {by} = {v})" for v in (0, 1)
+    )
+    return f"((SELECT {gini.format('sum(w * y_true)', 'sum(w * (1 - y_true))')} FROM b WHERE {where}) - ({sides}))"
+
+
+_TWO_INPUTS = f"""WITH {_CODED}, n AS (SELECT count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 1) AS w1,
+    count(*) / 2.0::DOUBLE / count(*) FILTER (WHERE y_true = 0) AS w0 FROM parts WHERE split = 'train'),
+  b AS (SELECT y_true, ("SMOKING" = 2)::INTEGER AS s, (coalesce("GENDER", (SELECT g FROM mode)) = 'F')::INTEGER AS f,
+    CASE WHEN y_true = 1 THEN (SELECT w1 FROM n) ELSE (SELECT w0 FROM n) END AS w FROM parts WHERE split = 'train'),
+  q AS (SELECT s, f, sum(w * y_true) / sum(w) AS p FROM b GROUP BY s, f),
+  qs AS (SELECT s, sum(w * y_true) / sum(w) AS p FROM b GROUP BY s), qf AS (SELECT f, sum(w * y_true) / sum(w) AS p FROM b GROUP BY f),
+  ks AS (SELECT s, max(CASE WHEN f = 0 THEN p END) > 0.5 AS a, max(CASE WHEN f = 1 THEN p END) > 0.5 AS z FROM q GROUP BY s),
+  kf AS (SELECT f, max(CASE WHEN s = 0 THEN p END) > 0.5 AS a, max(CASE WHEN s = 1 THEN p END) > 0.5 AS z FROM q GROUP BY f),
+  root AS (SELECT {_gain_sql('b', 's', 'true')} AS s, {_gain_sql('b', 'f', 'true')} AS f,
+    (SELECT count(*) FROM ks WHERE a <> z) > 0 OR (SELECT count(DISTINCT p > 0.5) FROM qs) > 1 AS s_kept,
+    (SELECT count(*) FROM kf WHERE a <> z) > 0 OR (SELECT count(DISTINCT p > 0.5) FROM qf) > 1 AS f_kept),
+  below AS (SELECT
+    {' + '.join(f"CASE WHEN (SELECT a <> z FROM kf WHERE f = {v}) THEN {_gain_sql('b', 's', f'f = {v}')} ELSE 0 END" for v in (0, 1))} AS s,
+    {' + '.join(f"CASE WHEN (SELECT a <> z FROM ks WHERE s = {v}) THEN {_gain_sql('b', 'f', f's = {v}')} ELSE 0 END" for v in (0, 1))} AS f),
+  g AS (SELECT CASE WHEN root.s > root.f THEN CASE WHEN s_kept THEN root.s ELSE 0 END ELSE below.s END AS s,
+    CASE WHEN root.s > root.f THEN below.f ELSE CASE WHEN f_kept THEN root.f ELSE 0 END END AS f FROM root, below),
+  grown AS (SELECT q.s, q.f, CASE WHEN root.s > root.f
+      THEN CASE WHEN NOT s_kept THEN (SELECT sum(w * y_true) / sum(w) FROM b) WHEN ks.a <> ks.z THEN q.p ELSE qs.p END
+      ELSE CASE WHEN NOT f_kept THEN (SELECT sum(w * y_true) / sum(w) FROM b) WHEN kf.a <> kf.z THEN q.p ELSE qf.p END END AS p
+    FROM q JOIN qs ON qs.s = q.s JOIN qf ON qf.f = q.f JOIN ks ON ks.s = q.s JOIN kf ON kf.f = q.f, root)"""
+
+
+def _by_two_inputs(spark, sf):
+    data = search.prepare_dataset(survey(spark, sf).select("case_key", "GENDER", "SMOKING", "LUNG_CANCER"), "case_key")
+    params = {"n_estimators": 1, "max_depth": 2, "max_features": "all"}
+    return data, MOD.fit_trees(params, data.part("train"), data.prep)
+
+
+@query(
+    "j24_importance_of_two_inputs",
+    f"""{_TWO_INPUTS} SELECT 'SMOKING' AS input, round(s / CASE WHEN s + f > 0 THEN s + f ELSE 1 END, 6) AS importance FROM g
+    UNION ALL SELECT 'GENDER', round(f / CASE WHEN s + f > 0 THEN s + f ELSE 1 END, 6) FROM g""",
+)
+def importance_of_two_inputs(spark, sf):
+    _, fitted = _by_two_inputs(spark, sf)
+    by_input = X.feature_importance(fitted).groupBy(F.split("feature", "_")[0].alias("input"))
+    return rounded(by_input.agg(F.sum("importance").alias("importance")), "importance")
+
+
+@query(
+    "j25_attribution_of_two_inputs",
+    f"""{_TWO_INPUTS}, usual AS (SELECT ((SELECT median("SMOKING") FROM parts WHERE split = 'train') = 2)::INTEGER AS s, ((SELECT g FROM mode) = 'F')::INTEGER AS f),
+    v AS (SELECT ("SMOKING" = 2)::INTEGER AS s, (coalesce("GENDER", (SELECT g FROM mode)) = 'F')::INTEGER AS f FROM parts WHERE split = 'val'),
+    x AS (SELECT own.p AS both_shown, sb.p AS s_shown, fb.p AS f_shown, none.p AS none_shown FROM v CROSS JOIN usual u
+      JOIN grown own ON own.s = v.s AND own.f = v.f JOIN grown sb ON sb.s = v.s AND sb.f = u.f
+      JOIN grown fb ON fb.s = u.s AND fb.f = v.f JOIN grown none ON none.s = u.s AND none.f = u.f)
+    SELECT 'SMOKING' AS feature, round(avg(abs((s_shown - none_shown + both_shown - f_shown) / 2)), 6) AS mean_impact FROM x
+    UNION ALL SELECT 'GENDER', round(avg(abs((f_shown - none_shown + both_shown - s_shown) / 2)), 6) FROM x""",
+)
+def attribution_of_two_inputs(spark, sf):
+    data, fitted = _by_two_inputs(spark, sf)
+    background = {**data.prep.modes, **data.prep.medians}
+    return rounded(X.tree_attribution(fitted, data.part("val"), background), "mean_impact")
+
+
 _W = K.TABULAR_WEIGHTS
 _CANDIDATES = f"""WITH {_CODED}, f AS (SELECT coalesce("GENDER", (SELECT g FROM mode)) AS g, avg(y_true) AS p FROM parts WHERE split = 'train' GROUP BY 1),
   v AS (SELECT y_true, coalesce("GENDER", 'nan') AS grp, (p >= 0.5)::INTEGER AS y_pred

@@ -137,6 +137,56 @@ def test_permutation_values_add_up(data):
     assert set(values) == {"GENDER", "AGE", "SMOKING"} and max(values, key=values.get) == "SMOKING"
 
 
+def test_tree_attribution_equals_all_subsets(spark):
+    """Every value against the definition, over all subsets of four columns."""
+    from itertools import combinations
+    from math import factorial
+
+    from pyspark.ml.functions import vector_to_array
+
+    from caresift.operators.prep import assembled, fit_preparation
+
+    draw = random.Random(9)
+    rows = []
+    for i in range(300):
+        c, a, b, d = draw.choice(["u", "v", "w", None]), draw.randint(0, 5), draw.choice([1, 2]), round(draw.random(), 2)
+        rows.append((str(i), c, a, b, d, int(draw.random() < 0.2 + 0.3 * (c == "u") + 0.3 * (a > 2) * (b == 2) + 0.2 * d)))
+    df = spark.createDataFrame(rows, "case_key string, c string, a int, b int, d double, y_true int")
+    prep = fit_preparation(df, ["c"], ["a", "b", "d"])
+    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 6, "max_depth": 6}, df, prep)
+    background = {"c": "v", "a": 2, "b": 1, "d": 0.4}
+    names = ["c", "a", "b", "d"]
+    asked = [dict(zip(names, r[1:5])) for r in rows[:25]]
+    mixed = []
+    for i, row in enumerate(asked):
+        for k in range(5):
+            for shown in combinations(names, k):
+                mixed.append((f"{i}|{','.join(shown)}", *[row[n] if n in shown else background[n] for n in names]))
+    scored = fitted.score(spark.createDataFrame(mixed, "case_key string, c string, a int, b int, d double"))
+    p = {r["case_key"]: r["y_prob"] for r in scored.collect()}
+    want = []
+    for i in range(len(asked)):
+        values = []
+        for n in names:
+            others = [m for m in names if m != n]
+            value = 0.0
+            for k in range(4):
+                for shown in combinations(others, k):
+                    with_n = [m for m in names if m in shown or m == n]
+                    gain = p[f"{i}|{','.join(with_n)}"] - p[f"{i}|{','.join(m for m in names if m in shown)}"]
+                    value += factorial(k) * factorial(3 - k) / 24 * gain
+            values.append(value)
+        want.append(values)
+    ready = assembled(df.limit(25), prep).orderBy(F.col("case_key").cast("int")).select(vector_to_array("features").alias("x")).collect()
+    base = assembled(spark.createDataFrame([("b", *background.values())], "case_key string, c string, a int, b int, d double"), prep)
+    base = np.array(base.select(vector_to_array("features").alias("x")).first()["x"])
+    owner = np.array([0, 0, 0, 1, 2, 3])
+    got = X.leaf_values(np.array([r["x"] for r in ready]), base, X.leaf_paths(fitted), owner)
+    assert np.allclose(got, want, atol=1e-9)
+    table = {r["feature"]: r["mean_impact"] for r in X.tree_attribution(fitted, df.limit(25), background).collect()}
+    assert [table[n] for n in names] == pytest.approx(np.abs(want).mean(axis=0).tolist())
+
+
 def test_importance_names_come_from_the_preparation(data):
     fitted = MOD.fit(MOD.FOREST, {"n_estimators": 5, "max_depth": 4}, data.part("train"), data.prep)
     rows = X.feature_importance(fitted, 3).collect()
