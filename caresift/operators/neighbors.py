@@ -64,7 +64,7 @@ def nearest(
 ) -> DataFrame:
     """(key, neighbor, label, distance, rank) for the k nearest training rows of each query."""
     distances, matrix = _kernels()
-    key_type = train.schema[key].dataType.simpleString()
+    key_types = tuple(t.schema[key].dataType.simpleString() for t in (queries, train))
     base = train.select(
         F.col(key).alias("n_key"), F.col(vector).cast("array<double>").alias("vec"), F.col(label).cast("int").alias("n_label")
     )
@@ -90,7 +90,7 @@ def nearest(
     for r in stats:
         far[r["cell"]], sizes[r["cell"]] = r["far"], r["n"]
     homes = materialize(asked.withColumn("a", assign("vec")).select("q_key", "vec", F.col("a.cell").alias("cell")), "homes")
-    first = materialize(_in_cells(celled, homes, sizes, k, p, block_rows, key_type), "first-round")
+    first = materialize(_in_cells(celled, homes, sizes, k, p, block_rows, key_types), "first-round")
 
     # the k-th distance so far; a query whose own cell holds fewer rows has none and goes everywhere
     limits = _ranked(first, k).groupBy("q_key").agg(F.max("distance").alias("limit"), F.count("*").alias("n"))
@@ -109,7 +109,7 @@ def nearest(
         return pd.Series(out)
 
     routed = limited.select("q_key", "vec", F.explode(reachable("vec", "cell", "limit")).alias("cell"))
-    second = _in_cells(celled, materialize(routed, "routed-queries"), sizes, k, p, block_rows, key_type)
+    second = _in_cells(celled, materialize(routed, "routed-queries"), sizes, k, p, block_rows, key_types)
     return _ranked(first.unionByName(second), k).select(
         F.col("q_key").alias(key), "neighbor", F.col("n_label").alias("label"), "distance", "rank"
     )
@@ -121,7 +121,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def _in_cells(
-    celled: DataFrame, routed: DataFrame, sizes: np.ndarray, k: int, p: int, block_rows: int, key_type: str
+    celled: DataFrame, routed: DataFrame, sizes: np.ndarray, k: int, p: int, block_rows: int, key_types: tuple[str, str]
 ) -> DataFrame:
     """(q_key, neighbor, n_label, distance): the k nearest rows of every block of the cells that a query is routed to."""
     distances, matrix = _kernels()
@@ -164,7 +164,7 @@ def _in_cells(
     return (
         left.groupBy(*block)
         .cogroup(right.groupBy(*block))
-        .applyInPandas(local_nearest, f"q_key {key_type}, neighbor {key_type}, n_label int, distance double")
+        .applyInPandas(local_nearest, f"q_key {key_types[0]}, neighbor {key_types[1]}, n_label int, distance double")
     )
 
 

@@ -160,27 +160,23 @@ def _neighbor_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parall
             failed.append((cand, f"Unsupported weights: {weights}" if k >= 1 else f"n_neighbors must be positive: {k}"))
             continue
         by_distance.setdefault(int(params.get("p", 2)), []).append((cand, weights, k))
+    # rows with equal vectors have the same neighbours: each vector is searched for once and weighs as many rows as have it
+    name = F.md5(F.to_json("vec"))
+    rows = data.vectors("val").groupBy("vec", "y_true", "grp").agg(F.count("*").alias("n")).withColumn(data.key, name)
+    rows = materialize(rows, "neighbour-queries") if by_distance else rows
     for p, candidates in by_distance.items():
         most = max(k for _, _, k in candidates)
         try:
-            found = N.nearest(data.vectors("train"), data.vectors("val"), data.key, "vec", "y_true", most, p)
+            asked = rows.select(data.key, "vec").dropDuplicates([data.key])
+            found = N.nearest(data.vectors("train"), asked, data.key, "vec", "y_true", most, p)
         except ValueError as problem:
             failed += [(cand, str(problem)) for cand, _, _ in candidates]
             continue
-        long = N.votes(found, data.key, candidates).join(data.vectors("val").select(data.key, "y_true", "grp"), data.key)
-        cells.append(long.groupBy("cand", "grp").agg(*R.confusion(pred=R.decide())))
-    return cells, failed
-
-
-def _single_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parallelism: int) -> Cells:
-    fitted = MOD.fit_many([(n, p) for _, n, p in jobs], data.part("train"), data.part("val"), data.prep, data.key, parallelism=parallelism)
-    cells, failed = [], []
-    for (cand, _, _), (scored, error) in zip(jobs, fitted):
-        if error is not None:
-            failed.append((cand, error))
-            continue
-        counted = scored.groupBy("grp").agg(*R.confusion(pred=R.decide()))
-        cells.append(counted.select(F.lit(cand).cast("bigint").alias("cand"), "grp", "tp", "fp", "fn", "tn"))
+        long = N.votes(found, data.key, candidates).join(rows.select(data.key, "y_true", "grp", "n"), data.key)
+        said, true = R.decide(), F.col("y_true")
+        counts = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+        sums = [F.sum(F.when((true == y) & (said == h), F.col("n")).otherwise(0)).alias(c) for c, (y, h) in counts.items()]
+        cells.append(long.groupBy("cand", "grp").agg(*sums))
     return cells, failed
 
 
