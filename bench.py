@@ -48,6 +48,7 @@ HEADLINE = [
     "k05_crossover",
     "l01_joined_results",
     "l03_page",
+    "i09_grid_search",
 ]
 
 
