@@ -162,6 +162,11 @@ SKIPPED_PREFIX = "Interpretação por LLM não gerada"
 FALLBACK_TAIL = "Nao foi possivel gerar a interpretacao pela LLM neste momento. Detalhes tecnicos: "
 FALLBACK_MARKER = "nao foi possivel gerar a interpretacao pela llm"
 FALLBACK_ENDING = "o pela llm"
+MANUAL_MEAN = ("Nota media geral da avaliacao qualitativa: ", " de 5.")
+MANUAL_EXTREMES = ("Melhor criterio qualitativo: '", "' (", "); pior criterio: '", "' (", ").")
+MANUAL_MISSING = (
+    "Avaliacao qualitativa manual ainda nao preenchida - preencha a secao 6 para completar a conclusao com as notas do time."
+)
 RETRY_MARKERS = ["429", "quota", "resource_exhausted", "rate limit", "too many requests"]
 SECTION_STEMS = {
     "tem_secao_resumo": "resumo",

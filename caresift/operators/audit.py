@@ -112,8 +112,26 @@ def score_distribution(df: DataFrame, criteria: Sequence[str] = K.CRITERIA) -> D
     return counts.select(rows.alias("e")).select("e.*")
 
 
-def summary_sentences(cases: DataFrame, text: str, expected: str, key: str) -> DataFrame:
-    """The audit outcome in numbered sentences."""
+def manual_sentences(manual: DataFrame, criteria: Sequence[str] = K.CRITERIA, first: int = 1) -> DataFrame:
+    """What the manual scores say, in numbered sentences; one sentence asks for them while there is none.
+
+    The statistics are one row a criterion, and the sentences are put together by expressions.
+    """
+    stats = score_statistics(manual, criteria).filter("media IS NOT NULL")
+    best = extremes(stats, "criterion", "media")
+    mean = F.concat(F.lit(K.MANUAL_MEAN[0]), F.format_string("%.2f", "mean_value"), F.lit(K.MANUAL_MEAN[1]))
+    parts = [F.col("best"), F.format_string("%.2f", "best_value"), F.col("worst"), F.format_string("%.2f", "worst_value")]
+    ends = F.concat(F.lit(K.MANUAL_EXTREMES[0]), *[x for p, t in zip(parts, K.MANUAL_EXTREMES[1:]) for x in (p, F.lit(t))])
+    scored = F.array(
+        F.struct(F.lit(first).alias("line"), mean.alias("sentence")), F.struct(F.lit(first + 1).alias("line"), ends.alias("sentence"))
+    )
+    none = F.array(F.struct(F.lit(first).alias("line"), F.lit(K.MANUAL_MISSING).alias("sentence")))
+    lines = F.explode(F.when(F.col("mean_value").isNull(), none).otherwise(scored))
+    return best.select(lines.alias("l")).select("l.*")
+
+
+def summary_sentences(cases: DataFrame, text: str, expected: str, key: str, manual: DataFrame | None = None) -> DataFrame:
+    """The audit outcome in numbered sentences, those on the manual scores last if their table is given."""
     counts = fallback_summary(cases, text)
     names = list(T.all_checks(text, expected))
     rates = pass_rates(check_table(evaluated_only(cases, text), key, text, expected), names)
@@ -132,9 +150,8 @@ def summary_sentences(cases: DataFrame, text: str, expected: str, key: str) -> D
         ]
     else:
         sentences.append("Nenhum caso pode ser avaliado automaticamente (todos cairam em fallback da API).")
-    return cases.sparkSession.createDataFrame(
-        list(enumerate(sentences, start=1)), "line int, sentence string"
-    )
+    said = cases.sparkSession.createDataFrame(list(enumerate(sentences, start=1)), "line int, sentence string")
+    return said if manual is None else said.unionByName(manual_sentences(manual, first=len(sentences) + 1))
 
 
 def marked_lines(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -293,6 +293,18 @@ def audit_summary(spark, sf):
     return A.summary_sentences(texts(spark, sf), "text", "risk_level", "case_key")
 
 
+@query(
+    "j20_manual_sentences",
+    f"""{_JOINED}, stats AS ({_STATS}),
+    best AS (SELECT criterion, media FROM stats ORDER BY media DESC, criterion LIMIT 1), worst AS (SELECT criterion, media FROM stats ORDER BY media, criterion LIMIT 1)
+    SELECT 1 AS line, 'Nota media geral da avaliacao qualitativa: ' || printf('%.2f', (SELECT avg(media) FROM stats)) || ' de 5.' AS sentence
+    UNION ALL SELECT 2, 'Melhor criterio qualitativo: ''' || best.criterion || ''' (' || printf('%.2f', best.media) || '); pior criterio: '''
+      || worst.criterion || ''' (' || printf('%.2f', worst.media) || ').' FROM best CROSS JOIN worst""",
+)
+def manual_sentences(spark, sf):
+    return A.manual_sentences(_scores(spark, sf))
+
+
 @query("j21_log_lines", f"WITH {LOGS} SELECT log_id, line, kind FROM log_lines")
 def log_lines(spark, sf):
     return A.marked_lines(logs(spark, sf), "log_id", "log")

@@ -131,3 +131,18 @@ def test_experiment_scores_from_a_log(spark):
     assert lines.count() == 1
     row = A.experiment_scores(lines, "k").first()
     assert (row["model"], row["exp1"], row["exp2"], row["exp3"]) == ("KNeighborsClassifier", 0.544, -1.0, 0.5534)
+
+
+def test_manual_sentences_with_and_without_scores(spark):
+    from caresift.operators import audit
+    from caresift.functions.constants import CRITERIA, MANUAL_MISSING
+
+    schema = "case_key string, " + ", ".join(f"{c} string" for c in CRITERIA)
+    scored = spark.createDataFrame([("a", *["4" for _ in CRITERIA]), ("b", "5", *["x" for _ in CRITERIA[1:]])], schema)
+    lines = {r["line"]: r["sentence"] for r in audit.manual_sentences(scored, first=4).collect()}
+    assert sorted(lines) == [4, 5] and f"'{CRITERIA[0]}' (4.50)" in lines[5]
+    mean = (4.5 + 4 * (len(CRITERIA) - 1)) / len(CRITERIA)
+    assert f"{mean:.2f} de 5." in lines[4]
+    blank = spark.createDataFrame([("a", *[None for _ in CRITERIA])], schema)
+    assert [tuple(r) for r in audit.manual_sentences(blank).collect()] == [(1, MANUAL_MISSING)]
+    assert [tuple(r) for r in audit.manual_sentences(blank.limit(0)).collect()] == [(1, MANUAL_MISSING)]
