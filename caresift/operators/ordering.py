@@ -9,7 +9,6 @@ holds a third of all rows is therefore spread over many tasks.
 from __future__ import annotations
 
 import math
-import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -225,21 +224,23 @@ def rows_at(df: DataFrame, order: Sequence[str], start: int, stop: int, name: st
     counted: dict[tuple[str, int], list] = {}
 
     def cells(within: str, digits: int) -> list:
-        """(leading digits, rows, least key, largest key) in order, of the rows whose key starts with ``within``."""
+        """(leading digits, rows, longest key) in order, of the rows whose key starts with ``within``."""
         if (within, digits) not in counted:
             inside = keyed.filter(F.col("order__key").startswith(within)).groupBy(F.substring("order__key", 1, digits).alias("lead"))
-            found = inside.agg(F.count("*").alias("n"), F.min("order__key").alias("least"), F.max("order__key").alias("most"))
+            found = inside.agg(F.count("*").alias("n"), F.max(F.length("order__key")).alias("longest"))
             counted[within, digits] = sorted(tuple(r) for r in found.collect())
         return counted[within, digits]
 
     def cell_of(position: int) -> tuple[str, int]:
         """(leading digits, rows before) of a cell of few rows that holds the position."""
-        lead, before, size, least, most = "", 0, rows, None, None
-        while size > CELL_SORTED and (least is None or least != most):
-            same = os.path.commonprefix([least, most]) if least else ""
-            for part, n, low, high in cells(same, len(same) + LEVEL_DIGITS):
+        lead, before, size, longest, step = "", 0, rows, 1, LEVEL_DIGITS
+        while size > CELL_SORTED and len(lead) < longest:
+            found = cells(lead, len(lead) + step)
+            # digits that all keys share are passed over faster and faster
+            step = 2 * step if len(found) == 1 else LEVEL_DIGITS
+            for part, n, long in found:
                 if position < before + n:
-                    lead, size, least, most = part, n, low, high
+                    lead, size, longest = part, n, long
                     break
                 before += n
         return lead, before
