@@ -98,3 +98,26 @@ def test_crossover_direction(spark):
     winners = spark.createDataFrame([("m", "e", 5, "A", 0), ("m", "e", 5, "B", 1)], "model string, experiment string, slot long, parent string, cand long")
     assert E.crossover(winners, population, genes, config, 1).first()["num"] == 2.0
     assert E.crossover(winners, population, genes, config, 1, take="A").first()["num"] == 1.0
+
+
+def _broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_multiplied_sides_are_never_broadcast(spark):
+    genes = E.gene_table(spark, TABULAR_SPACES)
+    config = spark.createDataFrame([("e", "1", 0.8, 0.1)], "experiment string, seed string, cx_prob double, mut_prob double")
+    fitness = slots(spark, "KNeighborsClassifier", 50).select("model", "experiment", "cand", (F.col("cand") % 7 / 7).alias("fitness"))
+    population = E.initial_population(slots(spark, "KNeighborsClassifier", 50), genes)
+    winners = E.tournament(parents(spark, 50), fitness, "pop_size", 3)
+    assert _broadcasts(winners) == 0
+    # the genes of either side, and the experiments
+    assert _broadcasts(E.crossover(winners, population, genes, config, 1)) == 3
+
+
+def test_fitness_is_joined_before_it_is_multiplied(spark):
+    from caresift.plans.derived import search_fitness
+
+    found = search_fitness(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert _broadcasts(found) == 0 and plan.index("Generate") < plan.index("Join")
