@@ -296,3 +296,21 @@ def test_equal_grid_points_go_to_the_first(spark, data):
     found = search.grid_search(data, {"one": (MOD.LOGISTIC, {}, grid), "two": (MOD.LOGISTIC, {}, grid)})
     best = S.grid_choice(found.select("model", "point", "place", "params", "recall", "f1", "accuracy")).collect()
     assert {(r["model"], r["point"], r["place"]) for r in best} == {("one", 0, 0), ("two", 0, 2)}
+
+
+def test_lasso_step_is_exact_where_columns_add_up_to_a_constant():
+    import numpy as np
+
+    from caresift.operators.logistic_batch import _lasso_step
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5))
+    x[:, 0] = rng.integers(0, 2, 300)
+    x[:, 1], x[:, 4] = 1 - x[:, 0], 1.0
+    curve = x.T @ x / 1200
+    curve += 1e-10 * np.trace(curve) / 5 * np.eye(5)
+    slope, pull, at = x.T @ rng.normal(size=300) / 300, np.array([1e-6] * 4 + [0.0]), np.zeros(5)
+    step = _lasso_step(at, slope, curve, pull)
+    left, end = slope + curve @ step, at + step
+    wrong = np.where(end != 0, np.abs(left + pull * np.sign(end)), np.maximum(np.abs(left) - pull, 0))
+    assert wrong.max() < 1e-12
