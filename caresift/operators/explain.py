@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caresift.functions.draws import hashed, uniform
+from caresift.operators.forest_batch import KeptForest
 from caresift.operators.models import LOGISTIC, FittedModel
 from caresift.operators.prep import assembled
 from caresift.session import scratch_path
@@ -115,6 +116,8 @@ def leaf_paths(fitted: FittedModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     ``value`` is the leaf's share of the positive class over the number of trees. A forest is as large as its
     model; its nodes are read from the model's stored form.
     """
+    if isinstance(fitted.model, KeptForest):
+        return fitted.model.leaf_paths()
     spark = SparkSession.active()
     path = scratch_path(spark, "forest")
     fitted.model.write().save(path)
@@ -194,8 +197,9 @@ def tree_attribution(fitted: FittedModel, df: DataFrame, background: Mapping[str
     typed = [F.lit(background[c]).cast(df.schema[c].dataType).alias(c) for c in columns]
     spark = df.sparkSession
     base = np.array(assembled(spark.range(1).select(*typed), fitted.prep).select(vector_to_array("features").alias("x")).first()["x"])
-    rows = assembled(df.select(*[F.col(f"`{c}`") for c in columns]), fitted.prep).select(vector_to_array("features").alias("x"))
-    grouped = rows.groupBy("x").agg(F.count("*").alias("n"))
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("rows__n"))
+    rows = assembled(counted, fitted.prep).select(vector_to_array("features").alias("x"), "rows__n")
+    grouped = rows.groupBy("x").agg(F.sum("rows__n").alias("n")).repartition(4 * spark.sparkContext.defaultParallelism)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(players) + 1)

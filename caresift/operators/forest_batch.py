@@ -16,7 +16,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caresift.operators.logistic_batch import FAN_IN, _added
@@ -98,6 +101,7 @@ class Tree:
     cut: np.ndarray = field(default_factory=lambda: np.zeros(1, int))
     left: np.ndarray = field(default_factory=lambda: np.zeros(1, int))
     share: np.ndarray = field(default_factory=lambda: np.full(1, 0.5))
+    gain: np.ndarray = field(default_factory=lambda: np.zeros(1))
     open: np.ndarray = field(default_factory=lambda: np.zeros(1, int))
     depth: int = 0
 
@@ -158,14 +162,24 @@ class Tree:
         split = np.flatnonzero(able & np.isfinite(gain[np.arange(len(best)), best]))
         nodes = self.open[split]
         self.feature[nodes], self.cut[nodes] = best[split], cut[split, best[split]]
+        whole = (heavy[split] ** 2).sum(axis=1) / mass[split]
+        self.gain[nodes] = np.maximum(0.0, gain[split, best[split]] - whole)
         self.left[nodes] = len(self.feature) + 2 * np.arange(len(split))
         grown = 2 * len(split)
         self.open = len(self.feature) + np.arange(grown)
         self.feature = np.append(self.feature, np.full(grown, -1))
         self.cut, self.left = (np.append(x, np.zeros(grown, int)) for x in (self.cut, self.left))
-        self.share = np.append(self.share, np.full(grown, 0.5))
+        self.share, self.gain = np.append(self.share, np.full(grown, 0.5)), np.append(self.gain, np.zeros(grown))
         self.depth += 1 if grown else 0
 
+    def prune(self) -> None:
+        """Leaves side by side that decide the same become one, from the bottom up, as in a Spark ML tree."""
+        for node in range(len(self.feature) - 1, -1, -1):
+            a = self.left[node]
+            if self.feature[node] >= 0 and self.feature[a] < 0 and self.feature[a + 1] < 0:
+                if (self.share[a] > 0.5) == (self.share[a + 1] > 0.5):
+                    self.feature[node], self.gain[node] = -1, 0.0
+
     def _drawn(self, full: np.ndarray, values: np.ndarray, j: int) -> np.ndarray:
         """For every open node a cut between its least and its largest value of feature ``j``."""
         low = values[full.argmax(axis=1)]
@@ -184,8 +198,11 @@ def grow(job: ForestJob, number: int, bins: np.ndarray, keys: np.ndarray, counts
     return tree
 
 
-def bin_edges(rows: DataFrame, vector: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(edges, values) of every feature: a value up to edge i, and above the one before, is in bin i."""
+def bin_edges(rows: DataFrame, vector: str, count: str | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(edges, values) of every feature: a value up to edge i, and above the one before, is in bin i.
+
+    ``count`` tells how many rows a row stands for.
+    """
     import pyarrow as pa
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +225,8 @@ def bin_edges(rows: DataFrame, vector: str) -> tuple[list[np.ndarray], list[np.n
         few.setdefault(r["j"], []).append(r["v"])
     edges, values = [], []
     share = [i / MOST_BINS for i in range(1, MOST_BINS)]
-    cuts = plain.select(*[F.col("x")[j].alias(f"x{j}") for j in wide]).approxQuantile([f"x{j}" for j in wide], share, 0.2 / MOST_BINS) if wide else []
+    each = plain if count is None else rows.select(F.col(vector).cast("array<double>").alias("x"), F.explode(F.sequence(F.lit(1), count)))
+    cuts = each.select(*[F.col("x")[j].alias(f"x{j}") for j in wide]).approxQuantile([f"x{j}" for j in wide], share, 0.2 / MOST_BINS) if wide else []
     for j in range(max(sizes, default=-1) + 1):
         if j in wide:
             cut = np.unique(np.array(cuts[wide.index(j)]))
@@ -226,7 +244,7 @@ def _rows_of(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def grouped(rows: DataFrame, vector: str, edges: Sequence[np.ndarray], *by: str) -> DataFrame:
+def grouped(rows: DataFrame, vector: str, edges: Sequence[np.ndarray], *by: str, count: str | None = None) -> DataFrame:
     """(bins, n) and the columns ``by`` of the groups of rows in the same bins; one byte a feature. Stored."""
     import pyarrow as pa
 
@@ -235,18 +253,19 @@ def grouped(rows: DataFrame, vector: str, edges: Sequence[np.ndarray], *by: str)
             x = _rows_of(batch.column(0))
             coded = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1).astype(np.uint8)
             texts = pa.array([r.tobytes() for r in coded], pa.binary())
-            yield pa.RecordBatch.from_arrays([texts, *(batch.column(k) for k in range(1, batch.num_columns))], names=["bins", *by])
+            yield pa.RecordBatch.from_arrays([texts, *(batch.column(k) for k in range(1, batch.num_columns))], names=["bins", *by, "each"])
 
     kinds = dict(rows.dtypes)
-    schema = "bins binary" + "".join(f", {c} {kinds[c]}" for c in by)
-    plain = rows.select(F.col(vector).cast("array<double>").alias("x"), *by)
-    return materialize(plain.mapInArrow(work, schema).groupBy("bins", *by).agg(F.count("*").alias("n")), "groups")
+    schema = "bins binary" + "".join(f", {c} {kinds[c]}" for c in by) + ", each long"
+    each = F.col(count).cast("long") if count else F.lit(1).cast("long")
+    plain = rows.select(F.col(vector).cast("array<double>").alias("x"), *by, each.alias("each"))
+    return materialize(plain.mapInArrow(work, schema).groupBy("bins", *by).agg(F.sum("each").alias("n")), "groups")
 
 
-def training_groups(rows: DataFrame, label: str, vector: str, edges: Sequence[np.ndarray]) -> DataFrame:
+def training_groups(rows: DataFrame, label: str, vector: str, edges: Sequence[np.ndarray], count: str | None = None) -> DataFrame:
     """(bins, key, n0, n1) of the training rows. Stored."""
     counts = [F.sum(F.when(F.col(label) == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
-    found = grouped(rows.filter(F.col(label).isNotNull()), vector, edges, label).groupBy("bins").agg(*counts)
+    found = grouped(rows.filter(F.col(label).isNotNull()), vector, edges, label, count=count).groupBy("bins").agg(*counts)
     return materialize(found.select("bins", F.xxhash64("bins").alias("key"), "n0", "n1"), "training-groups")
 
 
@@ -314,17 +333,20 @@ def _cells(cand: int, hit: np.ndarray, y: np.ndarray, grp: list, n: np.ndarray):
 
 
 def confusion_cells(
-    train: DataFrame, test: DataFrame, label: str, vector: str, group: str, jobs: Sequence[tuple[int, ForestJob]], threshold: float
+    train: DataFrame, test: DataFrame, label: str, vector: str, group: str, jobs: Sequence[tuple[int, ForestJob]], threshold: float, count: str | None = None
 ) -> DataFrame:
-    """(cand, grp, tp, fp, fn, tn) of the forests (cand, job), fitted on ``train``, on the rows of ``test``."""
+    """(cand, grp, tp, fp, fn, tn) of the forests (cand, job), fitted on ``train``, on the rows of ``test``.
+
+    ``count`` tells how many rows a row of either table stands for.
+    """
     import pyarrow as pa
 
-    edges, values = bin_edges(train, vector)
+    edges, values = bin_edges(train, vector, count)
     if not values:
         raise ValueError("no training rows")
-    groups = training_groups(train, label, vector, edges)
-    plain = test.filter(F.col(label).isNotNull()).select(vector, F.col(label).cast("int").alias("y"), F.col(group).cast("string").alias("grp"))
-    asked = grouped(plain, vector, edges, "y", "grp")
+    groups = training_groups(train, label, vector, edges, count)
+    kept = [F.col(label).cast("int").alias("y"), F.col(group).cast("string").alias("grp"), *([count] if count else [])]
+    asked = grouped(test.filter(F.col(label).isNotNull()).select(vector, *kept), vector, edges, "y", "grp", count=count)
     first = first_bins(values)
     if max(groups.count(), asked.count()) > LOCAL_GROUPS:
         return _cells_by_passes(groups, asked, jobs, values, threshold)
@@ -383,3 +405,115 @@ def _cells_by_passes(groups: DataFrame, asked: DataFrame, jobs: Sequence[tuple[i
         part = asked.select("bins", "y", "grp", "n").mapInArrow(judge, CELLS)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("cand", "grp").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])
+
+
+@dataclass
+class KeptForest:
+    """A grown forest that scores rows, tells its importances and can be stored."""
+
+    edges: list[np.ndarray]
+    trees: list[Tree]
+
+    @property
+    def numFeatures(self) -> int:
+        return len(self.edges)
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        """Weighted impurity that the splits by a feature take away, each tree's sum being one, then the forest's."""
+        total = np.zeros(self.numFeatures)
+        for t in self.trees:
+            own = np.bincount(np.maximum(t.feature, 0), np.where(t.feature >= 0, t.gain, 0.0), minlength=self.numFeatures)
+            total += own / own.sum() if own.sum() > 0 else 0.0
+        return DenseVector(total / total.sum() if total.sum() > 0 else total)
+
+    def probability(self, features: str) -> Column:
+        """Share of the positive class in the leaves that a row's feature vector falls into."""
+        edges, trees = self.edges, self.trees
+
+        def work(vectors: pd.Series) -> pd.Series:
+            if not len(vectors):
+                return pd.Series([], dtype=float)
+            x = np.stack(vectors.to_numpy()).astype(float)
+            coded = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
+            bins, place = np.unique(coded, axis=0, return_inverse=True)
+            share = sum(t.share[t.leaf_of(bins)] for t in trees) / len(trees)
+            return pd.Series(share[place.ravel()])
+
+        return F.pandas_udf(work, "double")(vector_to_array(F.col(features)))
+
+    def leaf_paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(low, high, value) of every leaf: a row gets to it if low < x <= high in every feature."""
+        width = self.numFeatures
+        lows, highs, values = [], [], []
+        for t in self.trees:
+            todo = [(0, np.full(width, -np.inf), np.full(width, np.inf))]
+            while todo:
+                node, low, high = todo.pop()
+                j = t.feature[node]
+                if j < 0:
+                    lows.append(low)
+                    highs.append(high)
+                    values.append(t.share[node] / len(self.trees))
+                    continue
+                edge, below, above = self.edges[j][t.cut[node]], high.copy(), low.copy()
+                below[j], above[j] = min(high[j], edge), max(low[j], edge)
+                todo += [(t.left[node], low, below), (t.left[node] + 1, above, high)]
+        return np.array(lows).reshape(-1, width), np.array(highs).reshape(-1, width), np.array(values)
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        rows = [(t.number, t.depth, *[getattr(t, c).tolist() for c in _TREE_ARRAYS]) for t in self.trees]
+        arrays = ", ".join(f"{c} array<{k}>" for c, k in _TREE_ARRAYS.items())
+        spark.createDataFrame(rows, f"number int, depth int, {arrays}").write.mode("overwrite").parquet(f"{path}/trees")
+        edges = [(j, e.tolist()) for j, e in enumerate(self.edges)]
+        spark.createDataFrame(edges, "j int, edges array<double>").write.mode("overwrite").parquet(f"{path}/edges")
+
+    @classmethod
+    def load(cls, path: str) -> KeptForest:
+        spark = SparkSession.active()
+        edges = [np.array(r["edges"]) for r in spark.read.parquet(f"{path}/edges").orderBy("j").collect()]
+        trees = []
+        for r in spark.read.parquet(f"{path}/trees").orderBy("number").collect():
+            arrays = {c: np.array(r[c], int if k == "int" else float) for c, k in _TREE_ARRAYS.items()}
+            trees.append(Tree(ForestJob(), r["number"], depth=r["depth"], open=np.zeros(0, int), **arrays))
+        return cls(edges, trees)
+
+
+_TREE_ARRAYS = {"feature": "int", "cut": "int", "left": "int", "share": "double", "gain": "double"}
+
+
+def kept_forest(train: DataFrame, label: str, vector: str, job: ForestJob, count: str | None = None) -> KeptForest | None:
+    """The forest of a job; None while the training rows are no small number of groups.
+
+    The groups travel to the tasks and the tasks divide the trees; trees come back, as a forest is as large as its model.
+    """
+    import pyarrow as pa
+
+    edges, values = bin_edges(train, vector, count)
+    if not values:
+        raise ValueError("no training rows")
+    groups = training_groups(train, label, vector, edges, count)
+    if groups.count() > LOCAL_GROUPS:
+        return None
+    first = first_bins(values)
+    bins, keys, counts = _arrays(groups.orderBy("bins").toArrow())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                tree = grow(job, number, bins, keys, counts, first, values)
+                tree.prune()
+                columns = [pa.array([number], pa.int32()), pa.array([tree.depth], pa.int32())]
+                columns += [pa.array([getattr(tree, c).astype("<f8").tobytes()], pa.binary()) for c in _TREE_ARRAYS]
+                yield pa.RecordBatch.from_arrays(columns, names=["number", "depth", *_TREE_ARRAYS])
+
+    spark = train.sparkSession
+    numbers = spark.range(job.trees).select(F.col("id").cast("int").alias("number"))
+    dealt = numbers.repartition(min(job.trees, 4 * spark.sparkContext.defaultParallelism))
+    schema = "number int, depth int, " + ", ".join(f"{c} binary" for c in _TREE_ARRAYS)
+    trees = []
+    for r in sorted(dealt.mapInArrow(work, schema).collect(), key=lambda r: r["number"]):
+        arrays = {c: np.frombuffer(r[c]).astype(int if k == "int" else float) for c, k in _TREE_ARRAYS.items()}
+        trees.append(Tree(job, r["number"], depth=r["depth"], open=np.zeros(0, int), **arrays))
+    return KeptForest(edges, trees)

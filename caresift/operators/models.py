@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 
 from caresift.functions.constants import DEFAULT_THRESHOLD, TARGET_CODES
 from caresift.functions.draws import uniform
+from caresift.operators.forest_batch import ForestJob, KeptForest, kept_forest
 from caresift.operators.neighbors import nearest, vote
 from caresift.operators.prep import Preparation, assembled
 from caresift.operators.split import with_class_weight
+from caresift.session import materialize
 
 FOREST, EXTRA, LOGISTIC, NEIGHBORS = (
     "RandomForestClassifier",
@@ -49,7 +51,7 @@ class FittedModel:
     name: str
     params: dict
     prep: Preparation
-    model: Model | None = None
+    model: Model | KeptForest | None = None
     train: DataFrame | None = None
     key: str = "case_key"
     label: str = "y_true"
@@ -69,6 +71,8 @@ class FittedModel:
                 int(self.params.get("p", 2)),
             )
             return df.join(vote(found, self.key, self.params.get("weights", "uniform")), self.key, "left")
+        if isinstance(self.model, KeptForest):
+            return ready.withColumn("y_prob", self.model.probability("features")).drop("features")
         scored = self.model.transform(ready)
         return scored.withColumn("y_prob", positive_probability()).drop(
             "features", "rawPrediction", "probability", "prediction"
@@ -95,6 +99,32 @@ def _jittered(df: DataFrame, prep: Preparation, key: str, seed: int) -> DataFram
     return df.withColumns(moved)
 
 
+def _grouped_forest(params: dict, train: DataFrame, prep: Preparation, label: str, balanced: bool) -> KeptForest | None:
+    """A forest from counts of equal rows, which are counted before they are prepared; None if these are too many.
+
+    A bootstrap draws a Poisson number for every group, its count being the mean: the sum of its rows' own numbers.
+    """
+    share = params.get("max_features", "sqrt")
+    share = {"all": None, "auto": "sqrt", "onethird": 1 / 3}.get(share, share)
+    if share not in (None, "sqrt", "log2") and not (str(share).replace(".", "", 1).isdigit() and 0 < float(share) <= 1):
+        return None
+    columns = [*prep.categorical, *prep.numeric]
+    counted = train.filter(F.col(label).isNotNull()).groupBy(label, *[F.col(f"`{c}`") for c in columns])
+    rows = assembled(counted.agg(F.count("*").alias("rows__n")), prep)
+    ready = materialize(rows.select(label, vector_to_array("features").alias("vec"), "rows__n"), "forest-rows")
+    sizes = {r[label]: r["n"] for r in ready.groupBy(label).agg(F.sum("rows__n").alias("n")).collect()}
+    total, depth = sum(sizes.values()), params.get("max_depth", MAX_DEPTH)
+    job = ForestJob(
+        trees=int(params.get("n_estimators", 100)),
+        max_depth=MAX_DEPTH if depth in (None, "none") else min(int(depth), MAX_DEPTH),
+        min_leaf=int(params.get("min_samples_leaf", 1)),
+        share=share,
+        weights=tuple(total / (len(sizes) * sizes[y]) if balanced and y in sizes else 1.0 for y in (0, 1)),
+        seed=int(params.get("random_state", 42)),
+    )
+    return kept_forest(ready, label, "vec", job, "rows__n")
+
+
 def fit(
     name: str,
     params: dict,
@@ -110,6 +140,10 @@ def fit(
     depth = params.get("max_depth", MAX_DEPTH)
     balanced_default = name in (FOREST, EXTRA)
     balanced = params.get("class_weight", "balanced" if balanced_default else "none") == "balanced"
+    if name == FOREST:
+        grown = _grouped_forest(params, train, prep, label, balanced)
+        if grown is not None:
+            return FittedModel(name, given, prep, grown, None, key, label)
     rows = _jittered(train, prep, key, int(params.get("random_state", 42))) if name == EXTRA else train
     ready = assembled(rows, prep)
     if name == NEIGHBORS:
@@ -230,10 +264,13 @@ def save_artifact(
     spark = SparkSession.active()
     if fitted.name == NEIGHBORS:
         fitted.train.write.mode("overwrite").parquet(f"{path}/train")
+    elif isinstance(fitted.model, KeptForest):
+        fitted.model.save(f"{path}/model")
     else:
         fitted.model.write().overwrite().save(f"{path}/model")
     meta = {
         "model_name": fitted.name,
+        "model_kind": type(fitted.model).__name__,
         "threshold": threshold,
         "feature_columns": list(feature_columns),
         "selected_params": fitted.params,
@@ -262,6 +299,8 @@ def load_artifact(path: str) -> tuple[FittedModel, dict]:
         fitted.train = spark.read.parquet(f"{path}/train")
     elif name == LOGISTIC:
         fitted.model = LogisticRegressionModel.load(f"{path}/model")
+    elif meta.get("model_kind") == KeptForest.__name__:
+        fitted.model = KeptForest.load(f"{path}/model")
     else:
         fitted.model = RandomForestClassificationModel.load(f"{path}/model")
     return fitted, meta
