@@ -125,7 +125,7 @@ def _partial_sums(rows: DataFrame, coefs: np.ndarray, weights: np.ndarray) -> Da
             x = _matrix(batch.column(1))
             if not len(y):
                 continue
-            weight = np.where(y[:, None] == 1, weights[:, 1], weights[:, 0])
+            weight = np.where(y[:, None] == 1, weights[:, 1], weights[:, 0]) * batch.column(2).to_numpy(zero_copy_only=False)[:, None]
             z = x @ coefs.T
             total[:, 0] += (weight * (np.logaddexp(0.0, z) - y[:, None] * z)).sum(axis=0)
             p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
@@ -154,14 +154,20 @@ def _added(sums: DataFrame) -> DataFrame:
     return sums.mapInArrow(work, "sums binary")
 
 
-def fit_all(rows: DataFrame, label: str, vector: str, jobs: Sequence[LogisticJob]) -> None:
+def fit_all(rows: DataFrame, label: str, vector: str, jobs: Sequence[LogisticJob], count: str | None = None) -> None:
     """Fits every job in place; ``rows`` should be a stored table, as every iteration reads it once.
 
+    ``count`` tells how many rows a row stands for.
+
     The objective of a job is the weighted mean log loss plus ``strength`` times the penalty of all coefficients but the
     intercept, the last one. Null labels teach nothing.
     """
-    usable = rows.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), F.col(vector).cast("array<double>").alias("x"))
-    facts = usable.agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"), F.max(F.size("x")).alias("wide")).first()
+    each = F.col(count).cast("double") if count else F.lit(1.0)
+    usable = rows.where(F.col(label).isNotNull()).select(
+        F.col(label).cast("int").alias("y"), F.col(vector).cast("array<double>").alias("x"), each.alias("each")
+    )
+    sizes = [F.coalesce(F.sum(F.when(F.col("y") == y, F.col("each"))), F.lit(0.0)).alias(f"n{y}") for y in (0, 1)]
+    facts = usable.agg(*sizes, F.max(F.size("x")).alias("wide")).first()
     if not facts["n0"] + facts["n1"]:
         raise ValueError("no training rows")
     wide = facts["wide"] + 1
@@ -183,9 +189,11 @@ def fit_all(rows: DataFrame, label: str, vector: str, jobs: Sequence[LogisticJob
                 job.advance(row[0], row[1 : 1 + wide], row[1 + wide :].reshape(wide, wide))
 
 
-def confusion_cells(rows: DataFrame, label: str, vector: str, group: str, coefs: np.ndarray, threshold: float) -> DataFrame:
+def confusion_cells(rows: DataFrame, label: str, vector: str, group: str, coefs: np.ndarray, threshold: float, count: str | None = None) -> DataFrame:
     """(cand, grp, tp, fp, fn, tn) of many linear models in one pass; a model is a row of ``coefs``, the intercept last.
 
+    ``count`` tells how many rows a row stands for.
+
     Counts are made in tasks, so the candidates do not multiply the rows.
     """
     import pyarrow as pa
@@ -199,18 +207,20 @@ def confusion_cells(rows: DataFrame, label: str, vector: str, group: str, coefs:
                 continue
             coded = batch.column(2).dictionary_encode(null_encoding="encode")
             names, place = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-            y = batch.column(0).to_numpy(zero_copy_only=False)
+            y, each = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 3))
+            each = each[:, None]
             hit = _matrix(batch.column(1)) @ coefs.T >= edge
             cells = []
             for truth in (1, 0):
                 for said in (True, False):
-                    chosen = ((y == truth)[:, None] & (hit == said)).astype(float)
+                    chosen = ((y == truth)[:, None] & (hit == said)) * each
                     cells.append(np.stack([np.bincount(place, chosen[:, k], minlength=len(names)) for k in range(many)]))
             tp, fn, fp, tn = (c.astype(np.int64).ravel() for c in cells)
             cand = np.repeat(np.arange(many), len(names))
             columns = [pa.array(cand), pa.array(names * many, pa.string()), *map(pa.array, (tp, fp, fn, tn))]
             yield pa.RecordBatch.from_arrays(columns, names=["cand", "grp", "tp", "fp", "fn", "tn"])
 
-    plain = rows.select(F.col(label).cast("int").alias("y"), F.col(vector).cast("array<double>").alias("x"), F.col(group).cast("string").alias("g"))
+    each = (F.col(count).cast("double") if count else F.lit(1.0)).alias("each")
+    plain = rows.select(F.col(label).cast("int").alias("y"), F.col(vector).cast("array<double>").alias("x"), F.col(group).cast("string").alias("g"), each)
     found = plain.where("y IS NOT NULL").mapInArrow(work, "cand long, grp string, tp long, fp long, fn long, tn long")
     return found.groupBy("cand", "grp").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caresift.functions import rates as R
@@ -42,6 +43,8 @@ class Dataset:
     prep: P.Preparation
 
     stored: DataFrame | None = None
+    tally: DataFrame | None = None
+    nearby: dict[tuple[int, tuple[str, ...]], DataFrame] = field(default_factory=dict)
 
     def part(self, *names: str) -> DataFrame:
         return self.rows.filter(F.col("split").isin(*names))
@@ -53,6 +56,32 @@ class Dataset:
             self.stored = materialize(ready.select(self.key, "y_true", "grp", "vec", "split"), "vectors", ["split"])
         return self.stored.filter(F.col("split").isin(*names)).drop("split")
 
+    def counted(self, *names: str) -> DataFrame:
+        """(y_true, grp, vec, n): rows of some splits that are equal in features, label and group are one, with their number.
+
+        They are counted before they are prepared, and stored for all fits and passes.
+        """
+        if self.tally is None:
+            by = [F.col(f"`{c}`") for c in (*self.categorical, *self.numeric, "y_true", "grp", "split")]
+            ready = P.assembled(self.rows.groupBy(*by).agg(F.count("*").alias("rows__n")), self.prep)
+            ready = ready.select("y_true", "grp", vector_to_array("features").alias("vec"), "split", F.col("rows__n").alias("n"))
+            self.tally = materialize(ready, "counted", ["split"])
+        return self.tally.filter(F.col("split").isin(*names)).drop("split")
+
+    def within_reach(self, k: int, *names: str) -> DataFrame:
+        """(key, y_true, vec) of the rows of some splits that can be among the ``k`` nearest of anything.
+
+        Rows of equal features are equally far from everything, so of these only the ``k`` smallest keys count.
+        The rank limit runs before the shuffle.
+        """
+        if (k, names) not in self.nearby:
+            columns = [F.col(f"`{c}`") for c in (*self.categorical, *self.numeric)]
+            place = F.row_number().over(W.partitionBy(*columns).orderBy(self.key))
+            first = self.part(*names).select(self.key, "y_true", *columns, place.alias("rows__place")).filter(F.col("rows__place") <= k)
+            ready = P.assembled(first.drop("rows__place"), self.prep)
+            self.nearby[k, names] = materialize(ready.select(self.key, "y_true", vector_to_array("features").alias("vec")), "within-reach")
+        return self.nearby[k, names]
+
 
 def prepare_dataset(
     df: DataFrame, key: str, target: str = TARGET_COLUMN, group: str = GROUP_COLUMN, seed: int = 42
@@ -118,11 +147,11 @@ Cells = tuple[list[DataFrame], list[tuple[int, str]]]
 
 def _logistic_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parallelism: int) -> Cells:
     """Confusion counts per (cand, group) on the validation rows, and the candidates that cannot be fitted."""
-    train = data.vectors("train")
+    train = data.counted("train")
     width = train.select(F.size("vec").alias("n")).first()
     if width is None or width["n"] > LB.MOST_WIDTH:
         return _single_cells(data, jobs, parallelism)
-    sizes = train.groupBy("y_true").agg(F.count("*").alias("n")).where("y_true IS NOT NULL").collect()
+    sizes = train.groupBy("y_true").agg(F.sum("n").alias("n")).where("y_true IS NOT NULL").collect()
     counts = {r["y_true"]: r["n"] for r in sizes}
     total = max(1, sum(counts.values()))
     fits, failed = [], []
@@ -137,11 +166,11 @@ def _logistic_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parall
     if not fits:
         return [], failed
     try:
-        LB.fit_all(train, "y_true", "vec", [job for _, job in fits])
+        LB.fit_all(train, "y_true", "vec", [job for _, job in fits], "n")
     except (ArithmeticError, ValueError) as problem:
         return [], failed + [(cand, str(problem)) for cand, _ in fits]
     coefs = np.stack([job.accepted for _, job in fits])
-    found = LB.confusion_cells(data.vectors("val"), "y_true", "vec", "grp", coefs, DEFAULT_THRESHOLD)
+    found = LB.confusion_cells(data.counted("val"), "y_true", "vec", "grp", coefs, DEFAULT_THRESHOLD, "n")
     names = _named_places(data, [cand for cand, _ in fits])
     return [found.withColumnRenamed("cand", "place").join(names, "place").select("cand", "grp", "tp", "fp", "fn", "tn")], failed
 
@@ -162,13 +191,13 @@ def _neighbor_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parall
         by_distance.setdefault(int(params.get("p", 2)), []).append((cand, weights, k))
     # rows with equal vectors have the same neighbours: each vector is searched for once and weighs as many rows as have it
     name = F.md5(F.to_json("vec"))
-    rows = data.vectors("val").groupBy("vec", "y_true", "grp").agg(F.count("*").alias("n")).withColumn(data.key, name)
+    rows = data.counted("val").groupBy("vec", "y_true", "grp").agg(F.sum("n").alias("n")).withColumn(data.key, name)
     rows = materialize(rows, "neighbour-queries") if by_distance else rows
     for p, candidates in by_distance.items():
         most = max(k for _, _, k in candidates)
         try:
             asked = rows.select(data.key, "vec").dropDuplicates([data.key])
-            found = N.nearest(data.vectors("train"), asked, data.key, "vec", "y_true", most, p)
+            found = N.nearest(data.within_reach(most, "train"), asked, data.key, "vec", "y_true", most, p)
         except ValueError as problem:
             failed += [(cand, str(problem)) for cand, _, _ in candidates]
             continue
@@ -181,8 +210,8 @@ def _neighbor_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parall
 
 
 def _forest_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parallelism: int) -> Cells:
-    train = data.vectors("train")
-    sizes = train.filter("y_true IS NOT NULL").groupBy("y_true").agg(F.count("*").alias("n")).collect()
+    train = data.counted("train")
+    sizes = train.filter("y_true IS NOT NULL").groupBy("y_true").agg(F.sum("n").alias("n")).collect()
     counts = {r["y_true"]: r["n"] for r in sizes}
     total = sum(counts.values())
     grown, failed = [], []
@@ -206,7 +235,7 @@ def _forest_cells(data: Dataset, jobs: Sequence[tuple[int, str, dict]], parallel
     if not grown:
         return [], failed
     try:
-        return [FB.confusion_cells(train, data.vectors("val"), "y_true", "vec", "grp", grown, DEFAULT_THRESHOLD)], failed
+        return [FB.confusion_cells(train, data.counted("val"), "y_true", "vec", "grp", grown, DEFAULT_THRESHOLD, "n")], failed
     except ValueError as problem:
         return [], failed + [(cand, str(problem)) for cand, _ in grown]
 

@@ -13,6 +13,7 @@ from caresift.operators import logistic_batch as LB
 from caresift.operators import metrics as M
 from caresift.operators import models as MOD
 from caresift.operators import neighbors as N
+from caresift.operators import prep as P
 from caresift.operators import selection as S
 from caresift.plans import search
 
@@ -314,3 +315,61 @@ def test_lasso_step_is_exact_where_columns_add_up_to_a_constant():
     left, end = slope + curve @ step, at + step
     wrong = np.where(end != 0, np.abs(left + pull * np.sign(end)), np.maximum(np.abs(left) - pull, 0))
     assert wrong.max() < 1e-12
+
+
+def test_equal_rows_are_one_row_with_their_number(spark, data, monkeypatch):
+    monkeypatch.setattr(data, "tally", None)
+    counted, rows = data.counted("train"), data.vectors("train")
+    assert counted.count() < rows.count() == counted.agg(F.sum("n")).first()[0]
+    one, other = (LB.LogisticJob("l2", 0.01, (1.0, 2.0), 100) for _ in range(2))
+    LB.fit_all(rows, "y_true", "vec", [one])
+    LB.fit_all(counted, "y_true", "vec", [other], "n")
+    assert np.allclose(one.accepted, other.accepted, atol=1e-8)
+    job = [(0, FB.ForestJob(trees=5, seed=3))]
+    plain = FB.confusion_cells(rows, data.vectors("val"), "y_true", "vec", "grp", job, 0.5)
+    short = FB.confusion_cells(counted, data.counted("val"), "y_true", "vec", "grp", job, 0.5, "n")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, short.collect()))
+
+
+def test_wide_features_are_cut_by_rows_and_not_by_counted_rows(spark):
+    rows = [([float(i)], 1000 if i == 0 else 1) for i in range(600)]
+    counted = spark.createDataFrame(rows, "vec array<double>, n int")
+    each = counted.select("vec", F.explode(F.sequence(F.lit(1), "n"))).select("vec")
+    assert np.array_equal(FB.bin_edges(counted, "vec", "n")[0][0], FB.bin_edges(each, "vec")[0][0])
+
+
+def test_only_the_first_keys_of_equal_rows_can_be_neighbours(spark, data):
+    near = data.within_reach(2, "train")
+    assert near.groupBy("vec").count().agg(F.max("count")).first()[0] >= 2 and near.count() < data.part("train").count()
+    asked = data.vectors("val").select("case_key", "vec")
+    found = [sorted(map(tuple, N.nearest(t, asked, "case_key", "vec", "y_true", 2).collect())) for t in (near, data.vectors("train"))]
+    assert found[0] == found[1]
+
+
+def test_kept_forest_grows_from_counts_and_is_stored(spark, data, tmp_path):
+    params = {"n_estimators": 7, "max_depth": 5}
+    train = data.part("train")
+    fitted = MOD.fit(MOD.FOREST, params, train, data.prep)
+    assert isinstance(fitted.model, FB.KeptForest) and len(fitted.model.trees) == 7
+    assert sum(fitted.model.featureImportances.toArray()) == pytest.approx(1.0)
+    again = MOD.fit(MOD.FOREST, params, train.repartition(5), data.prep)
+    scored = [{r["case_key"]: r["y_prob"] for r in f.score(data.part("val")).collect()} for f in (fitted, again)]
+    assert scored[0] == scored[1] and len(set(scored[0].values())) > 5
+    MOD.save_artifact(fitted, str(tmp_path), 0.5, data.features, {})
+    loaded, _ = MOD.load_artifact(str(tmp_path))
+    assert {r["case_key"]: r["y_prob"] for r in loaded.score(data.part("val")).collect()} == scored[0]
+    assert np.array_equal(loaded.model.featureImportances.toArray(), fitted.model.featureImportances.toArray())
+
+
+def test_importance_of_a_pure_split(spark):
+    rows = [(str(i), i % 2, i % 3, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "case_key string, a int, b int, y_true int")
+    prep = P.fit_preparation(df, [], ["a", "b"])
+    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 9, "max_features": "all"}, df, prep)
+    assert fitted.model.featureImportances.toArray().tolist() == [1.0, 0.0]
+
+
+def test_too_many_groups_are_left_to_spark_ml(spark, data, monkeypatch):
+    monkeypatch.setattr(FB, "LOCAL_GROUPS", 5)
+    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 2, "max_depth": 3}, data.part("train"), data.prep)
+    assert not isinstance(fitted.model, FB.KeptForest) and fitted.score(data.part("val")).count() == data.part("val").count()
