@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caresift.operators.ordering import prefix_aggregates
@@ -19,10 +20,15 @@ NOTEBOOK_SCHEMA = (
 )
 
 
+#: Phases that one cell of a run's order holds.
+PHASES_PER_CELL = 4096
+
+
 def result_rows(df: DataFrame, key: Sequence[str], text: str) -> DataFrame:
     """(model, experiment, section, name, value) rows of model -> experiment documents."""
     docs = df.select(*key, F.from_json(text, RESULT_SCHEMA).alias("doc"))
-    models = docs.select(*key, F.explode("doc").alias("model", "runs"))
+    # an inner explode would first read every document once more, to see whether it is empty
+    models = docs.select(*key, F.explode_outer("doc").alias("model", "runs")).filter("model IS NOT NULL")
     runs = models.select(*key, "model", F.explode("runs").alias("experiment", "run"))
     plain = F.map_from_entries(F.array(F.struct(F.lit("best_fitness"), F.col("run.best_fitness").cast("string"))))
     metrics = F.transform_values("run.validation_metrics", lambda _, v: v.cast("string"))
@@ -42,13 +48,19 @@ def result_rows(df: DataFrame, key: Sequence[str], text: str) -> DataFrame:
 def epoch_rows(df: DataFrame, run: str, phase: str, text: str) -> DataFrame:
     """(run, metric, epoch, value) with the phases of a run joined end to end.
 
-    The epoch offset of a phase is the running length of the phases before it.
+    The epoch offset of a phase is the running length of the phases before it. While the phases lie in one cell, as they
+    do unless a run has thousands of them, the rows move once, by their run; otherwise the cells of a run are spread.
     """
-    docs = df.select(run, phase, F.explode(F.from_json(text, HISTORY_SCHEMA)).alias("metric", "values"))
-    sized = docs.withColumns(
-        {"epochs": F.size("values").cast("bigint"), "cell": F.floor(F.col(phase) / 4096)}
-    )
-    placed = prefix_aggregates(sized, [run, "metric"], phase, {"upto": ("sum", "epochs")})
+    entries = F.explode_outer(F.from_json(text, HISTORY_SCHEMA)).alias("metric", "values")
+    docs = df.select(run, phase, entries).filter("metric IS NOT NULL")
+    cell = F.floor(F.col(phase) / PHASES_PER_CELL)
+    sized = docs.withColumns({"epochs": F.size("values").cast("bigint"), "cell": cell}).filter("cell IS NOT NULL")
+    ends = df.agg(F.min(cell).alias("least"), F.max(cell).alias("most")).first()
+    if ends["least"] == ends["most"]:
+        before = W.partitionBy(run, "metric").orderBy(phase).rowsBetween(W.unboundedPreceding, -1)
+        placed = sized.repartition(run).withColumn("upto_before", F.coalesce(F.sum("epochs").over(before), F.lit(0)))
+    else:
+        placed = prefix_aggregates(sized, [run, "metric"], phase, {"upto": ("sum", "epochs")})
     return placed.select(run, "metric", "upto_before", F.posexplode("values").alias("at", "value")).select(
         run, "metric", (F.col("upto_before") + F.col("at")).alias("epoch"), "value"
     )

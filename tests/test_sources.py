@@ -100,3 +100,23 @@ def test_broadcast_only_below_the_limit(spark):
 
 def test_scratch_is_the_shared_folder(spark):
     assert scratch_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_epochs_are_the_same_whether_phases_lie_in_one_cell_or_more(spark, monkeypatch):
+    docs = [(r, p, '{"loss": [%d.0, 1.0], "acc": [0.%d]}' % (p, r)) for r in (1, 2) for p in (0, 1, 2)]
+    docs += [(3, 0, None), (3, 1, "{}"), (3, 2, '{"loss": []}'), (None, 0, '{"loss": [7.0]}'), (4, None, '{"loss": [5.0]}')]
+    df = spark.createDataFrame(docs, "run int, phase int, doc string")
+    one = sorted(map(tuple, DOC.epoch_rows(df, "run", "phase", "doc").collect()), key=repr)
+    monkeypatch.setattr(DOC, "PHASES_PER_CELL", 2)
+    assert one == sorted(map(tuple, DOC.epoch_rows(df, "run", "phase", "doc").collect()), key=repr)
+    assert (2, "loss", 4, 2.0) in one and len(one) == 2 * (6 + 3) + 1
+
+
+def test_documents_are_parsed_once(spark):
+    """An inner explode of a parsed text is parsed again by a filter for empty ones."""
+    results = DOC.result_rows(spark.createDataFrame([(1, "{}")], "k int, doc string"), ["k"], "doc")
+    epochs = DOC.epoch_rows(spark.createDataFrame([(1, 0, "{}")], "run int, phase int, doc string"), "run", "phase", "doc")
+    for df in (results, epochs):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+        assert df.count() == 0
