@@ -41,6 +41,53 @@ def _kernels():
     return distances, matrix
 
 
+def _closest_of():
+    """The search inside a block, as a local function like the above."""
+
+    def closest(asked: np.ndarray, b: np.ndarray, k: int, p: int, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, distance) of the ``k`` nearest rows of every query, not beyond its limit; of equal ones the first rows.
+
+        Fast distances with a known error leave a few rows a query, whose distances are then taken exactly.
+        """
+        width = max(1, b.shape[1])
+        scale = max(np.abs(asked).max(initial=0.0), np.abs(b).max(initial=0.0))
+        rough = np.float32 if scale < 1e15 else np.float64
+        if p == 1:
+            slack = 4e-7 * width * (width + 4) * scale
+            queries, columns = asked.astype(rough), np.ascontiguousarray(b.astype(rough).T)
+            buffer = np.empty((min(32, len(asked)), len(b)), rough)
+        else:
+            slack = 1e-14 * width * (width + 4) * scale * scale
+            norms = (b * b).sum(axis=1)
+        found = []
+        for start in range(0, len(asked), 32):
+            part = asked[start : start + 32]
+            if p == 1:
+                near, step = np.zeros((len(part), len(b)), rough), buffer[: len(part)]
+                for j in range(b.shape[1]):
+                    np.subtract(queries[start : start + 32, j, None], columns[j], out=step)
+                    np.abs(step, out=step)
+                    near += step
+                most = limits[start : start + 32]
+            else:
+                near = (part * part).sum(axis=1)[:, None] + norms - 2.0 * (part @ b.T)
+                most = limits[start : start + 32] ** 2 * (1 + 1e-9)
+            if k < len(b):
+                most = np.minimum(most, np.partition(near, k - 1, axis=1)[:, k - 1])
+            # a distance that is no number is never left out here
+            q, n = np.nonzero(~(near > (most + 2 * slack)[:, None]))
+            diff = part[q] - b[n]
+            d = np.abs(diff).sum(axis=1) if p == 1 else np.sqrt((diff * diff).sum(axis=1))
+            order = np.lexsort((n, d, q))
+            q, n, d = q[order], n[order], d[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            kept = (rank < k) & ~(d > limits[start + q])
+            found.append((start + q[kept], n[kept], d[kept]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    return closest
+
+
 def _pivot_points(base: DataFrame, pivots: int | None) -> np.ndarray:
     """Vectors drawn by a hash of their key; about one for every CELL_ROWS rows."""
     if pivots is None:
@@ -90,7 +137,8 @@ def nearest(
     for r in stats:
         far[r["cell"]], sizes[r["cell"]] = r["far"], r["n"]
     homes = materialize(asked.withColumn("a", assign("vec")).select("q_key", "vec", F.col("a.cell").alias("cell")), "homes")
-    first = materialize(_in_cells(celled, homes, sizes, k, p, block_rows, key_types), "first-round")
+    open_ = homes.withColumn("limit", F.lit(None).cast("double"))
+    first = materialize(_in_cells(celled, open_, sizes, k, p, block_rows, key_types), "first-round")
 
     # the k-th distance so far; a query whose own cell holds fewer rows has none and goes everywhere
     limits = _ranked(first, k).groupBy("q_key").agg(F.max("distance").alias("limit"), F.count("*").alias("n"))
@@ -108,7 +156,7 @@ def nearest(
             out += [np.flatnonzero(row).astype(np.int32) for row in keep]
         return pd.Series(out)
 
-    routed = limited.select("q_key", "vec", F.explode(reachable("vec", "cell", "limit")).alias("cell"))
+    routed = limited.select("q_key", "vec", "limit", F.explode(reachable("vec", "cell", "limit")).alias("cell"))
     second = _in_cells(celled, materialize(routed, "routed-queries"), sizes, k, p, block_rows, key_types)
     return _ranked(first.unionByName(second), k).select(
         F.col("q_key").alias(key), "neighbor", F.col("n_label").alias("label"), "distance", "rank"
@@ -123,8 +171,11 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def _in_cells(
     celled: DataFrame, routed: DataFrame, sizes: np.ndarray, k: int, p: int, block_rows: int, key_types: tuple[str, str]
 ) -> DataFrame:
-    """(q_key, neighbor, n_label, distance): the k nearest rows of every block of the cells that a query is routed to."""
-    distances, matrix = _kernels()
+    """(q_key, neighbor, n_label, distance): the k nearest rows, not beyond its limit, of every block that a query is routed to."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    closest = _closest_of()
     spark = celled.sparkSession
     loads = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     cut = [(c, max(1, -(-int(s) // block_rows)), max(1, -(-loads.get(c, 0) // block_rows))) for c, s in enumerate(sizes.tolist())]
@@ -139,32 +190,28 @@ def _in_cells(
         routed.join(blocks, "cell")
         .withColumn("q_block", F.pmod(F.xxhash64("q_key"), F.col("q_blocks")).cast("int"))
         .withColumn("n_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .select("cell", "n_block", "q_block", "q_key", "vec")
+        .select("cell", "n_block", "q_block", "q_key", "vec", "limit")
     )
 
-    def local_nearest(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        found = [[], [], [], []]
-        if len(mine) and len(theirs):
-            mine = mine.sort_values("n_key", kind="stable").reset_index(drop=True)
-            b = matrix(mine["vec"], 0)
-            keys, labels = mine["n_key"].to_numpy(dtype=object), mine["n_label"].to_numpy()
-            asked = theirs["q_key"].to_numpy(dtype=object)
-            for start in range(0, len(theirs), 32):
-                part = theirs.iloc[start : start + 32]
-                d = distances(matrix(part["vec"], 0), b, p)
-                top = np.argsort(d, axis=1, kind="stable")[:, :k]
-                found[0].append(np.repeat(asked[start : start + 32], top.shape[1]))
-                found[1].append(keys[top].ravel())
-                found[2].append(labels[top].ravel())
-                found[3].append(np.take_along_axis(d, top, axis=1).ravel())
-        kinds = {"q_key": object, "neighbor": object, "n_label": np.int32, "distance": np.float64}
-        return pd.DataFrame({n: pd.Series(np.concatenate([np.empty(0, t), *x]), dtype=t) for (n, t), x in zip(kinds.items(), found)})
+    def matrix_of(column: pa.ChunkedArray) -> np.ndarray:
+        flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+
+    def local_nearest(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        q, n, d = (np.empty(0, t) for t in (int, int, float))
+        if mine.num_rows and theirs.num_rows:
+            mine = mine.take(pc.sort_indices(mine, sort_keys=[("n_key", "ascending")]))
+            limits = pc.fill_null(theirs.column("limit"), np.inf).to_numpy()
+            q, n, d = closest(matrix_of(theirs.column("vec")), matrix_of(mine.column("vec")), k, p, limits)
+        asked, near = theirs.column("q_key").take(pa.array(q)), mine.select(["n_key", "n_label"]).take(pa.array(n))
+        columns = {"q_key": asked, "neighbor": near.column("n_key"), "n_label": near.column("n_label"), "distance": pa.array(d)}
+        return pa.table(columns)
 
     block = ["cell", "n_block", "q_block"]
     return (
         left.groupBy(*block)
         .cogroup(right.groupBy(*block))
-        .applyInPandas(local_nearest, f"q_key {key_types[0]}, neighbor {key_types[1]}, n_label int, distance double")
+        .applyInArrow(local_nearest, f"q_key {key_types[0]}, neighbor {key_types[1]}, n_label int, distance double")
     )
 
 
