@@ -99,6 +99,40 @@ def _jittered(df: DataFrame, prep: Preparation, key: str, seed: int) -> DataFram
     return df.withColumns(moved)
 
 
+def _counted_rows(train: DataFrame, prep: Preparation, label: str) -> DataFrame:
+    """(label, vec, rows__n): rows of equal inputs and label are one, counted before they are prepared. Stored."""
+    columns = [F.col(f"`{c}`") for c in (*prep.categorical, *prep.numeric)]
+    counted = train.groupBy(label, *columns).agg(F.count("*").alias("rows__n"))
+    return materialize(assembled(counted, prep).select(label, vector_to_array("features").alias("vec"), "rows__n"), "counted-rows")
+
+
+def _class_sizes(counted: DataFrame, label: str) -> dict:
+    return {r[label]: r["n"] for r in counted.groupBy(label).agg(F.sum("rows__n").alias("n")).collect()}
+
+
+def _logistic(params: dict, train: DataFrame, prep: Preparation, label: str, balanced: bool) -> LogisticRegressionModel:
+    """Fitted on equal rows as one, weighted by their number: the same objective. With balanced classes, null labels are left out."""
+    counted = _counted_rows(train, prep, label)
+    sizes = _class_sizes(counted, label)
+    if balanced:
+        counted, sizes = counted.filter(F.col(label).isNotNull()), {y: n for y, n in sizes.items() if y is not None}
+    total, weight = sum(sizes.values()), F.col("rows__n").cast("double")
+    if balanced:
+        of_class = F.lit(0.0)
+        for y, n in sizes.items():
+            of_class = F.when(F.col(label) == y, F.lit(total / (len(sizes) * n))).otherwise(of_class)
+        weight = weight * of_class
+    learner = LogisticRegression(
+        labelCol=label,
+        weightCol="weight",
+        regParam=1.0 / (float(params.get("C", 1.0)) * max(total, 1)),
+        elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
+        maxIter=int(params.get("max_iter", 1000)),
+        standardization=False,
+    )
+    return learner.fit(counted.select(label, array_to_vector("vec").alias("features"), weight.alias("weight")))
+
+
 def _grouped_forest(params: dict, train: DataFrame, prep: Preparation, label: str, balanced: bool) -> KeptForest | None:
     """A forest from counts of equal rows, which are counted before they are prepared; None if these are too many.
 
@@ -108,11 +142,8 @@ def _grouped_forest(params: dict, train: DataFrame, prep: Preparation, label: st
     share = {"all": None, "auto": "sqrt", "onethird": 1 / 3}.get(share, share)
     if share not in (None, "sqrt", "log2") and not (str(share).replace(".", "", 1).isdigit() and 0 < float(share) <= 1):
         return None
-    columns = [*prep.categorical, *prep.numeric]
-    counted = train.filter(F.col(label).isNotNull()).groupBy(label, *[F.col(f"`{c}`") for c in columns])
-    rows = assembled(counted.agg(F.count("*").alias("rows__n")), prep)
-    ready = materialize(rows.select(label, vector_to_array("features").alias("vec"), "rows__n"), "forest-rows")
-    sizes = {r[label]: r["n"] for r in ready.groupBy(label).agg(F.sum("rows__n").alias("n")).collect()}
+    ready = _counted_rows(train.filter(F.col(label).isNotNull()), prep, label)
+    sizes = _class_sizes(ready, label)
     total, depth = sum(sizes.values()), params.get("max_depth", MAX_DEPTH)
     job = ForestJob(
         trees=int(params.get("n_estimators", 100)),
@@ -144,6 +175,8 @@ def fit(
         grown = _grouped_forest(params, train, prep, label, balanced)
         if grown is not None:
             return FittedModel(name, given, prep, grown, None, key, label)
+    if name == LOGISTIC:
+        return FittedModel(name, given, prep, _logistic(params, train, prep, label, balanced), None, key, label)
     rows = _jittered(train, prep, key, int(params.get("random_state", 42))) if name == EXTRA else train
     ready = assembled(rows, prep)
     if name == NEIGHBORS:
@@ -155,30 +188,19 @@ def fit(
         columns.append("weight")
     ready = ready.select(*columns)
     weight = {"weightCol": "weight"} if balanced else {}
-    if name == LOGISTIC:
-        n = max(ready.count(), 1)
-        learner = LogisticRegression(
-            labelCol=label,
-            regParam=1.0 / (float(params.get("C", 1.0)) * n),
-            elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
-            maxIter=int(params.get("max_iter", 1000)),
-            standardization=False,
-            **weight,
-        )
-    else:
-        depth = MAX_DEPTH if depth in (None, "none") else min(int(depth), MAX_DEPTH)
-        share = params.get("max_features", "sqrt")
-        learner = RandomForestClassifier(
-            labelCol=label,
-            numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=depth,
-            minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
-            featureSubsetStrategy=str(share),
-            bootstrap=name == FOREST,
-            maxBins=32 if name == FOREST else 16,
-            seed=int(params.get("random_state", 42)),
-            **weight,
-        )
+    depth = MAX_DEPTH if depth in (None, "none") else min(int(depth), MAX_DEPTH)
+    share = params.get("max_features", "sqrt")
+    learner = RandomForestClassifier(
+        labelCol=label,
+        numTrees=int(params.get("n_estimators", 100)),
+        maxDepth=depth,
+        minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+        featureSubsetStrategy=str(share),
+        bootstrap=name == FOREST,
+        maxBins=32 if name == FOREST else 16,
+        seed=int(params.get("random_state", 42)),
+        **weight,
+    )
     return FittedModel(name, given, prep, learner.fit(ready), None, key, label)
 
 

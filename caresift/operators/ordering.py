@@ -139,9 +139,11 @@ def exact_quantiles(
     values = df.select(*by, F.col(column).cast("double").alias("value")).filter(
         F.col("value").isNotNull()
     )
+    counted = values.groupBy(*by, "value").agg(F.count("*").alias("n"))
     if cuts is None:
-        cuts = order_cuts(values, "value")
-    counted = with_range_cell(values.groupBy(*by, "value").agg(F.count("*").alias("n")), "value", cuts)
+        counted = materialize(counted, "value-counts")
+        cuts = order_cuts(counted, "value")
+    counted = with_range_cell(counted, "value", cuts)
     ranked = prefix_aggregates(counted, by, "value", {"upto": ("sum", "n")})
     picks, result = [], []
     for i, (p, name) in enumerate(zip(probabilities, names)):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caresift.functions.draws import hashed
 from caresift.operators.ordering import positions_by_score, rank_cuts, with_row_index
-from caresift.session import checked_broadcast
+from caresift.session import checked_broadcast, materialize
 
 
 def _share(fraction: float) -> Column:
@@ -22,18 +22,20 @@ def _stratum(label: str) -> Column:
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, val_fraction: float, test_fraction: float, seed: int = 42
+    df: DataFrame, key: str, label: str, val_fraction: float, test_fraction: float, seed: int = 42, stored: bool = False
 ) -> DataFrame:
     """Add ``split`` (train, val, test) with equal class shares in every part.
 
     Rows of a class are ordered by a seeded digest of their key and cut at the
     cumulative fractions; rows without a label are a class of their own. The cut digests are found first; the assignment is
-    then a comparison per row, with no shuffle of the table.
+    then a comparison per row, with no shuffle of the table. With ``stored`` the rows and their digests are written
+    once, so that neither the cuts nor later passes make them again.
     """
     train = 1.0 - val_fraction - test_fraction
     if train <= 0 or min(val_fraction, test_fraction) < 0:
         raise ValueError("fractions must leave rows for training")
     digested = df.withColumns({"split__digest": hashed(seed, F.col(key)), "split__class": _stratum(label)})
+    digested = materialize(digested, "digested") if stored else digested
     edges = rank_cuts(
         digested,
         "split__class",
@@ -53,8 +55,8 @@ def stratified_split(
     )
 
 
-def split_60_20_20(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
-    return stratified_split(df, key, label, 0.2, 0.2, seed)
+def split_60_20_20(df: DataFrame, key: str, label: str, seed: int = 42, stored: bool = False) -> DataFrame:
+    return stratified_split(df, key, label, 0.2, 0.2, seed, stored)
 
 
 def split_test_first(

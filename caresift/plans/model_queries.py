@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ from caresift.plans.views import (
     SURVEY_NUMBERS,
     survey,
 )
-from caresift.session import scratch_path
+from caresift.session import materialize, scratch_path, spread
 from caresift.streaming import file_drop
 from caresift.sources.tables import table
 
@@ -318,17 +320,24 @@ def _drop_files(spark, sf) -> str:
     order = F.split("case_key", "-")[0].cast("long")
     kind = F.when(order % 4 == 0, "plain").when(order % 4 == 1, "lower").when(order % 4 == 2, "short").otherwise("notes")
     rows = survey(spark, sf).withColumns({"kind": kind, "part": F.floor(order / 4) % 8})
+    rows = materialize(spread(rows.select("kind", "part", "case_key", "GENDER", "AGE", "SMOKING")), "to-drop", ["kind"])
     dealt = rows.repartition("kind", "part").sortWithinPartitions("part", "case_key")
     forms = {
         "plain": {"case_key": "case_key", "GENDER": "GENDER", "AGE": "AGE"},
         "lower": {"AGE": "age", "GENDER": " gender ", "SMOKING": "smoking", "case_key": "case_key"},
         "short": {"case_key": "case_key", "AGE": "AGE"},
     }
-    for name, columns in forms.items():
-        mine = dealt.filter(F.col("kind") == name).select(*[F.col(f"`{c}`").alias(a) for c, a in columns.items()], "part")
-        mine.write.option("header", True).partitionBy("part").csv(f"{drop}/kind={name}")
-    notes = dealt.filter("kind = 'notes'").select(F.col("case_key").alias("value"), "part")
-    notes.write.partitionBy("part").text(f"{drop}/kind=notes")
+
+    def write(name: str) -> None:
+        mine = dealt.filter(F.col("kind") == name)
+        if name == "notes":
+            mine.select(F.col("case_key").alias("value"), "part").write.partitionBy("part").text(f"{drop}/kind=notes")
+            return
+        named = mine.select(*[F.col(f"`{c}`").alias(a) for c, a in forms[name].items()], "part")
+        named.write.option("header", True).partitionBy("part").csv(f"{drop}/kind={name}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, [*forms, "notes"]))
     return drop
 
 

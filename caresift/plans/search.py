@@ -88,8 +88,7 @@ def prepare_dataset(
 ) -> Dataset:
     """Rename, code the target, split 60/20/20, add the group and fit the preparation."""
     coded = B.with_group(B.coded_target(B.spaced_names(df), target), group)
-    parts = D.split_60_20_20(spread(coded.drop(target)), key, "y_true", seed)
-    rows = materialize(parts, "dataset", ["split"])
+    rows = D.split_60_20_20(spread(coded.drop(target)), key, "y_true", seed, stored=True)
     features = [c for c in rows.columns if c not in (key, "y_true", "grp", "split")]
     categorical, numeric = P.column_roles(rows, features)
     prep = P.fit_preparation(rows.filter("split = 'train'"), categorical, numeric)

@@ -21,7 +21,7 @@ from caresift.plans.views import (
     scored,
     survey,
 )
-from caresift.session import materialize, spread
+from caresift.session import spread
 from caresift.sources.tables import table
 
 # --- schema -----------------------------------------------------------------------
@@ -527,8 +527,7 @@ _MODE = """(SELECT "GENDER" FROM tr WHERE "GENDER" IS NOT NULL GROUP BY 1 ORDER
 
 
 def _split(spark, sf):
-    parts = D.split_60_20_20(spread(survey(spark, sf)), "case_key", "LUNG_CANCER")
-    return materialize(parts, "survey", ["split"])
+    return D.split_60_20_20(spread(survey(spark, sf)), "case_key", "LUNG_CANCER", stored=True)
 
 
 def _fitted(spark, sf):
