@@ -26,6 +26,8 @@ from caresift.operators.logistic_batch import FAN_IN, _added
 from caresift.session import materialize
 
 MOST_BINS = 256
+#: Bins of a feature in a kept forest, as in Spark ML.
+KEPT_BINS = 32
 #: Groups that travel to the tasks at most; counts that one pass brings for its open nodes; trees that one task grows in a row.
 LOCAL_GROUPS, PASS_NUMBERS, TREES_PER_TASK = 100_000, 4_000_000, 16
 
@@ -42,13 +44,15 @@ class ForestJob:
     weights: tuple[float, float] = (1.0, 1.0)
     seed: int = 42
     drawn_cuts: bool = False
+    #: Spark ML's rules: shares of features are rounded up, features that cannot split a node are drawn too, a split must gain.
+    spark_rules: bool = False
 
     def features(self, width: int) -> int:
         """How many features a node looks at."""
         if self.share in (None, "none"):
             return width
         wanted = math.sqrt(width) if self.share == "sqrt" else math.log2(width) if self.share == "log2" else float(self.share) * width
-        return min(width, max(1, int(wanted)))
+        return min(width, max(1, math.ceil(wanted) if self.spark_rules else int(wanted)))
 
 
 def _mixed(*parts) -> np.ndarray:
@@ -154,8 +158,13 @@ class Tree:
             score = np.where(fits, score, -np.inf)
             cut[:, j] = score.argmax(axis=1)
             gain[:, j] = score[np.arange(len(score)), cut[:, j]]
-        # features that cannot split a node come last in its draw
-        draw = _uniform(job.seed, self.number, self.open[:, None], 3 + np.arange(width)[None, :]) + 2.0 * ~np.isfinite(gain)
+        draw = _uniform(job.seed, self.number, self.open[:, None], 3 + np.arange(width)[None, :])
+        if job.spark_rules:
+            whole = (heavy**2).sum(axis=1) / np.where(mass > 0, mass, 1)
+            gain = np.where(gain > (whole + 1e-12 * mass)[:, None], gain, -np.inf)
+        else:
+            # features that cannot split a node come last in its draw
+            draw = draw + 2.0 * ~np.isfinite(gain)
         rank = draw.argsort(axis=1).argsort(axis=1)
         gain = np.where(rank < job.features(width), gain, -np.inf)
         best = gain.argmax(axis=1)
@@ -483,6 +492,18 @@ class KeptForest:
 _TREE_ARRAYS = {"feature": "int", "cut": "int", "left": "int", "share": "double", "gain": "double"}
 
 
+def _even_cuts(weight: np.ndarray) -> np.ndarray:
+    """The places after which values are cut into at most KEPT_BINS bins of about equal weight."""
+    held = np.flatnonzero(weight > 0)
+    upto, stride = weight[held].cumsum(), weight.sum() / KEPT_BINS
+    chosen, target = [], stride
+    for i in range(1, len(held)):
+        if abs(upto[i - 1] - target) < abs(upto[i] - target):
+            chosen.append(held[i - 1])
+            target += stride
+    return np.array(chosen, int)
+
+
 def kept_forest(train: DataFrame, label: str, vector: str, job: ForestJob, count: str | None = None) -> KeptForest | None:
     """The forest of a job; None while the training rows are no small number of groups.
 
@@ -496,8 +517,13 @@ def kept_forest(train: DataFrame, label: str, vector: str, job: ForestJob, count
     groups = training_groups(train, label, vector, edges, count)
     if groups.count() > LOCAL_GROUPS:
         return None
-    first = first_bins(values)
     bins, keys, counts = _arrays(groups.orderBy("bins").toArrow())
+    for j in range(len(edges)):
+        if len(values[j]) > KEPT_BINS:
+            chosen = _even_cuts(np.bincount(bins[:, j], counts @ np.array(job.weights), minlength=len(values[j])))
+            edges[j], bins[:, j] = edges[j][chosen], np.searchsorted(chosen, bins[:, j], side="left")
+            values[j] = np.arange(len(chosen) + 1.0)
+    first = first_bins(values)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -152,6 +152,7 @@ def _grouped_forest(params: dict, train: DataFrame, prep: Preparation, label: st
         share=share,
         weights=tuple(total / (len(sizes) * sizes[y]) if balanced and y in sizes else 1.0 for y in (0, 1)),
         seed=int(params.get("random_state", 42)),
+        spark_rules=True,
     )
     return kept_forest(ready, label, "vec", job, "rows__n")
 

@@ -15,6 +15,7 @@ from caresift.operators import models as MOD
 from caresift.operators import neighbors as N
 from caresift.operators import prep as P
 from caresift.operators import selection as S
+from caresift.operators import split as D
 from caresift.plans import search
 
 
@@ -373,3 +374,29 @@ def test_too_many_groups_are_left_to_spark_ml(spark, data, monkeypatch):
     monkeypatch.setattr(FB, "LOCAL_GROUPS", 5)
     fitted = MOD.fit(MOD.FOREST, {"n_estimators": 2, "max_depth": 3}, data.part("train"), data.prep)
     assert not isinstance(fitted.model, FB.KeptForest) and fitted.score(data.part("val")).count() == data.part("val").count()
+
+
+def test_kept_forest_follows_the_rules_of_spark_ml(data):
+    assert FB.ForestJob(share="sqrt", spark_rules=True).features(6) == 3 and FB.ForestJob(share="sqrt").features(6) == 2
+    fitted = MOD.fit(MOD.FOREST, {"n_estimators": 3}, data.part("train"), data.prep)
+    assert max(len(e) for e in fitted.model.edges) == FB.KEPT_BINS - 1
+    assert FB._even_cuts(np.array([64.0] + [1.0] * 64))[0] == 0
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_rough_distances_leave_out_no_neighbour(p):
+    draw = np.random.default_rng(p)
+    b, asked = draw.integers(0, 4, (300, 5)) + 1e6, draw.integers(0, 4, (70, 5)) + 1e6
+    diff = asked[:, None, :] - b[None, :, :]
+    d = np.abs(diff).sum(axis=2) if p == 1 else np.sqrt((diff * diff).sum(axis=2))
+    order = np.argsort(d, axis=1, kind="stable")[:, :7]
+    for limits in (np.full(70, np.inf), np.sort(d, axis=1)[:, 3]):
+        q, n, found = N._closest_of()(asked, b, 7, p, limits)
+        want = [(i, j, d[i, j]) for i in range(70) for j in order[i] if d[i, j] <= limits[i]]
+        assert list(zip(q.tolist(), n.tolist(), found.tolist())) == want
+
+
+def test_stored_split_is_the_same(spark):
+    df = spark.createDataFrame([(str(i), i % 3 if i % 7 else None) for i in range(200)], "k string, y int")
+    plain, stored = (sorted(map(tuple, D.split_60_20_20(df, "k", "y", stored=s).collect()), key=repr) for s in (False, True))
+    assert plain == stored and len(plain) == 200
