@@ -60,19 +60,24 @@ def was_explained(text) -> Column:
     return ~F.coalesce(R.col(text), F.lit("")).startswith(K.SKIPPED_PREFIX)
 
 
-def folded(text) -> Column:
+def lowered(text, low=None) -> Column:
+    """The lower-cased text; ``low`` where a column holds it already, as lower-casing long texts is dear."""
+    return F.lower(R.col(text)) if low is None else R.col(low)
+
+
+def folded(text, low=None) -> Column:
     """Lower-cased text without accents."""
-    return F.translate(F.lower(R.col(text)), K.ACCENTED, K.UNACCENTED)
+    return F.translate(lowered(text, low), K.ACCENTED, K.UNACCENTED)
 
 
-def is_fallback(text) -> Column:
+def is_fallback(text, low=None) -> Column:
     """Finds the fallback sentence with or without its accents.
 
     The plain ending of the sentence is looked for first, so that accents are
     only folded in texts that have it.
     """
-    ending = F.lower(R.col(text)).contains(K.FALLBACK_ENDING)
-    return F.coalesce(ending & folded(text).contains(K.FALLBACK_MARKER), F.lit(False))
+    ending = lowered(text, low).contains(K.FALLBACK_ENDING)
+    return F.coalesce(ending & folded(text, low).contains(K.FALLBACK_MARKER), F.lit(False))
 
 
 def has_section(text, stem: str) -> Column:
@@ -80,14 +85,20 @@ def has_section(text, stem: str) -> Column:
     return R.col(text).rlike(rf"(?imdU)^\s*{stem}\s*:?")
 
 
-def has_disclaimer(text) -> Column:
-    low = F.lower(R.col(text))
+def section_heads(text) -> Column:
+    """The section names that start lines, as written, one a line: all that ``has_section`` has to look at."""
+    stems = "|".join(K.SECTION_STEMS.values())
+    return F.array_join(F.regexp_extract_all(R.col(text), F.lit(rf"(?imdU)^\s*({stems})"), F.lit(1)), "\n")
+
+
+def has_disclaimer(text, low=None) -> Column:
+    low = lowered(text, low)
     who = reduce(lambda a, b: a | b, [low.contains(w) for w in K.DISCLAIMER_WHO])
     return low.contains(K.DISCLAIMER_CORE) & who
 
 
-def has_banned_phrase(text, fold_accents: bool = False) -> Column:
-    low = folded(text) if fold_accents else F.lower(R.col(text))
+def has_banned_phrase(text, fold_accents: bool = False, low=None) -> Column:
+    low = folded(text, low) if fold_accents else lowered(text, low)
     return reduce(lambda a, b: a | b, [low.contains(p) for p in K.BANNED_PHRASES])
 
 
@@ -106,10 +117,11 @@ def risk_consistent(text, expected) -> Column:
     return line.contains(band) & ~others
 
 
-def all_checks(text, expected) -> dict[str, Column]:
-    checks = {name: has_section(text, stem) for name, stem in K.SECTION_STEMS.items()}
-    checks["tem_disclaimer_medico"] = has_disclaimer(text)
-    checks["sem_linguagem_categorica"] = ~has_banned_phrase(text)
+def all_checks(text, expected, low=None, heads=None) -> dict[str, Column]:
+    """Every check of a text; columns that hold ``lowered`` and ``section_heads`` spare making them again."""
+    checks = {name: has_section(text if heads is None else heads, stem) for name, stem in K.SECTION_STEMS.items()}
+    checks["tem_disclaimer_medico"] = has_disclaimer(text, low)
+    checks["sem_linguagem_categorica"] = ~has_banned_phrase(text, low=low)
     checks["tamanho_adequado"] = length_ok(text)
     checks["risco_consistente"] = risk_consistent(text, expected)
     return checks

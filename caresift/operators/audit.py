@@ -38,6 +38,18 @@ def check_table(df: DataFrame, key: str, text: str, expected: str) -> DataFrame:
     return df.select(key, *[c.alias(n) for n, c in T.all_checks(text, expected).items()])
 
 
+def evaluated_checks(df: DataFrame, key: str, text: str, expected: str) -> DataFrame:
+    """The checks of all texts that are no fallback: ``check_table`` of ``evaluated_only``, each text made once.
+
+    A filter would be moved below the expression that makes the text, and a copy of that expression into every
+    place where the filter names the text. So the text goes through an array of one, or none for a fallback.
+    """
+    low = df.select(F.col(key).alias("key"), F.col(expected).alias("band"), F.col(text).alias("text")).withColumn("low", T.lowered("text"))
+    kept = F.explode(F.when(~T.is_fallback("text", "low"), F.array("text"))).alias("text")
+    rows = low.select("key", "band", "low", kept).withColumn("heads", T.section_heads("text"))
+    return rows.select(F.col("key").alias(key), *[c.alias(n) for n, c in T.all_checks("text", "band", "low", "heads").items()])
+
+
 def pass_rates(checks: DataFrame, names: Sequence[str]) -> DataFrame:
     """Share of cases that pass each check, in percent with one place, best first."""
     rates = checks.agg(
@@ -134,7 +146,7 @@ def summary_sentences(cases: DataFrame, text: str, expected: str, key: str, manu
     """The audit outcome in numbered sentences, those on the manual scores last if their table is given."""
     counts = fallback_summary(cases, text)
     names = list(T.all_checks(text, expected))
-    rates = pass_rates(check_table(evaluated_only(cases, text), key, text, expected), names)
+    rates = pass_rates(evaluated_checks(cases, key, text, expected), names)
     best = extremes(rates, "check", "pass_rate")
     c, b = counts.first(), None
     sentences = [

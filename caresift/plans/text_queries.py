@@ -176,7 +176,7 @@ def risk_consistency(spark, sf):
     f"{_EVALUATED} SELECT case_key, " + ", ".join(f"{v} AS {k}" for k, v in CHECKS_SQL.items()) + " FROM ev",
 )
 def all_checks(spark, sf):
-    return A.check_table(A.evaluated_only(texts(spark, sf), "text"), "case_key", "text", "risk_level")
+    return A.evaluated_checks(texts(spark, sf), "case_key", "text", "risk_level")
 
 
 _RATES = f"{_EVALUATED}, rates AS (" + " UNION ALL ".join(

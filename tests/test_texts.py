@@ -146,3 +146,30 @@ def test_manual_sentences_with_and_without_scores(spark):
     blank = spark.createDataFrame([("a", *[None for _ in CRITERIA])], schema)
     assert [tuple(r) for r in audit.manual_sentences(blank).collect()] == [(1, MANUAL_MISSING)]
     assert [tuple(r) for r in audit.manual_sentences(blank.limit(0)).collect()] == [(1, MANUAL_MISSING)]
+
+
+def test_checks_of_evaluated_texts_make_each_text_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def write(k):
+        made.add(1)
+        return GOOD if k % 3 else "Nao foi possivel gerar a interpretacao pela LLM"
+
+    df = spark.range(12).withColumn("band", F.lit("baixo"))
+    df = df.withColumn("text", F.udf(write, "string", useArrow=False)("id"))
+    rows = A.evaluated_checks(df, "id", "text", "band").collect()
+    assert sorted(r["id"] for r in rows) == [k for k in range(12) if k % 3]
+    assert all(all(v for k, v in r.asDict().items() if k != "id") for r in rows)
+    assert made.value == 12
+
+
+def test_checks_of_evaluated_texts_are_the_checks_of_whole_texts(spark):
+    bits = ["Resumo", "reſumo", "RİSCO baixo", "rısco alto", "Risco: baixo", "recomenda", "observa", "justificativa", " ", "\u00a0", "\u2003", ":", "x",
+            "\n", "\n\n", "\r", "\u2028", "\t", "não substitui", "MÉDIC", "o paciente tem", "interpretação pela LLM", "não foi possível gerar a "]
+    texts = [None, "", *["".join(bits[(i * i + 7 * i * j + j * j * 3) % len(bits)] for j in range(i % 14)) for i in range(400)]]
+    rows = [(i % 90 or None, t, [None, "baixo", "moderado", "alto"][i % 4], i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "low int, text string, band string, heads int")
+    got = A.evaluated_checks(df, "low", "text", "band")
+    want = A.check_table(A.evaluated_only(df, "text"), "low", "text", "band")
+    assert got.columns == want.columns and got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
