@@ -143,8 +143,8 @@ class PackedReader:
 #: A piece that can be cut off: visible at both ends, but for one line break before it.
 _APART = re.compile(r"\n?\S(?:.*\S)?", re.DOTALL)
 _PLAIN = re.compile(r"\n?[^\s<]+")
-#: Latin letters, then marks: the tokenizer cuts between them.
-_LETTERS_MARKS = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!\"#$%&()*+,./:;=?@|-]+)")
+#: Latin letters, then marks: the tokenizer cuts between them. A pattern for Arrow.
+_LETTERS_MARKS = r"""\A(?P<word>\n?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+)(?P<mark>[!"#$%&()*+,./:;=?@|-]+)\z"""
 
 
 class CachedEncoder:
@@ -152,7 +152,8 @@ class CachedEncoder:
 
     For the byte-level tokenizer a token never reaches over a single blank, or a single line break,
     between two visible characters: the blank belongs to the word after it, the break stands alone. So texts are cut
-    there, new pieces are encoded by the library, and the others looked up. A text in which white
+    there and marks cut off from the words before them, new words are encoded by the library, and
+    the others looked up. A text in which white
     space meets white space, and every text under another tokenizer, goes to the library whole. The memory has two
     generations: when the younger is full it becomes the older, and words met again come back into the younger.
     """
@@ -209,18 +210,33 @@ class CachedEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         pieces = [p for p in pieces if not self._recall(p)]
-        split = {p: m.groups() for p in pieces if (m := _LETTERS_MARKS.fullmatch(p))}
-        plain = {p for p in pieces if p not in split and _PLAIN.fullmatch(p)}
-        plain.update(word for word, _ in split.values() if word not in self.known and not self._recall(word))
-        self._learn_plain(list(plain))
-        for piece, (word, mark) in split.items():
-            if mark not in self.marks:
-                self.marks[mark] = self._whole(mark).tobytes()
-            self.known[piece] = self.known[word] + self.marks[mark]
+        self._learn_plain([p for p in pieces if _PLAIN.fullmatch(p)])
         for piece in pieces:
             if piece not in self.known and _APART.fullmatch(piece):
                 self.known[piece] = self._whole(piece if piece[0] == "\n" else " " + piece).tobytes()
 
+    def _ids(self, pieces) -> list[bytes | None]:
+        """The ids of every piece of an Arrow array; none for a piece that cannot be cut off."""
+        import pyarrow.compute as pc
+
+        split = pc.extract_regex(pieces, _LETTERS_MARKS)
+        mark = pc.struct_field(split, "mark")
+        words = pc.coalesce(pc.struct_field(split, "word"), pieces).dictionary_encode()
+        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, names))
+        if None in found:
+            self._learn([p for p, f in zip(names, found) if f is None])
+            found = [self.known.get(p) if f is None else f for p, f in zip(names, found)]
+        out = list(map(found.__getitem__, words.indices.to_numpy().tolist()))
+        marked = mark.is_valid().to_numpy(zero_copy_only=False)
+        marks = mark.drop_null().dictionary_encode()
+        names = marks.dictionary.to_pylist()
+        self.marks.update((m, self._whole(m).tobytes()) for m in names if m not in self.marks)
+        ends = list(map(self.marks.get, names))
+        for i, k in zip(np.flatnonzero(marked).tolist(), marks.indices.to_numpy().tolist()):
+            out[i] += ends[k]
+        return out
+
     def encode(self, texts) -> list[np.ndarray]:
         """The ids of every text of an Arrow string array (null: none)."""
         import pyarrow as pa
@@ -236,11 +252,7 @@ class CachedEncoder:
         ends = [pa.scalar(x, broken.type) for x in ("\n", "")]
         lists = pc.split_pattern(pc.binary_join_element_wise(ends[0], broken, ends[1]), " ")
         words = lists.flatten().dictionary_encode()
-        pieces, index = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            self._learn([p for p, f in zip(pieces, found) if f is None])
-            found = [self.known.get(p) if f is None else f for p, f in zip(pieces, found)]
+        found, index = self._ids(words.dictionary), words.indices.to_numpy()
         apart = np.array([f is not None for f in found], bool)
         flat = np.frombuffer(b"".join(f or b"" for f in found), "<u4")
         sizes = np.array([len(f or b"") // 4 for f in found], np.int64)

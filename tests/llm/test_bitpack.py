@@ -64,6 +64,25 @@ def test_encoder_is_the_tokenizer():
     assert coder.encode(pa.array([], pa.string())) == []
 
 
+def test_a_word_is_remembered_once_whatever_marks_follow():
+    plain = Tokenizer.from_file(PATH)
+    coder = bitpack.CachedEncoder(PATH)
+    texts = ["étude, étude. étude?! étude\nétude; (étude) étude'", "étude<, a\u00a0b, x\u0085. \u2003, ŉa, ɏ: ɐ: ×, ÷. a-b, --"]
+    got = coder.encode(pa.array(texts))
+    assert [g.tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "étude" in coder.known and not {"étude,", "étude.", "étude?!", "\nétude;"} & set(coder.known)
+
+
+def test_drawn_texts_are_the_tokenizers():
+    plain, draw = Tokenizer.from_file(PATH), np.random.default_rng(5)
+    bits = [" ", " ", "\n", "  ", "\t", "word", "Zoë", "ß", "'s", "don't", ",", "...", "?!", "-", "<", "_", "7", "\u00a0", "\u200b", "\x00", "語", "ﬁ", "×"]
+    texts = ["".join(bits[k] for k in draw.integers(0, len(bits), int(n))) for n in draw.integers(0, 30, 3000)]
+    coder = bitpack.CachedEncoder(PATH, cache_words=200)
+    for a in range(0, len(texts), 300):
+        got = coder.encode(pa.array(texts[a : a + 300]))
+        assert [g.tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts[a : a + 300]]
+
+
 def test_other_tokenizer_goes_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     coder = bitpack.CachedEncoder(path)
